@@ -14,6 +14,10 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Writing many day folders is bound by opening files, not by bytes: small
+    # writes may still use all cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 _local_scratch: dict[str, str] = {}

@@ -29,7 +29,7 @@ def write_landing(snapshot: DataFrame, path: str) -> None:
     """Write a snapshot as CSV under ``path``, replacing what an earlier run left.
 
     ``path`` ends in ``subject_ref_stamp.csv`` and becomes a folder with one part
-    per task. NULL is an empty field, an empty text is a quoted one.
+    per task. NULL is an empty field; an empty text is read back as NULL, too.
     """
     text = snapshot.select(
         [

@@ -26,7 +26,6 @@ def increment(
     ts_proc: str,
     checkpoint: str,
     *,
-    writers_per_day: int = 4,
     multiline: bool = False,
 ) -> DataFrame:
     """Append the files landed since the last run to raw, then stop.
@@ -43,9 +42,8 @@ def increment(
         with_lineage(landed_stream(spark, lake.landing_glob(subject), multiline=multiline), ts_proc)
     )
     if subject == "sales":
-        # A micro-batch is not rebalanced at run time, so a hot day is split by hand.
-        part = F.pmod(F.xxhash64("transaction_id"), F.lit(writers_per_day))
-        rows = rows.repartition("ref", part)
+        # As in the batch job: stateless streams run adaptively too.
+        rows = rows.hint("rebalance", "ref")
     query = (
         rows.writeStream.format("parquet")
         .partitionBy(*PARTITIONS)

@@ -1,0 +1,178 @@
+from __future__ import annotations
+
+from datetime import date, datetime
+from decimal import Decimal
+from pathlib import Path
+
+from lakebook.layout import BOOK_CONTROL as BOOK_CONTROL_TABLE
+from lakebook.operators.control import batch_control
+from lakebook.plans.jobs import (
+    land_snapshot,
+    process_products,
+    process_sales,
+    process_users,
+    publish_book,
+)
+from lakebook.schemas import BATCH_CONTROL, BOOK_CONTROL, PRODUCTS, SALES
+from lakebook.sources.tables import append, read_table
+from lakebook.streaming.increment import increment
+
+HEADER = "transaction_id,user_id,product_id,dat_creation,amount,quantity,payment_method\n"
+SALES_OLD = HEADER + "t-1,u-1,p-1,2026-03-01 10:00:00,5.00,1,PIX\n"
+SALES_NEW = SALES_OLD + (
+    "t-2,u-1,p-1,2026-04-02 10:00:00,7.00,2.0,Boleto\n"
+    "t-3,u-2,p-9,2026-04-03 10:00:00,9.00,1,PIX\n"
+    "t-4,u-3,p-1,,1.00,1,PIX\n"
+)
+PRODUCTS_TEXT = "proudct_id,product_des,product_category\np-1,chess,Jogos\n"
+RUN_1, RUN_2 = "20260402010000", "20260408010000"
+
+
+def ledger(spark, lake, table, schema=BATCH_CONTROL):
+    names = [n for n in ("assunto", "ref", "ts_file_generation", "ts_proc", "qtd_registros")
+             if n in schema.names]
+    rows = read_table(spark, lake.control(table), schema).select(*names)
+    return sorted(tuple(r) for r in rows.collect())
+
+
+def test_products_and_their_ledger_row(spark, lake, land):
+    path = land("products", "20260408094946", PRODUCTS_TEXT)
+    assert process_products(spark, lake, path, RUN_2).rows == 1
+    assert Path(lake.raw("products"), "ref=20260408", f"ts_proc={RUN_2}").is_dir()
+    assert ledger(spark, lake, "products") == [
+        ("products", "20260408", "20260408094946", int(RUN_2), 1)
+    ]
+    stored = spark.read.parquet(lake.control("products"))
+    assert dict(stored.dtypes)["qtd_registros"] == "int"
+    assert dict(stored.dtypes)["ts_proc"] == "bigint"
+
+
+def test_users(spark, lake, land):
+    path = land("users", "20260408094946", "user_id,first_name,last_name,gender,email\nu,a,b,c,d\n")
+    assert process_users(spark, lake, path, RUN_2).rows == 1
+    assert ledger(spark, lake, "users")[0][0] == "users"
+
+
+def test_an_empty_file_leaves_no_ledger_row(spark, lake, land):
+    path = land("products", "20260408094946", PRODUCTS_TEXT.splitlines()[0] + "\n")
+    assert process_products(spark, lake, path, RUN_2).rows == 0
+    assert read_table(spark, lake.raw("products"), PRODUCTS).count() == 0
+    assert not Path(lake.control("products")).exists()
+
+
+def test_sales_spread_over_days_with_one_ledger_row(spark, lake, land):
+    land("sales", "20260402000000", SALES_OLD)
+    land("sales", "20260408000000", SALES_NEW)
+    assert process_sales(spark, lake, RUN_2).rows == 5
+    folders = sorted(p.name for p in Path(lake.raw("sales")).glob("ref=*"))
+    assert folders == [
+        "ref=20260301", "ref=20260402", "ref=20260403", "ref=__HIVE_DEFAULT_PARTITION__",
+    ]
+    assert ledger(spark, lake, "sales") == [
+        ("sales", "20260403", "20260408000000", int(RUN_2), 5)
+    ]
+    raw = read_table(spark, lake.raw("sales"), SALES)
+    lazy = [tuple(r) for r in batch_control(raw, "sales", RUN_2).collect()]
+    assert lazy == ledger(spark, lake, "sales")
+
+
+def test_appending_again_doubles_and_replacing_does_not(spark, lake, land):
+    path = land("products", "20260408094946", PRODUCTS_TEXT)
+    for _ in range(2):
+        process_products(spark, lake, path, RUN_1)
+    for _ in range(2):
+        process_products(spark, lake, path, RUN_2, replace=True)
+    raw = read_table(spark, lake.raw("products"), PRODUCTS)
+    assert {r.ts_proc: r["count"] for r in raw.groupBy("ts_proc").count().collect()} == {
+        RUN_1: 2,
+        RUN_2: 1,
+    }
+
+
+def test_from_landing_to_book(spark, lake, land):
+    land("sales", "20260402000000", SALES_OLD)
+    process_sales(spark, lake, RUN_1)
+    land("sales", "20260408000000", SALES_NEW)
+    process_sales(spark, lake, RUN_2)
+    process_products(spark, lake, land("products", "20260408094946", PRODUCTS_TEXT), RUN_2)
+    assert publish_book(spark, lake, date(2026, 4, 8), RUN_2) == 2
+
+    book = {r.user_id: r for r in spark.read.parquet(lake.curated()).collect()}
+    assert set(book) == {"u-1", "u-2"}
+    one = book["u-1"]
+    assert (one.qtd_pcat_jogos, one.sum_pcat_jogos) == (2, Decimal("12.00"))
+    assert (one.qtd_pm_boleto_u1m, one.qtd_pm_pix_u1m) == (1, 1)
+    assert book["u-2"].qtd_pcat_jogos is None
+    assert (one.ref, one.ts_proc) == (20260408, int(RUN_2))
+    assert ledger(spark, lake, BOOK_CONTROL_TABLE, BOOK_CONTROL) == [
+        ("Book_1_Fraude", 20260408, int(RUN_2), 2)
+    ]
+
+
+def test_an_empty_book_still_has_a_ledger_row(spark, lake, land):
+    land("sales", "20260402000000", SALES_OLD)
+    process_sales(spark, lake, RUN_1)
+    process_products(spark, lake, land("products", "20260408094946", PRODUCTS_TEXT), RUN_2)
+    assert publish_book(spark, lake, date(2030, 1, 1), "20300101000000") == 0
+    assert ledger(spark, lake, BOOK_CONTROL_TABLE, BOOK_CONTROL) == [
+        ("Book_1_Fraude", 20300101, 20300101000000, 0)
+    ]
+
+
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
+    """Nearly all rows on one day: that folder gets several files, the rest one each."""
+    rows = spark.range(200_000).selectExpr(
+        "if(id % 100 = 0, '20260401', '20260402') as ref", f"'{RUN_1}' as ts_proc",
+        "sha2(cast(id as string), 256) as body",
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1MB")
+    try:
+        seen = append(rows, str(tmp_path / "raw"), spread_by="ref")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {
+        ref: len(list(tmp_path.glob(f"raw/ref={ref}/*/*.parquet")))
+        for ref in ("20260401", "20260402")
+    }
+    assert files["20260402"] > 1
+    assert files["20260401"] == 1
+    assert seen["rows"] == 200_000
+
+
+def test_landing_job_feeds_processing(spark, lake):
+    source = spark.createDataFrame(
+        [(1, "chess", "Jogos"), (2, None, None)],
+        "proudct_id int, product_des string, product_category string",
+    )
+    path = land_snapshot(lake, "products", source, datetime(2026, 4, 8, 9, 49, 46))
+    assert process_products(spark, lake, path, RUN_2).rows == 2
+
+
+def sales_ids(frame):
+    return sorted((r.transaction_id, r.ts_file_generation, r.ts_proc) for r in frame.collect())
+
+
+def test_increment_reads_each_file_once(spark, lake, land, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    land("sales", "20260402000000", SALES_OLD)
+    first = increment(spark, lake, "sales", RUN_1, checkpoint)
+    assert sales_ids(first) == [("t-1", "20260402000000", RUN_1)]
+    land("sales", "20260408000000", SALES_NEW)
+    second = increment(spark, lake, "sales", RUN_2, checkpoint)
+    assert [i for i, _, _ in sales_ids(second)] == ["t-1", "t-2", "t-3", "t-4"]
+    third = increment(spark, lake, "sales", "20260409010000", checkpoint)
+    assert third.count() == 0
+    raw = read_table(spark, lake.raw_increment("sales"), SALES)
+    assert raw.count() == 5
+    assert [row[-1] for row in ledger(spark, lake, "sales_increment")] == [1, 4]
+
+
+def test_increment_repeats_an_unfinished_run_without_doubling(spark, lake, land, tmp_path):
+    checkpoint = tmp_path / "checkpoint"
+    land("sales", "20260408000000", SALES_NEW)
+    increment(spark, lake, "sales", RUN_1, str(checkpoint))
+    # As if the driver died after writing the files, before noting the batch done.
+    for file in (checkpoint / "commits").iterdir():
+        file.unlink()
+    increment(spark, lake, "sales", RUN_2, str(checkpoint))
+    assert read_table(spark, lake.raw_increment("sales"), SALES).count() == 4

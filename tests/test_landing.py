@@ -1,0 +1,147 @@
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakebook.operators.conform import conform_products, conform_sales, conform_users
+from lakebook.plans.jobs import land_snapshot
+from lakebook.sources.landing import read_landing, with_lineage, write_landing
+
+RUN = "20260409120000"
+
+
+def test_text_survives_the_round_trip(spark, lake):
+    rows = [
+        ("a", 'say "hi", twice'),
+        ("b", "two\nlines"),
+        ("c", "  padded  "),
+        ("d", ""),
+        ("e", None),
+        ("f", "back\\slash"),
+        ("g", '"'),
+        ("h", "comma, and 'quote'"),
+        ("i", "#not a comment"),
+    ]
+    path = lake.landing_file("users", "20260408", "20260408094946")
+    write_landing(spark.createDataFrame(rows, "id string, text string"), path)
+    back = read_landing(spark, path, multiline=True)
+    # The reader takes an empty text for an empty field.
+    expected = [(key, text or None) for key, text in rows]
+    assert sorted(map(tuple, back.collect())) == expected
+
+
+def test_null_is_an_empty_field_and_types_become_text(spark, lake):
+    frame = spark.createDataFrame(
+        [(1, None, Decimal("2.50"), datetime(2026, 4, 8, 9, 49, 46))],
+        "id long, note string, amount decimal(14,2), at timestamp",
+    ).coalesce(1)
+    path = land_snapshot(lake, "sales", frame, datetime(2026, 4, 8, 9, 49, 46))
+    assert path.endswith("/0000_ingestion/sales/sales_20260408_20260408094946.csv")
+    text = "".join(p.read_text() for p in Path(path).glob("part-*"))
+    assert text == "id,note,amount,at\n1,,2.50,2026-04-08 09:49:46\n"
+
+
+def test_landing_again_replaces(spark, lake):
+    when = datetime(2026, 4, 8)
+    for n in (5, 3):
+        path = land_snapshot(lake, "users", spark.range(n), when)
+    assert read_landing(spark, path).count() == 3
+
+
+def test_lineage_of_plain_files_and_spark_folders(spark, lake, land):
+    plain = land("products", "20260408094946", "proudct_id\np-1\n")
+    land_snapshot(
+        lake,
+        "products",
+        spark.createDataFrame([("p-2",)], "proudct_id string"),
+        datetime(2026, 4, 9, 1, 2, 3),
+    )
+    both = with_lineage(read_landing(spark, lake.landing_glob("products")), RUN)
+    found = {r.proudct_id: (r.filename, r.ref, r.ts_file_generation, r.ts_proc)
+             for r in both.collect()}
+    assert found == {
+        "p-1": ("products_20260408_20260408094946.csv", "20260408", "20260408094946", RUN),
+        "p-2": ("products_20260409_20260409010203.csv", "20260409", "20260409010203", RUN),
+    }
+    assert with_lineage(read_landing(spark, plain), RUN).count() == 1
+
+
+def test_file_name_without_stamps_has_null_lineage(spark, tmp_path):
+    file = tmp_path / "odd.csv"
+    file.write_text("user_id\nu-1\n")
+    row = with_lineage(read_landing(spark, str(file)), RUN).first()
+    assert (row.filename, row.ref, row.ts_file_generation) == ("odd.csv", None, None)
+
+
+def test_run_stamp_needs_fourteen_digits(spark, land):
+    file = land("users", "20260408094946", "user_id\nu-1\n")
+    for bad in ("2026", "2026040812000x", ""):
+        with pytest.raises(ValueError):
+            with_lineage(read_landing(spark, file), bad)
+
+
+def test_other_header_order_fails_instead_of_mixing_columns(spark, lake, land):
+    land("users", "20260408094946", "user_id,email\nu-1,a@example.org\n")
+    land("users", "20260409094946", "email,user_id\nb@example.org,u-2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_landing(spark, lake.landing_glob("users")).collect()
+
+
+def test_products_are_renamed_and_extra_columns_dropped(spark, land):
+    file = land(
+        "products",
+        "20260408094946",
+        "brand,product_category,proudct_id,product_des\nx,Jogos,p-1,chess\n",
+    )
+    raw = conform_products(with_lineage(read_landing(spark, file), RUN))
+    assert raw.columns == [
+        "ref", "ts_file_generation", "ts_proc", "product_id", "product_des", "product_category",
+    ]
+    assert tuple(raw.first()) == ("20260408", "20260408094946", RUN, "p-1", "chess", "Jogos")
+
+
+def test_users(spark, land):
+    file = land(
+        "users",
+        "20260408094946",
+        "user_id,first_name,last_name,gender,email\nu-1,Ana,Silva,F,\n",
+    )
+    raw = conform_users(with_lineage(read_landing(spark, file), RUN))
+    assert tuple(raw.first()) == (
+        "20260408", "20260408094946", RUN, "u-1", "Ana", "Silva", "F", None,
+    )
+
+
+SALES_HEADER = "transaction_id,user_id,product_id,dat_creation,amount,quantity,payment_method\n"
+
+
+def test_sales_take_their_day_from_the_sale(spark, land):
+    file = land(
+        "sales",
+        "20260408094946",
+        SALES_HEADER
+        + "t-1,u-1,p-1,2026-03-05 10:00:00,1.005,2.0,PIX\n"
+        + "t-2,u-1,p-1,n/a,abc,2.7,PIX\n"
+        + "t-3,u-1,p-1,2026-13-45,123456789012345,-1.9,PIX\n"
+        + "t-4,u-1,p-1,,,,\n",
+    )
+    raw = conform_sales(with_lineage(read_landing(spark, file), RUN))
+    got = {
+        r.transaction_id: (r.ref, r.dat_creation, r.amount, r.quantity, r.payment_method)
+        for r in raw.collect()
+    }
+    assert got == {
+        "t-1": ("20260305", datetime(2026, 3, 5, 10), Decimal("1.01"), 2, "PIX"),
+        "t-2": ("n/a", None, None, 2, "PIX"),
+        "t-3": ("20261345", None, None, -1, "PIX"),
+        "t-4": (None, None, None, None, None),
+    }
+    types = dict(raw.dtypes)
+    assert (types["dat_creation"], types["amount"], types["quantity"]) == (
+        "timestamp", "decimal(14,2)", "int",
+    )
+    assert raw.select(F.max("ts_file_generation")).first()[0] == "20260408094946"
