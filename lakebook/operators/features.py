@@ -63,21 +63,24 @@ def cell(spec: FeatureSpec, dimension: Dimension) -> Column:
 
 
 def compact(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """One row per key, cells, band and ``copies``.
+    """One row per key, cells and band.
 
     ``rows`` need the key, ``amount``, ``age``, ``copies`` and one ``cell_*`` column
     per dimension. ``copies`` says how many identical rows a row stands for.
     """
     cells = [f"cell_{d.prefix}" for d in spec.dimensions]
+    amount, copies = F.col("amount"), F.col("copies")
+    # Most rows stand for one: those are spared the decimal multiplication.
+    total = F.when(copies == 1, amount).otherwise(amount * copies.cast("decimal(19,0)"))
     return (
         rows.withColumn("band", band(F.col("age"), spec.limits()))
-        .groupBy(KEY, *cells, "band", "copies")
+        .groupBy(KEY, *cells, "band")
         .agg(
-            F.count(F.lit(1)).alias("qtd"),
-            F.count("amount").alias("priced"),
-            F.sum("amount").alias("sum"),
-            F.min("amount").alias("min"),
-            F.max("amount").alias("max"),
+            F.sum(copies).alias("qtd"),
+            F.sum(F.when(amount.isNotNull(), copies)).alias("priced"),
+            F.sum(total).alias("sum"),
+            F.min(amount).alias("min"),
+            F.max(amount).alias("max"),
         )
     )
 
@@ -85,17 +88,12 @@ def compact(rows: DataFrame, spec: FeatureSpec) -> DataFrame:
 def assemble(compacted: DataFrame, spec: FeatureSpec) -> DataFrame:
     """The feature row of each key, from the output of ``compact``."""
     limits = spec.limits()
-    copies = F.col("copies")
-    # Multiplying decimals leaves the compact number form; most rows stand for one.
-    total = F.when(copies == 1, F.col("sum")).otherwise(
-        F.col("sum") * copies.cast("decimal(10,0)")
-    )
     per_cell = compacted.repartition(KEY).select(
         KEY,
         "band",
-        (F.col("qtd") * copies).alias("qtd"),
-        (F.col("priced") * copies).alias("priced"),
-        total.alias("sum"),
+        "qtd",
+        "priced",
+        "sum",
         "min",
         "max",
         F.explode(F.array(*[f"cell_{d.prefix}" for d in spec.dimensions])).alias("cell"),
