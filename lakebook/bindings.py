@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakebook.operators.conform import conform_products, conform_sales, conform_users
+from lakebook.schemas import SALES
 
 AS_OF = date(2001, 8, 1)
 TS_BOOK = "20010801030000"
@@ -102,9 +103,23 @@ def as_landed(source: DataFrame, file_stamp: str, ts_proc: str) -> DataFrame:
 
 
 def sales_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One batch of sales, conformed from text."""
     return conform_sales(as_landed(sales_source(spark, sf_dir), FILE_AUG, RUN_AUG))
 
 
+def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch as a raw table holds it, already typed."""
+    source = sales_source(spark, sf_dir)
+    typed = {
+        "ref": F.date_format("dat_creation", "yyyyMMdd"),
+        "ts_proc": F.lit(RUN_AUG),
+        "ts_file_generation": F.lit(FILE_AUG),
+    }
+    return source.select(
+        [typed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SALES]
+    )
+
+
 def products_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform_products(as_landed(products_source(spark, sf_dir), FILE_AUG, RUN_AUG))
 
@@ -126,7 +141,7 @@ def _repeated(batch: DataFrame, runs: tuple[tuple[str, str], ...]) -> DataFrame:
 
 def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches; files of July lack the sales of July."""
-    batches = _repeated(sales_batch(spark, sf_dir), SALES_RUNS)
+    batches = _repeated(sales_rows(spark, sf_dir), SALES_RUNS)
     return batches.where(
         (F.col("ts_file_generation") == FILE_AUG) | (F.col("dat_creation") < F.lit(JULY))
     )

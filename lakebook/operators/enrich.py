@@ -26,12 +26,17 @@ def payload_bytes(rows: DataFrame) -> int:
     return rows.agg(F.sum(size.cast("bigint"))).first()[0] or 0
 
 
-def small_side(rows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def small_side(
+    rows: DataFrame, limit: int = BROADCAST_BYTES, bound: DataFrame | None = None
+) -> DataFrame:
     """Mark ``rows`` for broadcast if a count of their bytes allows it.
 
-    Larger ones are left to a shuffled join, where adaptive execution splits the
+    ``bound`` may name rows that are cheaper to count and weigh at least as much.
+    Larger sides are left to a shuffled join, where adaptive execution splits the
     partitions of a hot key.
     """
+    if bound is not None and payload_bytes(bound) <= limit:
+        return F.broadcast(rows)
     return F.broadcast(rows) if payload_bytes(rows) <= limit else rows
 
 

@@ -99,34 +99,32 @@ def assemble(compacted: DataFrame, spec: FeatureSpec) -> DataFrame:
         F.explode(F.array(*[f"cell_{d.prefix}" for d in spec.dimensions])).alias("cell"),
     )
 
+    # Expressions as text: the table is wide, and every Column built in Python
+    # costs several calls into the JVM before the query even starts.
     wanted = {s for d in spec.dimensions for s in d.statistics}
     statistics = []
     for window in spec.windows:
         # Bands are nested: a window holds all bands up to its own.
         last = len(limits) if window.months is None else limits.index(window.months)
-
-        def inside(name: str, last: int = last) -> Column:
-            return F.when(F.col("band") <= last, F.col(name))
-
-        amount = F.sum(inside("sum")).try_cast(AMOUNT_SUM)
-        priced = F.sum(inside("priced")).cast("decimal(20,0)")
+        inside = f"filter (where band <= {last})"
+        amount = f"try_cast(sum(sum) {inside} as {AMOUNT_SUM.simpleString()})"
+        priced = f"cast(sum(priced) {inside} as decimal(20,0))"
         forms = {
-            "qtd": F.sum(inside("qtd")),
+            "qtd": f"sum(qtd) {inside}",
             "sum": amount,
-            "avg": F.try_divide(amount, priced).cast(AMOUNT_AVG),
-            "min": F.min(inside("min")),
-            "max": F.max(inside("max")),
+            "avg": f"cast(try_divide({amount}, {priced}) as {AMOUNT_AVG.simpleString()})",
+            "min": f"min(min) {inside}",
+            "max": f"max(max) {inside}",
         }
-        statistics += [
-            forms[s].alias(f"{s}{window.suffix}") for s in forms if s in wanted
-        ]
+        statistics += [F.expr(forms[s]).alias(f"{s}{window.suffix}") for s in forms if s in wanted]
 
     cells = [(d.prefix, label) for d in spec.dimensions for label, _ in d.values]
     wide = per_cell.groupBy(KEY).pivot("cell", list(range(len(cells)))).agg(*statistics)
-    single = len(statistics) == 1
     columns = []
     for feature in spec.features():
-        number = cells.index((feature.dimension.prefix, feature.label))
-        pivoted = f"{number}" if single else f"{number}_{feature.statistic}{feature.window.suffix}"
-        columns.append(F.col(f"`{pivoted}`").alias(feature.name))
-    return wide.select(KEY, *columns)
+        pivoted = str(cells.index((feature.dimension.prefix, feature.label)))
+        # Pivot leaves out the statistic's name where there is only one.
+        if len(statistics) > 1:
+            pivoted += f"_{feature.statistic}{feature.window.suffix}"
+        columns.append(f"`{pivoted}` as {feature.name}")
+    return wide.selectExpr(KEY, *columns)

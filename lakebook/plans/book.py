@@ -44,7 +44,8 @@ def _product_copies(products: DataFrame, spec: FeatureSpec, limit: int) -> DataF
         *[cell(spec, d).alias(f"cell_{d.prefix}") for d in spec.dimensions if d.column == CATEGORY],
     )
     copies = narrow.groupBy(*narrow.columns).agg(F.count(F.lit(1)).alias("copies"))
-    return small_side(copies, limit)
+    # Ungrouped, they take a scan to count; grouping decides only if that is too much.
+    return small_side(copies, limit, bound=narrow.withColumn("copies", F.lit(1)))
 
 
 def two_phase(
@@ -101,9 +102,9 @@ def feature_book(
         spec,
         broadcast_limit,
     )
-    return features.select(
+    return features.selectExpr(
         KEY,
-        F.lit(day(as_of)).alias("ref"),
-        F.lit(checked_stamp(ts_proc)).alias("ts_proc"),
-        *[feature.name for feature in spec.features()],
+        f"'{day(as_of)}' as ref",
+        f"'{checked_stamp(ts_proc)}' as ts_proc",
+        f"* except ({KEY})",
     )

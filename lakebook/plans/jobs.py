@@ -11,6 +11,7 @@ from lakebook.operators.conform import CONFORM
 from lakebook.operators.control import batch_control_row, book_control_row
 from lakebook.plans.book import feature_book
 from lakebook.schemas import PRODUCTS, SALES
+from lakebook.sources.jdbc import read_snapshot
 from lakebook.sources.landing import read_landing, with_lineage, write_landing
 from lakebook.sources.tables import Written, append, append_batch, read_table
 
@@ -25,6 +26,13 @@ def land_snapshot(lake: Lake, subject: str, snapshot: DataFrame, logical: dateti
     return path
 
 
+def land_table(
+    spark: SparkSession, lake: Lake, subject: str, logical: datetime, url: str, **options
+) -> str:
+    """Land a table of a relational source; ``options`` as for ``read_snapshot``."""
+    return land_snapshot(lake, subject, read_snapshot(spark, url, subject, **options), logical)
+
+
 def _process(
     spark: SparkSession,
     lake: Lake,
@@ -83,9 +91,6 @@ def process_sales(
     )
 
 
-PROCESS = {"products": process_products, "users": process_users}
-
-
 def publish_book(
     spark: SparkSession, lake: Lake, as_of: date, ts_proc: str, *, replace: bool = False, **options
 ) -> int:

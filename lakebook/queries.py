@@ -181,17 +181,17 @@ def lookback_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def recency_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = b.sales_batch(spark, sf_dir)
+    sales = b.sales_rows(spark, sf_dir)
     return with_flags(enrich(sales, b.products_batch(spark, sf_dir)), b.AS_OF)
 
 
 def enrich_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich(b.sales_batch(spark, sf_dir), b.products_batch(spark, sf_dir))
+    return enrich(b.sales_rows(spark, sf_dir), b.products_batch(spark, sf_dir))
 
 
 def _sales_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales whose product id is their quantity, to meet parts by size."""
-    return b.sales_batch(spark, sf_dir).withColumn("product_id", F.col("quantity").cast("string"))
+    return b.sales_rows(spark, sf_dir).withColumn("product_id", F.col("quantity").cast("string"))
 
 
 def _parts_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +216,7 @@ def enrich_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_suppkey").cast("string").alias("product_id"),
         F.col("s_name").alias("product_category"),
     )
-    return enrich(b.sales_batch(spark, sf_dir), products)
+    return enrich(b.sales_rows(spark, sf_dir), products)
 
 
 # Features
