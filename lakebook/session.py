@@ -15,9 +15,10 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    # Writing many day folders is bound by opening files, not by bytes: small
-    # writes may still use all cores.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    # Only sides whose bytes were counted are broadcast (operators.enrich). The size
+    # of a table's compressed files says little about its rows in memory, and a join
+    # planned on it would also keep all rows of an unsplittable file in one task.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
 
 _local_scratch: dict[str, str] = {}
@@ -32,6 +33,9 @@ def local_session(cores: str = "8", app: str = "lakebook", **extra: str) -> Spar
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Writing many day folders is bound by opening files, not by bytes: even
+        # the small writes of a test should use all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
