@@ -33,25 +33,22 @@ def newest_version(rows: DataFrame, lead: str) -> DataFrame:
 def latest_batch(rows: DataFrame, lead: str) -> DataFrame:
     """Rows of the newest batch, with ``lead`` as the more significant stamp.
 
-    The newest key is a scalar subquery, so the rows are filtered in place:
-    neither shuffled nor joined. Rows without a complete key are never selected.
+    The newest key is a scalar subquery over one narrow column, so the rows are
+    filtered in place: neither shuffled nor joined. It brings its run stamp
+    along, which on a table partitioned by ``ts_proc`` is a partition filter:
+    only one run's files are opened for the rows themselves. That filter takes
+    nothing away, as run stamps have one width, which the writers of this package
+    enforce, and so a key stands for one pair of stamps.
+
+    Rows without a complete key are never selected.
     """
     keyed = with_version_key(rows, lead)
-    return keyed.where(F.col("dedup_key") == newest_version(rows, lead).scalar())
-
-
-def latest_run_batch(rows: DataFrame) -> DataFrame:
-    """``latest_batch(rows, "ts_proc")`` for tables partitioned by ``ts_proc``.
-
-    The newest pair of stamps is looked up on its own, from one narrow column.
-    Its run stamp then acts as a partition filter: only one run's files are
-    opened for the rows themselves. Comparing the stamps one after the other
-    equals comparing them joined because all run stamps have the same width,
-    which the writers of this package enforce.
-    """
-    complete = rows.where(F.col("ts_proc").isNotNull() & F.col("ts_file_generation").isNotNull())
-    newest = complete.agg(F.max(F.struct("ts_proc", "ts_file_generation"))).scalar()
-    return with_version_key(rows, "ts_proc").where(
+    newest = (
+        keyed.where(F.col("dedup_key").isNotNull())
+        .agg(F.max(F.struct("dedup_key", "ts_proc")))
+        .scalar()
+    )
+    return keyed.where(
         (F.col("ts_proc") == newest.getField("ts_proc"))
-        & (F.col("ts_file_generation") == newest.getField("ts_file_generation"))
+        & (F.col("dedup_key") == newest.getField("dedup_key"))
     )

@@ -12,7 +12,7 @@ from lakebook.layout import checked_stamp, day
 from lakebook.operators.enrich import BROADCAST_BYTES, enrich, small_side
 from lakebook.operators.features import KEY, assemble, cell, compact, direct
 from lakebook.operators.recent import LOOKBACK_DAYS, lookback
-from lakebook.operators.snapshot import latest_batch, latest_run_batch
+from lakebook.operators.snapshot import latest_batch
 from lakebook.plans.spec import BOOK, FeatureSpec
 
 CATEGORY = "product_category"
@@ -24,7 +24,7 @@ def current_sales(raw_sales: DataFrame, as_of: date, lookback_days: int) -> Data
     The look-back comes first, so a newer batch that lies wholly outside it does
     not hide an older one.
     """
-    return latest_run_batch(lookback(raw_sales, as_of, lookback_days))
+    return latest_batch(lookback(raw_sales, as_of, lookback_days), lead="ts_proc")
 
 
 def current_products(raw_products: DataFrame) -> DataFrame:

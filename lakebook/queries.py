@@ -18,11 +18,10 @@ from lakebook.operators.recent import lookback, with_flags
 from lakebook.operators.snapshot import (
     batch_profile,
     latest_batch,
-    latest_run_batch,
     newest_version,
     with_version_key,
 )
-from lakebook.plans.book import feature_book
+from lakebook.plans.book import current_sales, feature_book
 from lakebook.plans.jobs import (
     land_snapshot,
     process_products,
@@ -166,7 +165,8 @@ def latest_batch_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_run_batch_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_run_batch(b.raw_sales(spark, sf_dir))
+    """As the book selects it, behind a look-back that holds every sale."""
+    return current_sales(b.raw_sales(spark, sf_dir), b.AS_OF, b.WHOLE_HISTORY)
 
 
 def latest_batch_products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,6 @@ import pytest
 from lakebook.operators.snapshot import (
     batch_profile,
     latest_batch,
-    latest_run_batch,
     newest_version,
 )
 
@@ -35,20 +34,17 @@ def reprocessed(spark):
 
 def test_sales_follow_the_run_and_products_the_file(reprocessed):
     assert ids(latest_batch(reprocessed, "ts_proc")) == [3]
-    assert ids(latest_run_batch(reprocessed)) == [3]
     assert ids(latest_batch(reprocessed, "ts_file_generation")) == [2]
 
 
 def test_only_the_newest_file_of_the_newest_run_survives(spark):
     frame = batches(spark, (NEW_RUN, OLD_FILE, 1), (NEW_RUN, NEW_FILE, 2), (NEW_RUN, NEW_FILE, 3))
     assert ids(latest_batch(frame, "ts_proc")) == [2, 3]
-    assert ids(latest_run_batch(frame)) == [2, 3]
 
 
 def test_incomplete_keys_are_never_selected(spark):
     frame = batches(spark, (NEW_RUN, None, 1), (None, NEW_FILE, 2), (OLD_RUN, OLD_FILE, 3))
     assert ids(latest_batch(frame, "ts_proc")) == [3]
-    assert ids(latest_run_batch(frame)) == [3]
     assert ids(latest_batch(frame, "ts_file_generation")) == [3]
 
 
@@ -56,14 +52,12 @@ def test_nothing_to_select(spark):
     for frame in (batches(spark, (None, None, 1)), batches(spark)):
         assert newest_version(frame, "ts_proc").first()[0] is None
         assert ids(latest_batch(frame, "ts_proc")) == []
-        assert ids(latest_run_batch(frame)) == []
-
+    
 
 def test_odd_file_stamps_compare_as_text(spark):
     """File names decide their stamps, so these need not have 14 digits."""
     frame = batches(spark, (OLD_RUN, "2026", 1), (OLD_RUN, "20260401070245", 2))
     assert ids(latest_batch(frame, "ts_file_generation")) == [1]
-    assert ids(latest_run_batch(frame)) == ids(latest_batch(frame, "ts_proc")) == [2]
 
 
 def test_profile_counts_rows_per_batch(reprocessed):
@@ -71,14 +65,14 @@ def test_profile_counts_rows_per_batch(reprocessed):
     assert profile == {OLD_RUN + OLD_FILE: 1, OLD_RUN + NEW_FILE: 1, NEW_RUN + OLD_FILE: 1}
 
 
-def test_the_newest_run_prunes_folders(spark, tmp_path):
+@pytest.mark.parametrize("lead", ["ts_proc", "ts_file_generation"])
+def test_the_newest_run_prunes_folders(spark, tmp_path, lead):
     path = str(tmp_path / "raw")
+    schema = "ts_proc string, ts_file_generation string, ref string, id int"
     spark.createDataFrame(
-        [(OLD_RUN, OLD_FILE, "20260401", 1), (NEW_RUN, NEW_FILE, "20260402", 2)],
-        "ts_proc string, ts_file_generation string, ref string, id int",
+        [(OLD_RUN, OLD_FILE, "20260401", 1), (NEW_RUN, NEW_FILE, "20260402", 2)], schema
     ).write.partitionBy("ref", "ts_proc").parquet(path)
-    schema = "ts_proc string, ts_file_generation string, ref string, id int"
-    newest = latest_run_batch(spark.read.schema(schema).parquet(path))
+    newest = latest_batch(spark.read.schema(schema).parquet(path), lead)
     assert ids(newest) == [2]
     plan = newest._jdf.queryExecution().executedPlan().toString()
     filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
