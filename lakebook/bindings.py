@@ -47,11 +47,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _renamed(column: str, names: dict[str, str]) -> Column:
-    renamed = F.col(column)
+def renamed(column: str, names: dict[str, str]) -> Column:
+    """The column with the values in ``names`` replaced, others as they are."""
+    value = F.col(column)
     for old, new in names.items():
-        renamed = F.when(F.col(column) == old, new).otherwise(renamed)
-    return renamed
+        value = F.when(F.col(column) == old, new).otherwise(value)
+    return value
 
 
 def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +66,7 @@ def sales_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").alias("dat_creation"),
         F.col("l_extendedprice").cast("decimal(14,2)").alias("amount"),
         F.col("l_quantity").alias("quantity"),
-        _renamed("o_orderpriority", PAYMENTS).alias("payment_method"),
+        renamed("o_orderpriority", PAYMENTS).alias("payment_method"),
         F.col("o_orderstatus").alias("status"),
     )
 
@@ -74,7 +75,7 @@ def products_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("proudct_id"),
         F.col("p_name").alias("product_des"),
-        _renamed("p_type", CATEGORIES).alias("product_category"),
+        renamed("p_type", CATEGORIES).alias("product_category"),
         F.col("p_brand").alias("brand"),
     )
 

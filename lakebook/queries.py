@@ -195,11 +195,10 @@ def _sales_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _parts_by_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = b.table(spark, sf_dir, "part").withColumn("p_partkey", F.col("p_size"))
-    source = parts.select(
-        F.col("p_partkey").alias("proudct_id"),
+    source = b.table(spark, sf_dir, "part").select(
+        F.col("p_size").alias("proudct_id"),
         F.col("p_name").alias("product_des"),
-        b._renamed("p_type", b.CATEGORIES).alias("product_category"),
+        b.renamed("p_type", b.CATEGORIES).alias("product_category"),
     )
     return conform_products(b.as_landed(source, b.FILE_AUG, b.RUN_AUG))
 

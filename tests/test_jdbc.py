@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from lakebook.sources.jdbc import snapshot_options
+from lakebook.sources.jdbc import read_snapshot, snapshot_options
 
 URL = "jdbc:postgresql://example.org/shop"
 
@@ -30,3 +30,50 @@ def test_split_snapshot():
 def test_split_needs_bounds():
     with pytest.raises(ValueError):
         snapshot_options(URL, "sales", split_on="id")
+
+
+class Recorder:
+    """Stands in for ``spark.read`` and keeps what the source asks of it."""
+
+    def __init__(self):
+        self.calls = {}
+
+    @property
+    def read(self):
+        return self
+
+    def format(self, name):
+        self.calls["format"] = name
+        return self
+
+    def options(self, **options):
+        self.calls["options"] = options
+        return self
+
+    def load(self):
+        return self.calls
+
+    def jdbc(self, url, table, predicates, properties):
+        return {"url": url, "table": table, "predicates": predicates, "properties": properties}
+
+
+def test_whole_table_read():
+    calls = read_snapshot(Recorder(), URL, "users", schema="shop", password="x")
+    assert calls["format"] == "jdbc"
+    assert calls["options"]["dbtable"] == "shop.users"
+    assert calls["options"]["password"] == "x"
+
+
+def test_read_by_text_keys():
+    parts = ["id < 'm'", "id >= 'm' or id is null"]
+    calls = read_snapshot(Recorder(), URL, "users", predicates=parts, user="reader")
+    assert (calls["url"], calls["table"], calls["predicates"]) == (URL, "public.users", parts)
+    assert calls["properties"] == {"fetchsize": "10000", "user": "reader"}
+
+
+def test_one_way_of_splitting():
+    with pytest.raises(ValueError):
+        read_snapshot(
+            Recorder(), URL, "users", predicates=["true"], split_on="id", bounds=(0, 1),
+            partitions=2,
+        )

@@ -6,6 +6,7 @@ from pathlib import Path
 
 from lakebook.layout import BOOK_CONTROL as BOOK_CONTROL_TABLE
 from lakebook.operators.control import batch_control
+from lakebook.plans.book import current_products
 from lakebook.plans.jobs import (
     land_snapshot,
     process_products,
@@ -60,6 +61,16 @@ def test_an_empty_file_leaves_no_ledger_row(spark, lake, land):
     assert not Path(lake.control("products")).exists()
 
 
+def test_a_file_without_stamps_in_its_name_is_kept_but_never_newest(spark, lake, tmp_path):
+    odd = tmp_path / "products.csv"
+    odd.write_text(PRODUCTS_TEXT)
+    assert process_products(spark, lake, str(odd), RUN_2).rows == 1
+    assert ledger(spark, lake, "products") == [("products", None, None, int(RUN_2), 1)]
+    raw = read_table(spark, lake.raw("products"), PRODUCTS)
+    assert raw.count() == 1
+    assert current_products(raw).count() == 0
+
+
 def test_sales_spread_over_days_with_one_ledger_row(spark, lake, land):
     land("sales", "20260402000000", SALES_OLD)
     land("sales", "20260408000000", SALES_NEW)

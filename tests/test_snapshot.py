@@ -61,7 +61,8 @@ def test_odd_file_stamps_compare_as_text(spark):
 
 
 def test_profile_counts_rows_per_batch(reprocessed):
-    profile = {r.dedup_key: r.qtd_registros for r in batch_profile(reprocessed, "ts_proc").collect()}
+    profile = batch_profile(reprocessed, "ts_proc").collect()
+    profile = {r.dedup_key: r.qtd_registros for r in profile}
     assert profile == {OLD_RUN + OLD_FILE: 1, OLD_RUN + NEW_FILE: 1, NEW_RUN + OLD_FILE: 1}
 
 
