@@ -264,3 +264,36 @@ def test_sales_are_aggregated_before_they_are_shuffled(spark, random_tables):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line]
     assert len(exchanges) == 2
     assert "cell_pcat" in exchanges[1] and "REPARTITION_BY_COL" in exchanges[0]
+
+
+def test_a_hot_product_is_split_in_the_shuffled_join(spark):
+    """A third of all sales on one product, and a product side too large to broadcast."""
+    sales = spark.range(0, 120_000, 1, 8).selectExpr(
+        "'20260401' as ref", f"'{STAMP}' as ts_proc", f"'{FILE}' as ts_file_generation",
+        "'t' as transaction_id", "sha2(cast(id % 5000 as string), 256) as user_id",
+        "if(id % 3 = 0, 'hot', sha2(cast(id as string), 256)) as product_id",
+        "cast(null as timestamp) as dat_creation", "cast(id % 100 as decimal(14,2)) as amount",
+        "1 as quantity", "'PIX' as payment_method",
+    )
+    products = spark.createDataFrame([product("hot", "Jogos"), product("hot", "Livros")], PRODUCTS)
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        book = feature_book(sales, products, RUN, STAMP, broadcast_limit=0)
+        rows = book.collect()
+        assert "skew=true" in plan_of(book)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    names = ("qtd_pm_pix", "qtd_pcat_jogos", "qtd_pcat_livros")
+    totals = [sum(row[name] or 0 for row in rows) for name in names]
+    assert totals == [160_000, 40_000, 40_000]
+    assert len(rows) == 5000
