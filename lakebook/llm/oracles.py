@@ -53,6 +53,17 @@ select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
 from joined
 """
 
+OP2 = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as n, sha256(coalesce(html, '')) as d from pages
+), g as (select d, min(page_id) as first_id, count(*) as c from p where n >= 100 group by d)
+select page_id, n::bigint as payload_bytes, d as payload_digest,
+  case when c > 1 and page_id is distinct from first_id and first_id is not null
+    then 'revisit' else 'response' end as record_type,
+  case when c > 1 and page_id is distinct from first_id then first_id end as refers_to
+from p left join g using (d)
+"""
+
 OP7 = """
 select doc_id, max(doc_id) over w as keep_id, count(*) over w as group_size,
   doc_id is not distinct from max(doc_id) over w as kept, sha256(coalesce(text, '')) as text_sha256
@@ -61,5 +72,6 @@ from documents window w as (partition by coalesce(text, ''))
 
 ORACLES: dict[str, str] = {
     "op1_quality_rules": OP1,
+    "op2_warc": OP2,
     "op7_exact_dedup": OP7,
 }

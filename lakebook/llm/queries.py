@@ -11,6 +11,7 @@ from lakebook.llm.exact import duplicate_report
 from lakebook.llm.quality import quality_rules
 from lakebook.llm.sharding import assign_shards
 from lakebook.llm.shared import table
+from lakebook.llm.warc import archive_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_roundtrip(table(spark, sf_dir, "pages"))
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     sized = table(spark, sf_dir, "documents").select(
@@ -41,6 +46,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
     "op7_exact_dedup": op7_exact_dedup,
 }
