@@ -11,6 +11,7 @@ from lakebook.llm.exact import duplicate_report
 from lakebook.llm.quality import quality_rules
 from lakebook.llm.sharding import assign_shards
 from lakebook.llm.shared import table
+from lakebook.llm.simhash import near_duplicates
 from lakebook.llm.warc import archive_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,9 +45,14 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_simhash": op8_simhash,
 }
