@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebook.llm.shared import stored
+from lakebook.llm.shared import lookup, stored
 
 HASHES = 3
 SEGMENT_BITS = 18
@@ -126,7 +126,9 @@ def duplicate_report(
     groups = suspects.groupBy("sha").agg(
         F.max(F.struct("doc_id", "row")).alias("top"), F.count("*").alias("group_size")
     )
-    decided = suspects.join(groups, "sha").select(
+    # Stored, so that a join too large to broadcast reads both sides plainly and Spark
+    # can split a digest that a third of all rows share.
+    decided = suspects.join(lookup(stored(groups, "groups")), "sha").select(
         "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("top.row")).alias("kept"), "sha",
     )

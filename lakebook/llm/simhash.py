@@ -211,7 +211,8 @@ def fingerprint_components(prints: DataFrame, radius: int = RADIUS) -> DataFrame
     total = rooted.groupBy("root").agg(
         F.min("least_id").alias("component_id"), F.sum("n").alias("n_docs")
     )
-    return rooted.join(total, "root").select("fp", "root", "component_id", "n_docs")
+    found = rooted.join(stored(total, "totals"), "root")
+    return stored(found.select("fp", "root", "component_id", "n_docs"), "components")
 
 
 def near_duplicates(
