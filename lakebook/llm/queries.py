@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakebook.llm.bpe import roundtrip
 from lakebook.llm.exact import duplicate_report
+from lakebook.llm.packing import pack_documents
 from lakebook.llm.quality import quality_rules
 from lakebook.llm.sharding import assign_shards
 from lakebook.llm.shared import table
@@ -41,6 +43,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -49,10 +55,21 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return roundtrip(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
+    "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
+    "op9_bpe": op9_bpe,
 }
