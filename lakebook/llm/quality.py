@@ -33,7 +33,7 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def _lines(text: Column) -> Column:
     """Normalised lines that hold a word, as (h, n): hash and characters."""
     flat = F.lower(F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " "))
-    trimmed = F.transform(F.split(flat, "\n"), F.trim)
+    trimmed = F.transform(F.split(flat, "\n"), lambda line: F.trim(line))  # trim itself would take the index
     return F.transform(
         F.filter(trimmed, lambda line: line != ""),
         lambda line: F.struct(F.xxhash64(line).alias("h"), F.length(line).alias("n")),

@@ -146,6 +146,7 @@ def _search(radius: int):
         """Rows come sorted by shard, tree members first."""
         tree, shard, out = BKTree(), None, []
         for batch in batches:
+            batch["fp"] = batch["fp"].to_numpy().view(np.uint64)  # bits, not a sign
             columns = [batch[c].tolist() for c in ("key", "t", "u", "asks", "fp")]
             for key, t, u, asks, fp in zip(*columns, strict=True):
                 if (key, t, u) != shard:
@@ -157,12 +158,15 @@ def _search(radius: int):
                 else:
                     out.extend((fp, tree.values[root]) for root in tree.reached(fp, radius))
             if out:
-                yield pd.DataFrame(out, columns=["x", "y"], dtype="int64")
+                yield signed(out)
                 out = []
         if t_is_own(shard):
             out.extend(tree.links())
         if out:
-            yield pd.DataFrame(out, columns=["x", "y"], dtype="int64")
+            yield signed(out)
+
+    def signed(pairs: list[tuple[int, int]]) -> pd.DataFrame:
+        return pd.DataFrame(np.array(pairs, dtype=np.uint64).view(np.int64), columns=["x", "y"])
 
     def t_is_own(shard: tuple | None) -> bool:
         return shard is not None and shard[1] == shard[2]
