@@ -9,16 +9,19 @@ from pyspark.sql import functions as F
 
 from lakebook.llm.bpe import roundtrip
 from lakebook.llm.exact import duplicate_report
+from lakebook.llm.langid import language_id
 from lakebook.llm.packing import pack_documents
 from lakebook.llm.quality import quality_rules
 from lakebook.llm.sharding import assign_shards
-from lakebook.llm.shared import table
+from lakebook.llm.shared import held_out, table
 from lakebook.llm.simhash import near_duplicates
+from lakebook.llm.toxicity import toxicity
 from lakebook.llm.warc import archive_roundtrip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 8
+TOXIC_FROM = 0.3
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +46,15 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity(documents, labels, ~held_out("doc_id"))
+    return scored.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -64,12 +76,20 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = language_id(documents, documents.where(~held_out("doc_id")))
+    return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_simhash": op8_simhash,
     "op9_bpe": op9_bpe,
+    "op10_language_id": op10_language_id,
 }
