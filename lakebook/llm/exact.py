@@ -43,64 +43,75 @@ def _slots(digests: pd.Series, bits: int) -> np.ndarray:
     return words[:, :HASHES] & np.uint64(bits - 1)
 
 
-def _marks(bits: int):
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Per segment, the slots of this batch, with those touched twice written twice."""
-        for batch in batches:
-            if not len(batch):
-                continue
-            slots = np.sort(_slots(batch["sha"], bits).ravel())
-            slot, count = np.unique(slots, return_counts=True)
-            slot = np.repeat(slot, np.minimum(count, 2)).astype(np.uint64)
-            segment = (slot >> np.uint64(SEGMENT_BITS)).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(segment)) + 1
-            low = (slot & np.uint64((1 << SEGMENT_BITS) - 1)).astype("<u4")
-            yield pd.DataFrame(
-                {
-                    "segment": segment[np.concatenate(([0], cuts))],
-                    "slots": [part.tobytes() for part in np.split(low, cuts)],
-                }
-            )
-
-    return mark
+def mark(slots: np.ndarray) -> pd.DataFrame:
+    """Per segment of the filter, the touched slots; those touched twice stand twice."""
+    slot, count = np.unique(slots.ravel(), return_counts=True)
+    slot = np.repeat(slot, np.minimum(count, 2)).astype(np.uint64)
+    segment = (slot >> np.uint64(SEGMENT_BITS)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(segment)) + 1
+    low = (slot & np.uint64((1 << SEGMENT_BITS) - 1)).astype("<u4")
+    starts = np.concatenate(([0], cuts))[: len(slot)]
+    return pd.DataFrame(
+        {"segment": segment[starts], "slots": [p.tobytes() for p in np.split(low, cuts)] if len(slot) else []}
+    )
+
+
+MARKS = "segment long, slots binary"
 
 
 def _merge(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The slots of a segment that were touched at least twice, as a bitmap."""
-    once = np.zeros(1 << SEGMENT_BITS, dtype=np.uint8)
+    touched = np.zeros(1 << SEGMENT_BITS, dtype=np.uint8)
     for part in parts:
         for slots in part["slots"]:
-            seen = np.bincount(np.frombuffer(slots, dtype="<u4"), minlength=1 << SEGMENT_BITS)
-            once = np.minimum(once + np.minimum(seen, 2), 2).astype(np.uint8)
-    twice = np.packbits(once == 2, bitorder="little")
+            at, count = np.unique(np.frombuffer(slots, dtype="<u4"), return_counts=True)
+            touched[at] = np.minimum(touched[at] + count, 2)
+    twice = np.packbits(touched == 2, bitorder="little")
     if twice.any():
         yield pd.DataFrame({"segment": [key[0]], "bitmap": [twice.tobytes()]})
 
 
+def touched_twice(marks: DataFrame, bits: int) -> bytes:
+    """The bitmap of all slots touched at least twice: ``bits`` / 8 bytes at the driver."""
+    merged = marks.groupBy("segment").applyInPandas(_merge, "segment long, bitmap binary")
+    filled = bytearray(bits // 8)
+    size = 1 << (SEGMENT_BITS - 3)
+    for segment, bitmap in merged.collect():
+        filled[segment * size : (segment + 1) * size] = bitmap
+    return bytes(filled)
+
+
+def all_set(filled: bytes, slots: np.ndarray) -> np.ndarray:
+    """For each row of ``slots``, whether all of them are set."""
+    held = np.frombuffer(filled, dtype=np.uint8)
+    return ((held[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
+
+
+def filter_bits(wanted: int, max_bits: int = MAX_BITS) -> int:
+    bits = 1 << SEGMENT_BITS
+    while bits < min(wanted, max_bits):
+        bits *= 2
+    return bits
+
+
 def possibly_repeated(hashed: DataFrame, max_bits: int = MAX_BITS):
     """A function of a digest column, false only where ``hashed.sha`` has it once.
 
     ``hashed`` is a stored table. The merged filter, at most ``max_bits`` / 8 bytes, is
     what the driver gathers and broadcasts.
     """
-    rows = hashed.count()
-    bits = 1 << SEGMENT_BITS
-    while bits < min(16 * rows, max_bits):
-        bits *= 2
-    marks = hashed.select("sha").mapInPandas(_marks(bits), "segment long, slots binary")
-    merged = marks.groupBy("segment").applyInPandas(_merge, "segment long, bitmap binary")
-    filled = bytearray(bits // 8)
-    size = 1 << (SEGMENT_BITS - 3)
-    for segment, bitmap in merged.collect():
-        filled[segment * size : (segment + 1) * size] = bitmap
-    shared = hashed.sparkSession.sparkContext.broadcast(bytes(filled))
+    bits = filter_bits(16 * hashed.count(), max_bits)
+
+    def marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield mark(_slots(batch["sha"], bits))
+
+    filled = touched_twice(hashed.select("sha").mapInPandas(marks, MARKS), bits)
+    shared = hashed.sparkSession.sparkContext.broadcast(filled)
 
     @F.pandas_udf("boolean")
     def maybe(sha: pd.Series) -> pd.Series:
-        slots = _slots(sha, bits)
-        held = np.frombuffer(shared.value, dtype=np.uint8)
-        hit = (held[slots >> np.uint64(3)] >> (slots & np.uint64(7)).astype(np.uint8)) & 1
-        return pd.Series(hit.all(axis=1))
+        return pd.Series(all_set(shared.value, _slots(sha, bits)))
 
     return maybe
 

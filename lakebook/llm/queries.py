@@ -15,6 +15,7 @@ from lakebook.llm.quality import quality_rules
 from lakebook.llm.sharding import assign_shards
 from lakebook.llm.shared import held_out, table
 from lakebook.llm.simhash import near_duplicates
+from lakebook.llm.suffix import repeat_report
 from lakebook.llm.toxicity import toxicity
 from lakebook.llm.warc import archive_roundtrip
 
@@ -46,6 +47,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_report(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     scored = toxicity(documents, labels, ~held_out("doc_id"))
@@ -86,6 +93,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
     "op3_sharding": op3_sharding,
+    "op4_suffix_array": op4_suffix_array,
     "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_exact_dedup": op7_exact_dedup,
