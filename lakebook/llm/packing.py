@@ -27,49 +27,101 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakebook.llm.bpe import in_groups, load
+from lakebook.llm.bpe import IdPool, Ids, as_strings, encode_joined, encode_words, in_groups, load
 from lakebook.llm.shared import numbered, stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, BIN = 4096, 1, 16
-#: Words whose ids a task remembers.
-REMEMBER = 300_000
+_SPECIAL = b"<|"
+_ONLY_MARKS = r"^[!-&(-/:-@\[-`{-~]+$"
+_CORE_AND_MARKS = r"(?s)^(?P<core>.*\p{L})(?P<marks>[!-&(-/:-@\[-`{-~]+)$"
 PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
 
 
 # Pieces ------------------------------------------------------------------------
 
 
-def _encode(texts: list[bytes], path: str, known: dict[bytes, bytes]) -> list[bytes]:
-    """Ids of texts whose tokenizer drops white space, from those of their words."""
-    words = [t.split() for t in texts]
-    new = list({w for ws in words for w in ws if w not in known})
-    if new:
-        if len(known) + len(new) > REMEMBER:
-            known.clear()
-            new = list({w for ws in words for w in ws})
-        found = load(path).encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-        known.update((w, np.asarray(e.ids, dtype="<u4").tobytes()) for w, e in zip(new, found, strict=True))
-    return [b"".join([known[w] for w in ws]) for ws in words]
+@lru_cache(maxsize=4)
+def _ends(path: str) -> np.ndarray:
+    """Whether each id ends a piece."""
+    vocabulary = load(path).get_vocab(with_added_tokens=True)
+    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    for piece, i in vocabulary.items():
+        ends[i] = piece.endswith("</w>")
+    return ends
+
+
+def _single(parts: pa.Array) -> pa.Array:
+    """Whether a part is letters only or marks only, and so a single piece. (A letter whose
+    lower case is more than letters shows in the count of pieces.)"""
+    return pc.or_(pc.utf8_is_alpha(parts), pc.match_substring_regex(parts, _ONLY_MARKS))
+
+
+def encode_lower(path: str, words: list[str]) -> Ids:
+    """Ids of distinct words in lower case. A run of marks at the end of a word, after a
+    letter, is a piece of its own, so each word is the sum of two parts, the second often
+    empty, and each distinct part is encoded once."""
+    own = pa.array(words, pa.string())
+    found = pc.extract_regex(own, _CORE_AND_MARKS)
+    marks = pc.fill_null(found.field("marks"), "")
+    cores = pc.if_else(found.is_valid(), found.field("core"), own)
+    parts = pa.concat_arrays([cores, marks]).dictionary_encode()
+    single = _single(parts.dictionary)
+    joined = parts.dictionary.filter(single).to_pylist()
+    other = parts.dictionary.filter(pc.invert(single)).to_pylist()
+    pool = IdPool()
+    pool.add(joined, *encode_joined(load(path), joined, " ", _ends(path), True))
+    pool.add(other, *encode_words(load(path), other))
+    flags = np.asarray(single)
+    place = np.where(flags, flags.cumsum() - 1, len(joined) + (~flags).cumsum() - 1)
+    numbers = place[np.asarray(parts.indices)].reshape(2, len(words))
+    sizes = pool.size[numbers]
+    return pool.gather(numbers.T.ravel())[0], sizes.sum(axis=0)
+
+
+def _plain_ids(pool: IdPool, texts: list[bytes], path: str) -> list[bytes]:
+    """Ids of texts without special tokens; the tokenizer drops white space and upper case."""
+    lists = pc.ascii_split_whitespace(as_strings(texts))
+    begins = np.asarray(lists.offsets)
+    encoded = pc.ascii_lower(lists.flatten()).dictionary_encode()
+    ids, ends = pool.gather(
+        pool.numbers(encoded.dictionary.to_pylist(), lambda new: encode_lower(path, new))[np.asarray(encoded.indices)]
+    )
+    ends = 4 * np.concatenate(([0], ends))[begins]
+    data = ids.tobytes()
+    return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+
+
+def encode_texts(pool: IdPool, texts: list[bytes], path: str) -> list[bytes]:
+    pool.trim()
+    plain = [i for i, t in enumerate(texts) if _SPECIAL not in t]
+    found = dict(zip(plain, _plain_ids(pool, [texts[i] for i in plain], path) if plain else [], strict=True))
+    return [
+        found[i] if i in found else encode_words(load(path), [t.decode("utf-8", "replace")])[0].tobytes()
+        for i, t in enumerate(texts)
+    ]
 
 
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
     end = np.uint32(end_id).astype("<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[bytes, bytes] = {}
+        pool = IdPool()
         for batch in batches:
             docs = zip(batch["doc_id"], [t or b"" for t in batch["text"]], strict=True)
             for group in in_groups(list(docs), lambda doc: len(doc[1])):
                 rows = []
-                for (doc_id, _), ids in zip(group, _encode([t for _, t in group], path, known), strict=True):
+                for (doc_id, _), ids in zip(group, encode_texts(pool, [t for _, t in group], path), strict=True):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
