@@ -16,8 +16,6 @@ from lakebook.schemas import SALES
 
 AS_OF = date(2001, 8, 1)
 TS_BOOK = "20010801030000"
-# Far enough back to hold every order.
-WHOLE_HISTORY = 4000
 
 # Four part types and four priorities take the place of the book's listed values;
 # the others keep their names and so are counted nowhere.

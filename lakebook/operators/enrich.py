@@ -27,20 +27,32 @@ def payload_bytes(rows: DataFrame) -> int:
 
 
 def small_side(
-    rows: DataFrame, limit: int = BROADCAST_BYTES, bound: DataFrame | None = None
+    rows: DataFrame,
+    limit: int = BROADCAST_BYTES,
+    bound: DataFrame | None = None,
+    known_bytes: int | None = None,
 ) -> DataFrame:
     """Mark ``rows`` for broadcast if a count of their bytes allows it.
 
+    ``known_bytes`` is a size that the caller vouches for; it saves the job that counts.
+
     ``bound`` may name rows that are cheaper to count and weigh at least as much.
     Larger sides are left to a shuffled join, where adaptive execution splits the
     partitions of a hot key.
     """
+    if known_bytes is not None:
+        return F.broadcast(rows) if known_bytes <= limit else rows
     if bound is not None and payload_bytes(bound) <= limit:
         return F.broadcast(rows)
     return F.broadcast(rows) if payload_bytes(rows) <= limit else rows
 
 
-def enrich(sales: DataFrame, products: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def enrich(
+    sales: DataFrame,
+    products: DataFrame,
+    limit: int = BROADCAST_BYTES,
+    known_bytes: int | None = None,
+) -> DataFrame:
     """Every sale with the category of each product row of its ``product_id``.
 
     Duplicate product ids multiply a sale; a sale without a product stays, with
@@ -49,6 +61,6 @@ def enrich(sales: DataFrame, products: DataFrame, limit: int = BROADCAST_BYTES)
     categories = products.select("product_id", "product_category").where(
         F.col("product_id").isNotNull()
     )
-    return sales.join(small_side(categories, limit), "product_id", "left").select(
+    return sales.join(small_side(categories, limit, known_bytes=known_bytes), "product_id", "left").select(
         *[sales[name] for name in sales.columns], "product_category"
     )

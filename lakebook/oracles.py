@@ -106,7 +106,9 @@ def _latest(subject: str) -> str:
     join ({_newest(subject)}) m on a.dedup_key = m.max_dedup_key"""
 
 
-def _lookback(rows: str, days: int) -> str:
+def _lookback(rows: str, days: int | None) -> str:
+    if days is None:
+        return rows
     first = f"strftime({AS_OF} - interval {days} day, '%Y%m%d')"
     return f"select * from ({rows}) where ref >= {first}"
 
@@ -148,7 +150,7 @@ def _feature(feature: Feature) -> str:
 
 def _book(
     spec: FeatureSpec = BOOK,
-    days: int = b.WHOLE_HISTORY,
+    days: int | None = None,
     sales: str = SALES,
     products: str = PRODUCTS,
 ) -> str:
@@ -220,6 +222,7 @@ def _book_control(spec_days: int) -> str:
 
 _RUN_JULY = f"select * from ({RAW_SALES}) where ts_proc = '{b.RUN_JUL}'"
 _RUN_AUGUST = f"select * from ({RAW_SALES}) where ts_proc = '{b.RUN_AUG}'"
+_INCREMENT_JULY = f"select * from ({_SALES_INCREMENTS}) where ts_proc = '{b.RUN_JUL}'"
 _ORDER = "assunto, ref, ts_file_generation, ts_proc, qtd_registros"
 
 ORACLES: dict[str, str] = {
@@ -244,6 +247,11 @@ ORACLES: dict[str, str] = {
         from ({_SALES_FILES}) group by all
     """,
     "landing_increment": _SALES_INCREMENTS,
+    "increment_ledger": f"""
+        select {_ORDER} from ({_control("sales", _INCREMENT_JULY, b.RUN_JUL)})
+        union all select {_ORDER} from ({_control("sales", SALES, b.RUN_AUG)})
+    """,
+    "rerun_replaced": SALES,
     "conform_products": PRODUCTS,
     "conform_users": USERS,
     "conform_sales": SALES,
@@ -294,8 +302,9 @@ ORACLES: dict[str, str] = {
     "feature_book_direct": _book(days=180),
     "feature_book_full_history": _book(),
     "feature_book_fanout": _book(sales=_SALES_BY_SIZE, products=_PARTS_BY_SIZE),
+    "feature_book_from_increments": _book(days=180),
     "row_count": f"select cast(count(*) as bigint) as qtd_registros from ({RAW_SALES})",
-    "control_batch_sales": _control("sales", RAW_SALES, b.RUN_AUG),
+    "control_batch_sales": _control("sales", _RUN_AUGUST, b.RUN_AUG),
     "control_batch_products": _control("products", PRODUCTS, b.RUN_AUG),
     "control_batch_users": _control("users", USERS, b.RUN_AUG),
     "control_book": _book_control(180),

@@ -5,15 +5,17 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakebook.layout import BOOK_CONTROL, Lake, checked_stamp, day, stamp
 from lakebook.operators.conform import CONFORM
 from lakebook.operators.control import batch_control_row, book_control_row
 from lakebook.plans.book import feature_book
-from lakebook.schemas import PRODUCTS, SALES
+from lakebook.operators.recent import LOOKBACK_DAYS, first_ref
+from lakebook.schemas import BATCH_CONTROL, BOOK_CONTROL as BOOK_LEDGER, PRODUCTS, SALES
 from lakebook.sources.jdbc import read_snapshot
 from lakebook.sources.landing import read_landing, with_lineage, write_landing
-from lakebook.sources.tables import Written, append, append_batch, read_table
+from lakebook.sources.tables import Written, append, append_batch, read_table, set_ledger
 
 
 def land_snapshot(lake: Lake, subject: str, snapshot: DataFrame, logical: datetime) -> str:
@@ -46,12 +48,17 @@ def _process(
 ) -> Written:
     landed = with_lineage(read_landing(spark, path, multiline=multiline), ts_proc)
     written = append_batch(
-        CONFORM[subject](landed), lake.raw(subject), spread_by=spread_by, replace=replace
+        CONFORM[subject](landed),
+        lake.raw(subject),
+        spread_by=spread_by,
+        replace=ts_proc if replace else None,
     )
-    if written.rows:
-        row = batch_control_row(
-            spark, subject, written.ref, written.ts_file_generation, ts_proc, written.rows
-        )
+    row = batch_control_row(
+        spark, subject, written.ref, written.ts_file_generation, ts_proc, written.rows
+    ).where(F.col("qtd_registros") > 0)
+    if replace:
+        set_ledger(spark, lake.control(subject), BATCH_CONTROL, row, [int(ts_proc)])
+    elif written.rows:
         row.write.mode("append").partitionBy("ref").parquet(lake.control(subject))
     return written
 
@@ -92,17 +99,42 @@ def process_sales(
 
 
 def publish_book(
-    spark: SparkSession, lake: Lake, as_of: date, ts_proc: str, *, replace: bool = False, **options
+    spark: SparkSession,
+    lake: Lake,
+    as_of: date,
+    ts_proc: str,
+    *,
+    replace: bool = False,
+    increments: bool = False,
+    lookback_days: int | None = LOOKBACK_DAYS,
+    **options,
 ) -> int:
-    """Build the book from raw, append it to curated with its ledger row."""
+    """Build the book from raw, append it to curated with its ledger row.
+
+    With ``increments`` the sales are those that ``lakebook.streaming.increment`` has
+    stored, each file once, and the newest file is the current table: a run that
+    picks up an old file late does not bring it back. Without, every run holds all
+    files, and the newest run decides.
+    """
+    checked_stamp(ts_proc)
+    if increments:
+        sales, lead = read_table(spark, lake.raw_increment("sales"), SALES), "ts_file_generation"
+    else:
+        first = first_ref(as_of, lookback_days)
+        sales, lead = read_table(spark, lake.raw("sales"), SALES, first), "ts_proc"
     book = feature_book(
-        read_table(spark, lake.raw("sales"), SALES),
+        sales,
         read_table(spark, lake.raw("products"), PRODUCTS),
         as_of,
-        checked_stamp(ts_proc),
+        ts_proc,
+        lookback_days=lookback_days,
+        sales_lead=lead,
         **options,
     )
-    rows = append(book, lake.curated(), replace=replace).get("rows") or 0
+    rows = append(book, lake.curated(), replace=ts_proc if replace else None).get("rows") or 0
     row = book_control_row(spark, day(as_of), ts_proc, rows)
-    row.write.mode("append").partitionBy("ref").parquet(lake.control(BOOK_CONTROL))
+    if replace:
+        set_ledger(spark, lake.control(BOOK_CONTROL), BOOK_LEDGER, row, [int(ts_proc)])
+    else:
+        row.write.mode("append").partitionBy("ref").parquet(lake.control(BOOK_CONTROL))
     return rows

@@ -21,7 +21,7 @@ from lakebook.operators.snapshot import (
     newest_version,
     with_version_key,
 )
-from lakebook.plans.book import current_sales, feature_book
+from lakebook.plans.book import book_schema, current_sales, feature_book
 from lakebook.plans.jobs import (
     land_snapshot,
     process_products,
@@ -85,6 +85,18 @@ def file_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs; each reads only the file that landed since the one before."""
+    return read_table(spark, _run_increments(spark, sf_dir).raw_increment("sales"), SALES)
+
+
+def increment_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each of the two runs."""
+    ledger = read_table(
+        spark, _run_increments(spark, sf_dir).control("sales_increment"), BATCH_CONTROL
+    )
+    return ledger.select("assunto", "ref", "ts_file_generation", "ts_proc", "qtd_registros")
+
+
+def _run_increments(spark: SparkSession, sf_dir: str) -> Lake:
     lake = _lake(spark, "increment")
     checkpoint = f"{lake.root}/checkpoint"
     sales = b.sales_source(spark, sf_dir)
@@ -92,7 +104,7 @@ def landing_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     increment(spark, lake, "sales", b.RUN_JUL, checkpoint)
     land_snapshot(lake, "sales", sales, AUGUST)
     increment(spark, lake, "sales", b.RUN_AUG, checkpoint)
-    return read_table(spark, lake.raw_increment("sales"), SALES)
+    return lake
 
 
 # Raw rows
@@ -165,8 +177,8 @@ def latest_batch_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_run_batch_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As the book selects it, behind a look-back that holds every sale."""
-    return current_sales(b.raw_sales(spark, sf_dir), b.AS_OF, b.WHOLE_HISTORY)
+    """As the book selects it, without a look-back."""
+    return current_sales(b.raw_sales(spark, sf_dir), b.AS_OF, None)
 
 
 def latest_batch_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,7 +237,7 @@ def _book(
     spark: SparkSession,
     sf_dir: str,
     spec: FeatureSpec = BOOK,
-    days: int = b.WHOLE_HISTORY,
+    days: int | None = None,
     mode: str = "two_phase",
 ) -> DataFrame:
     return feature_book(
@@ -270,7 +282,7 @@ def feature_book_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         _parts_by_size(spark, sf_dir),
         b.AS_OF,
         b.TS_BOOK,
-        lookback_days=b.WHOLE_HISTORY,
+        lookback_days=None,
     )
 
 
@@ -282,7 +294,8 @@ def row_count_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def control_batch_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_control(b.raw_sales(spark, sf_dir), "sales", b.RUN_AUG)
+    run = b.raw_sales(spark, sf_dir).where(F.col("ts_proc") == b.RUN_AUG)
+    return batch_control(run, "sales", b.RUN_AUG)
 
 
 def control_batch_products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,13 +329,33 @@ def _run_lake(spark: SparkSession, sf_dir: str) -> Lake:
     return lake
 
 
+def _published(spark: SparkSession, lake: Lake) -> DataFrame:
+    schema = book_schema()
+    return read_table(spark, lake.curated(), schema).select(*schema.names)
+
+
 def curated_publish_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The published book, as written by the chain of jobs from landing on."""
-    lake = _run_lake(spark, sf_dir)
-    names = [feature.name for feature in BOOK.features()]
-    stored = spark.read.parquet(lake.curated())
-    text = [F.col(name).cast("string").alias(name) for name in ("ref", "ts_proc")]
-    return stored.select("user_id", *text, *names)
+    return _published(spark, _run_lake(spark, sf_dir))
+
+
+def feature_book_from_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The book from sales files that were each read once."""
+    lake = _run_increments(spark, sf_dir)
+    products = land_snapshot(lake, "products", b.products_source(spark, sf_dir), AUGUST)
+    process_products(spark, lake, products, b.RUN_AUG)
+    publish_book(spark, lake, b.AS_OF, b.TS_BOOK, increments=True)
+    return _published(spark, lake)
+
+
+def rerun_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run over July's file, repeated under its stamp over August's."""
+    lake = _lake(spark, "rerun")
+    sales = b.sales_source(spark, sf_dir)
+    july = land_snapshot(lake, "sales", sales.where(F.col("dat_creation") < F.lit(b.JULY)), b.JULY)
+    process_sales(spark, lake, b.RUN_AUG, july)
+    process_sales(spark, lake, b.RUN_AUG, land_snapshot(lake, "sales", sales, AUGUST), replace=True)
+    return read_table(spark, lake.raw("sales"), SALES)
 
 
 def users_publish_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,6 +388,8 @@ QUERIES: dict[str, Query] = {
     "landing_glob_scan": landing_glob_scan,
     "file_lineage": file_lineage,
     "landing_increment": landing_increment,
+    "increment_ledger": increment_ledger,
+    "rerun_replaced": rerun_replaced,
     "conform_products": conform_products_query,
     "conform_users": conform_users_query,
     "conform_sales": conform_sales_query,
@@ -384,6 +419,7 @@ QUERIES: dict[str, Query] = {
     "feature_book_direct": feature_book_direct,
     "feature_book_full_history": feature_book_full_history,
     "feature_book_fanout": feature_book_fanout,
+    "feature_book_from_increments": feature_book_from_increments,
     "row_count": row_count_sales,
     "control_batch_sales": control_batch_sales,
     "control_batch_products": control_batch_products,

@@ -23,6 +23,7 @@ def _text(*names: str) -> list[StructField]:
     return [StructField(name, StringType()) for name in names]
 
 
+# The column names and types of the stored tables.
 # ``ref`` and ``ts_proc`` are declared as text. Left to inference they come back
 # as numbers, until one malformed folder name turns the whole column into text.
 PRODUCTS = StructType(

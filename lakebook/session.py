@@ -5,8 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 
+#: Names the folder for tables written along the way; ``spark.checkpoint.dir`` if unset.
+SCRATCH_SETTING = "lakebook.scratch.dir"
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 SETTINGS = {
     # Event dates are cut out of text and compared with a run date: one zone only.
     "spark.sql.session.timeZone": "UTC",
@@ -21,7 +26,7 @@ SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
 }
 
-_local_scratch: dict[str, str] = {}
+_scratch: dict[tuple[str, str], str] = {}
 
 
 def local_session(cores: str = "8", app: str = "lakebook", **extra: str) -> SparkSession:
@@ -45,24 +50,59 @@ def local_session(cores: str = "8", app: str = "lakebook", **extra: str) -> Spar
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """Put the settings the library relies on onto an existing session."""
+    """Put the settings the library relies on onto an existing session, for good."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # Folders are listed in tasks of many folders each, not in one task a folder.
+    spark.conf.set(LISTING, str(4 * spark.sparkContext.defaultParallelism))
     return spark
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session with the library's settings beside ``spark``, which keeps its own.
+
+    It shares the application, its executors and cached tables. The other SQL settings
+    are those that ``spark`` has now.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and own.conf.get(key, None) != value:
+            try:
+                own.conf.set(key, value)
+            except PySparkException:
+                continue  # fixed for the whole application, and so the same
+    return apply_settings(own)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and its file system, as Spark itself would open it."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _scratch_root(spark: SparkSession, base: str) -> str:
+    """This application's folder below ``base``; removed when its JVM ends."""
+    context = spark.sparkContext
+    key = (context.applicationId, base)
+    if key not in _scratch:
+        root = f"{base.rstrip('/')}/lakebook-{context.applicationId}-{uuid.uuid4().hex[:8]}"
+        path, system = hadoop_path(spark, root)
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _scratch[key] = root
+    return _scratch[key]
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path in the folder that all executors share.
 
-    ``spark.checkpoint.dir`` names that folder. Only a local session may go
-    without it: there, driver and executors are one machine.
+    ``lakebook.scratch.dir`` names that folder, or else ``spark.checkpoint.dir``. Only a
+    local session may go without either: there, driver and executors are one machine.
+    What is written below goes when the application ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get(SCRATCH_SETTING, None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        if context.applicationId not in _local_scratch:
-            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="lakebook-")
-        base = _local_scratch[context.applicationId]
-    return f"{base.rstrip('/')}/lakebook-{purpose}-{uuid.uuid4().hex}"
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {SCRATCH_SETTING} to a folder shared by the cluster")
+        base = tempfile.gettempdir()
+    return f"{_scratch_root(spark, base)}/{purpose}-{uuid.uuid4().hex}"

@@ -16,16 +16,22 @@ def snapshot_options(
     bounds: tuple[object, object] | None = None,
     partitions: int | None = None,
     fetch_size: int = 10_000,
+    until: tuple[str, str] | None = None,
     **connection: str,
 ) -> dict[str, str]:
     """Reader options for ``select *`` over one source table.
 
+    ``until`` is a column and an SQL literal: rows beyond it, and NULLs there, wait for
+    a later run.
+
     ``split_on`` names a numeric, date or timestamp column. Its ``bounds`` only
     set the width of the slices: rows outside them, and NULLs, are still read.
     """
     options = {
         "url": url,
-        "dbtable": f"{schema}.{subject}",
+        "dbtable": f"{schema}.{subject}"
+        if until is None
+        else f"(select * from {schema}.{subject} where {until[0]} <= {until[1]}) as {subject}",
         "fetchsize": str(fetch_size),
         **connection,
     }
@@ -47,15 +53,22 @@ def read_snapshot(
     subject: str,
     *,
     predicates: Sequence[str] | None = None,
+    one_task: bool = False,
     **options,
 ) -> DataFrame:
     """All rows and columns of a source table.
 
-    Without ``split_on`` or ``predicates`` the database sends everything through
-    one connection into one task, which only suits small tables. ``predicates``
-    split a table by text keys, one task each; together they must cover every
-    row exactly once.
+    Say how it is cut: ``split_on``, or ``predicates`` for text keys, one task each,
+    which together must cover every row exactly once. ``one_task`` sends everything
+    through one connection into one task, which only suits small tables.
+
+    Only a read by one task is one consistent snapshot. Slices are transactions of
+    their own, each at its own moment; a table that is written meanwhile can land torn.
+    ``until`` fixes an upper bound for the run, so that all slices agree on which rows
+    there are as long as rows up to it no longer change.
     """
+    if not one_task and predicates is None and "split_on" not in options:
+        raise ValueError("give split_on, predicates, or one_task=True")
     if predicates is None:
         return spark.read.format("jdbc").options(**snapshot_options(url, subject, **options)).load()
     if "split_on" in options:

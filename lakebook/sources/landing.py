@@ -25,11 +25,16 @@ def reader_options(multiline: bool = False) -> dict[str, str]:
     return _DIALECT | {"enforceSchema": "false", "multiLine": str(multiline).lower()}
 
 
-def write_landing(snapshot: DataFrame, path: str) -> None:
+# A file with line breaks in its texts is read by one task, so none may grow without end.
+ROWS_PER_FILE = 1_000_000
+
+
+def write_landing(snapshot: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Write a snapshot as CSV under ``path``, replacing what an earlier run left.
 
     ``path`` ends in ``subject_ref_stamp.csv`` and becomes a folder with one part
-    per task. NULL is an empty field; an empty text is read back as NULL, too.
+    per task, or several of at most ``rows_per_file`` rows. NULL is an empty field; an
+    empty text is read back as NULL, too.
     """
     text = snapshot.select(
         [
@@ -37,7 +42,8 @@ def write_landing(snapshot: DataFrame, path: str) -> None:
             for f in snapshot.schema
         ]
     )
-    text.write.mode("overwrite").options(**_DIALECT, **_AS_IS).csv(path)
+    writer = text.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    writer.options(**_DIALECT, **_AS_IS).csv(path)
 
 
 def read_landing(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:

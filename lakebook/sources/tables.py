@@ -10,11 +10,39 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakebook.schemas import PARTITIONS
+from lakebook.session import hadoop_path
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a table with its declared schema; no file is opened to infer one."""
-    return spark.read.schema(schema).parquet(path)
+DEFAULT_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that match a pattern of names, without a look at what is in them."""
+    path, system = hadoop_path(spark, pattern)
+    return [str(status.getPath()) for status in system.globStatus(path) or [] if status.isDirectory()]
+
+
+def read_table(
+    spark: SparkSession, path: str, schema: StructType, first_ref: int | None = None
+) -> DataFrame:
+    """Read a table with its declared schema; no file is opened to infer one.
+
+    With ``first_ref`` only folders whose ``ref`` is a number from there on are listed
+    at all: the folder names of the first level decide, so the driver holds no file of
+    older days. Such a read does not consult a streaming sink's log; leave ``first_ref``
+    out for tables that a stream writes.
+    """
+    reader = spark.read.schema(schema)
+    if first_ref is None:
+        return reader.parquet(path)
+    wanted = [
+        folder
+        for folder in _folders(spark, f"{path}/ref=*")
+        if (name := folder.rpartition("ref=")[2]).isdecimal() and int(name) >= first_ref
+    ]
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    return reader.option("basePath", path).parquet(*wanted)
 
 
 @dataclass(frozen=True)
@@ -32,7 +60,7 @@ def append(
     partitions: Sequence[str] = PARTITIONS,
     *,
     spread_by: str | None = None,
-    replace: bool = False,
+    replace: str | None = None,
     observe: Sequence[Column] = (),
 ) -> dict:
     """Append ``rows`` to a partitioned table and report on them in the same pass.
@@ -45,19 +73,72 @@ def append(
     The observed metrics sit in the stage that writes, past any shuffle, so a
     task that is run again after a lost executor is not counted twice.
 
-    ``replace`` overwrites exactly the partitions present in ``rows``, which makes
-    a rerun under the same stamp harmless.
+    ``replace`` names a run stamp, the one of all ``rows``. Afterwards the table holds,
+    of that run, these rows only: folders that the rows fill are overwritten, and
+    others of the run, left by an earlier attempt, are removed once the rows are
+    written. A repeated call leaves the same.
     """
     if spread_by is not None:
         rows = rows.hint("rebalance", spread_by)
     seen = Observation()
-    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *observe).write
-    if replace:
-        writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-    else:
-        writer = writer.mode("append")
+    refs = [] if replace is None else [F.collect_set(F.coalesce("ref", F.lit(""))).alias("_refs")]
+    writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *refs, *observe).write
+    if replace is None:
+        writer.mode("append").partitionBy(*partitions).parquet(path)
+        return seen.get
+    spark = rows.sparkSession
+    older = _run_folders(spark, path, replace)
+    writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
     writer.partitionBy(*partitions).parquet(path)
-    return seen.get
+    found = seen.get
+    for ref in older - set(_folder_values(found.get("_refs"))):
+        remove(spark, f"{path}/ref={ref}/ts_proc={replace}")
+    return found
+
+
+def _run_folders(spark: SparkSession, path: str, ts_proc: str) -> set[str]:
+    """The ``ref`` of every folder that a run has, as the folder names have it."""
+    found = _folders(spark, f"{path}/ref=*/ts_proc={ts_proc}")
+    return {folder.rpartition("/ts_proc=")[0].rpartition("/ref=")[2] for folder in found}
+
+
+def _folder_values(refs: Sequence[str | None] | None) -> list[str]:
+    """Partition values as folder names; what a path cannot hold is percent-encoded."""
+    return [
+        "".join(f"%{ord(c):02X}" if c in _ESCAPED or ord(c) < 32 else c for c in ref) if ref else DEFAULT_FOLDER
+        for ref in refs or []
+    ]
+
+
+_ESCAPED = set("\"#%'*/:=?\\\x7f{[]^")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    found, system = hadoop_path(spark, path)
+    system.delete(found, True)
+
+
+def set_ledger(spark: SparkSession, path: str, schema: StructType, rows: DataFrame, runs: Sequence[int]) -> None:
+    """Make ``rows`` the ledger's only rows of the given runs.
+
+    A ledger has a row per run and is small: the rows of the days concerned are
+    gathered, and these days' folders rewritten.
+    """
+    names = rows.columns
+    new = [tuple(r) for r in rows.collect()]
+    path_found, system = hadoop_path(spark, path)
+    held = read_table(spark, path, schema).select(*names).collect() if system.exists(path_found) else []
+    at, run_at = names.index("ref"), names.index("ts_proc")
+    gone = {r[at] for r in held if r[run_at] in runs}
+    days = gone | {r[at] for r in new}
+    left = [tuple(r) for r in held if r[run_at] not in runs and r[at] in days] + new
+    kinds = StructType([rows.schema[name] for name in names])
+    if left:
+        spark.createDataFrame(left, kinds).coalesce(1).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("ref").parquet(path)
+    for ref in gone - {r[at] for r in left}:
+        remove(spark, f"{path}/ref={_folder_values([None if ref is None else str(ref)])[0]}")
 
 
 def append_batch(rows: DataFrame, path: str, **options) -> Written:

@@ -7,16 +7,54 @@ from pyspark.sql import functions as F
 
 from lakebook.layout import Lake
 from lakebook.operators.conform import CONFORM
-from lakebook.operators.control import batch_control
-from lakebook.schemas import PARTITIONS, RAW
+from lakebook.operators.control import batch_control_row
+from lakebook.schemas import BATCH_CONTROL, PARTITIONS, RAW
+from lakebook.session import hadoop_path
 from lakebook.sources.landing import read_landing, reader_options, with_lineage
-from lakebook.sources.tables import read_table
+from lakebook.sources.tables import read_table, set_ledger
+
+
+# Spark's file stream passes over files a week older than the newest one, without a
+# word. A hundred years let a copy or a backfill keep its times.
+MAX_FILE_AGE = "36500d"
 
 
 def landed_stream(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
-    """Landed files as a stream. The header of what is there names the columns."""
+    """Landed files as a stream. The header of what is there names the columns.
+
+    No file is too old. The price is that the stream's log and the driver's memory keep
+    the name of every file ever read, some 200 bytes each.
+    """
     header = read_landing(spark, path, multiline=multiline).schema
-    return spark.readStream.schema(header).options(**reader_options(multiline)).csv(path)
+    options = reader_options(multiline) | {"maxFileAge": MAX_FILE_AGE}
+    return spark.readStream.schema(header).options(**options).csv(path)
+
+
+def update_ledger(spark: SparkSession, lake: Lake, subject: str) -> None:
+    """Bring the ledger in line with the stored increments: one row per run.
+
+    The rows come from the table itself, so a run that stored its rows and failed before
+    its ledger row gets it from the next one, and a repeated run adds none.
+    """
+    stored = read_table(spark, lake.raw_increment(subject), RAW[subject])
+    path = lake.control(f"{subject}_increment")
+    there, system = hadoop_path(spark, path)
+    known: dict[int, tuple] = {}
+    if system.exists(there):
+        for row in read_table(spark, path, BATCH_CONTROL).collect():
+            known.setdefault(row["ts_proc"], []).append(
+                (row["ref"], row["ts_file_generation"], row["qtd_registros"])
+            )
+    runs = (
+        stored.groupBy("ts_proc")
+        .agg(F.max(F.struct("ts_file_generation", "ref")).alias("newest"), F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    for run in runs:
+        row = (run["newest"]["ref"], run["newest"]["ts_file_generation"], run["n"])
+        if known.get(int(run["ts_proc"])) != [row]:
+            control = batch_control_row(spark, subject, row[0], row[1], run["ts_proc"], row[2])
+            set_ledger(spark, path, BATCH_CONTROL, control, [int(run["ts_proc"])])
 
 
 def increment(
@@ -32,7 +70,8 @@ def increment(
 
     The checkpoint remembers which files were read, and the sink's log which
     output files belong to finished batches: a run that is killed and repeated
-    neither loses nor doubles a row. The sink must be the table's only writer,
+    neither loses nor doubles a row, and the ledger has one row for every run that
+    stored any. The sink must be the table's only writer,
     which is why increments have their own raw table. Run it when a landing job
     has finished, not beside one.
 
@@ -53,9 +92,6 @@ def increment(
     )
     query.awaitTermination()
 
+    update_ledger(spark, lake, subject)
     done = read_table(spark, lake.raw_increment(subject), RAW[subject])
-    run = done.where(F.col("ts_proc") == ts_proc)
-    batch_control(run, subject, ts_proc).write.mode("append").partitionBy("ref").parquet(
-        lake.control(f"{subject}_increment")
-    )
-    return run
+    return done.where(F.col("ts_proc") == ts_proc)

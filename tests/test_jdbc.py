@@ -58,7 +58,7 @@ class Recorder:
 
 
 def test_whole_table_read():
-    calls = read_snapshot(Recorder(), URL, "users", schema="shop", password="x")
+    calls = read_snapshot(Recorder(), URL, "users", schema="shop", one_task=True, password="x")
     assert calls["format"] == "jdbc"
     assert calls["options"]["dbtable"] == "shop.users"
     assert calls["options"]["password"] == "x"
@@ -77,3 +77,15 @@ def test_one_way_of_splitting():
             Recorder(), URL, "users", predicates=["true"], split_on="id", bounds=(0, 1),
             partitions=2,
         )
+
+
+def test_how_to_cut_a_table_must_be_said():
+    with pytest.raises(ValueError):
+        read_snapshot(Recorder(), URL, "users")
+
+
+def test_an_upper_bound_for_the_run():
+    options = snapshot_options(URL, "sales", until=("changed", "timestamp '2026-04-08 00:00:00'"))
+    assert options["dbtable"] == (
+        "(select * from public.sales where changed <= timestamp '2026-04-08 00:00:00') as sales"
+    )

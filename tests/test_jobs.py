@@ -1,9 +1,15 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+import time
 from datetime import date, datetime
 from decimal import Decimal
 from pathlib import Path
 
+import pytest
+
 from lakebook.layout import BOOK_CONTROL as BOOK_CONTROL_TABLE
 from lakebook.operators.control import batch_control
 from lakebook.plans.book import current_products
@@ -15,6 +21,7 @@ from lakebook.plans.jobs import (
     publish_book,
 )
 from lakebook.schemas import BATCH_CONTROL, BOOK_CONTROL, PRODUCTS, SALES
+from lakebook.session import own_session
 from lakebook.sources.tables import append, read_table
 from lakebook.streaming.increment import increment
 
@@ -187,3 +194,145 @@ def test_increment_repeats_an_unfinished_run_without_doubling(spark, lake, land,
         file.unlink()
     increment(spark, lake, "sales", RUN_2, str(checkpoint))
     assert read_table(spark, lake.raw_increment("sales"), SALES).count() == 4
+
+
+def stored_days(lake, subject="sales"):
+    return sorted(p.parent.name for p in Path(lake.raw(subject)).glob("ref=*/ts_proc=*"))
+
+
+def test_a_replaced_run_loses_days_that_vanished(spark, lake, land):
+    """Every kind of folder name: days, odd text, and none."""
+    odd = SALES_NEW + "t-5,u-3,p-1,n/a:%7,1.00,1,PIX\n"
+    process_sales(spark, lake, RUN_1, land("sales", "20260408000000", odd))
+    process_sales(spark, lake, RUN_2, land("sales", "20260408000000", odd))
+    for _ in range(2):
+        written = process_sales(
+            spark, lake, RUN_2, land("sales", "20260408000000", SALES_OLD), replace=True
+        )
+        rows = read_table(spark, lake.raw("sales"), SALES)
+        assert rows.where(f"ts_proc = '{RUN_2}'").count() == written.rows == 1
+        assert rows.where(f"ts_proc = '{RUN_1}'").count() == 5
+        assert [r[-1] for r in ledger(spark, lake, "sales") if r[3] == int(RUN_2)] == [1]
+
+
+def test_a_replaced_run_keeps_odd_days_that_stayed(spark, lake, land):
+    path = land("sales", "20260408000000", SALES_NEW + "t-5,u-3,p-1,n/a:%7,1.00,1,PIX\n")
+    for _ in range(2):
+        process_sales(spark, lake, RUN_2, path, replace=True)
+    assert read_table(spark, lake.raw("sales"), SALES).count() == 5
+    assert len(ledger(spark, lake, "sales")) == 1
+
+
+def test_a_run_replaced_by_nothing_is_gone(spark, lake, land):
+    process_sales(spark, lake, RUN_2, land("sales", "20260408000000", SALES_NEW))
+    process_sales(spark, lake, RUN_2, land("sales", "20260408000000", HEADER), replace=True)
+    assert stored_days(lake) == []
+    assert not list(Path(lake.control("sales")).glob("ref=*"))
+
+
+def test_a_book_published_again_has_one_ledger_row(spark, lake, land):
+    process_sales(spark, lake, RUN_1, land("sales", "20260408000000", SALES_NEW))
+    process_products(spark, lake, land("products", "20260408094946", PRODUCTS_TEXT), RUN_2)
+    for _ in range(2):
+        assert publish_book(spark, lake, date(2026, 4, 8), RUN_2, replace=True) == 2
+    assert spark.read.parquet(lake.curated()).count() == 2
+    assert [r[-1] for r in ledger(spark, lake, BOOK_CONTROL_TABLE, BOOK_CONTROL)] == [2]
+
+
+@pytest.mark.parametrize("days", [8, 400])
+def test_increment_reads_files_with_old_times(spark, lake, land, tmp_path, days):
+    checkpoint = str(tmp_path / "checkpoint")
+    land("sales", "20260408000000", SALES_NEW)
+    increment(spark, lake, "sales", RUN_1, checkpoint)
+    old = land("sales", "20260402000000", SALES_OLD)
+    then = time.time() - days * 86_400
+    os.utime(old, (then, then))
+    assert increment(spark, lake, "sales", RUN_2, checkpoint).count() == 1
+    assert [row[-1] for row in ledger(spark, lake, "sales_increment")] == [1, 4]
+
+
+def test_increment_under_one_stamp_twice_has_one_ledger_row(spark, lake, land, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    land("sales", "20260402000000", SALES_OLD)
+    for _ in range(2):
+        increment(spark, lake, "sales", RUN_1, checkpoint)
+    assert [row[-1] for row in ledger(spark, lake, "sales_increment")] == [1]
+    land("sales", "20260408000000", SALES_NEW)
+    increment(spark, lake, "sales", RUN_1, checkpoint)
+    assert [row[1:] for row in ledger(spark, lake, "sales_increment")] == [
+        ("20260403", "20260408000000", int(RUN_1), 5)
+    ]
+
+
+def test_a_ledger_row_that_a_failed_run_owes_comes_with_the_next(
+    spark, lake, land, tmp_path, monkeypatch
+):
+    checkpoint = str(tmp_path / "checkpoint")
+    land("sales", "20260402000000", SALES_OLD)
+
+    def fail(*_):
+        raise OSError("no ledger")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("lakebook.streaming.increment.update_ledger", fail)
+        with pytest.raises(OSError, match="no ledger"):
+            increment(spark, lake, "sales", RUN_1, checkpoint)
+    increment(spark, lake, "sales", RUN_2, checkpoint)
+    assert [row[3:] for row in ledger(spark, lake, "sales_increment")] == [(int(RUN_1), 1)]
+
+
+def test_a_late_old_file_does_not_become_the_current_table(spark, lake, land, tmp_path):
+    checkpoint = str(tmp_path / "checkpoint")
+    process_products(spark, lake, land("products", "20260408094946", PRODUCTS_TEXT), RUN_2)
+    land("sales", "20260408000000", SALES_NEW)
+    increment(spark, lake, "sales", RUN_1, checkpoint)
+    land("sales", "20260402000000", SALES_OLD)
+    increment(spark, lake, "sales", RUN_2, checkpoint)
+    assert publish_book(spark, lake, date(2026, 4, 8), RUN_2, increments=True) == 2
+
+
+def test_a_read_of_some_days_lists_these_only(spark, lake, land):
+    process_sales(spark, lake, RUN_1, land("sales", "20260408000000", SALES_NEW))
+    rows = read_table(spark, lake.raw("sales"), SALES, first_ref=20260402)
+    assert len(rows.inputFiles()) == 2
+    assert sorted(r.ref for r in rows.collect()) == ["20260402", "20260403"]
+    assert rows.columns == read_table(spark, lake.raw("sales"), SALES).columns
+    assert read_table(spark, lake.raw("sales"), SALES, first_ref=20300101).count() == 0
+
+
+def test_a_sale_of_1900_is_in_a_book_without_look_back(spark, lake, land):
+    old = HEADER + "t-1,u-9,p-1,1900-03-01 10:00:00,5.00,1,PIX\n"
+    process_sales(spark, lake, RUN_1, land("sales", "20260402000000", old))
+    process_products(spark, lake, land("products", "20260408094946", PRODUCTS_TEXT), RUN_2)
+    assert publish_book(spark, lake, date(2026, 4, 8), RUN_2, lookback_days=None) == 1
+
+
+def test_a_caller_keeps_its_settings(spark):
+    before = dict(spark.conf.getAll)
+    own = own_session(spark)
+    own.conf.set("spark.sql.shuffle.partitions", "3")
+    assert dict(spark.conf.getAll) == before
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        assert own_session(spark).conf.get("spark.sql.shuffle.partitions") == "5"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before["spark.sql.shuffle.partitions"])
+
+
+def test_scratch_folders_go_with_the_application(tmp_path):
+    script = (
+        "from lakebook.session import local_session\n"
+        "import __spark_entry__ as e\n"
+        f"s = local_session('2', **{{'lakebook.scratch.dir': {str(tmp_path)!r}}})\n"
+        "assert e.queries()['landing_csv_roundtrip'](s, '/root/testdata/sf0.001').count()\n"
+        f"import os; assert os.listdir({str(tmp_path)!r})\n"
+        "s.stop()\n"
+    )
+    root = str(Path(__file__).resolve().parents[1])
+    env = os.environ | {"PYTHONPATH": root}
+    subprocess.run([sys.executable, "-c", script], check=True, cwd=root, env=env, timeout=300)
+    for _ in range(100):  # the JVM ends a moment after Python
+        if not os.listdir(tmp_path):
+            break
+        time.sleep(0.2)
+    assert os.listdir(tmp_path) == []

@@ -25,6 +25,11 @@ def test_lookback_edges(spark):
     assert kept(lookback(frame, RUN)) == sorted([day(180), day(0), day(-400), "20261345"])
 
 
+def test_no_lookback_keeps_everything(spark):
+    values = ["19000101", "20260408", None, "n/a"]
+    assert lookback(refs(spark, values), RUN, None).count() == 4
+
+
 def test_lookback_on_inferred_numbers(spark):
     frame = spark.createDataFrame([(20260101,), (20200101,)], "ref int")
     assert [r.ref for r in lookback(frame, RUN).collect()] == [20260101]

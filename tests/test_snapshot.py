@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 
 from lakebook.operators.snapshot import (
@@ -7,6 +9,7 @@ from lakebook.operators.snapshot import (
     latest_batch,
     newest_version,
 )
+from lakebook.plans.book import current_sales
 
 OLD_RUN, NEW_RUN = "20260401010000", "20260402010000"
 OLD_FILE, NEW_FILE = "20260401000000", "20260402000000"
@@ -66,15 +69,55 @@ def test_profile_counts_rows_per_batch(reprocessed):
     assert profile == {OLD_RUN + OLD_FILE: 1, OLD_RUN + NEW_FILE: 1, NEW_RUN + OLD_FILE: 1}
 
 
-@pytest.mark.parametrize("lead", ["ts_proc", "ts_file_generation"])
-def test_the_newest_run_prunes_folders(spark, tmp_path, lead):
-    path = str(tmp_path / "raw")
-    schema = "ts_proc string, ts_file_generation string, ref string, id int"
-    spark.createDataFrame(
-        [(OLD_RUN, OLD_FILE, "20260401", 1), (NEW_RUN, NEW_FILE, "20260402", 2)], schema
-    ).write.partitionBy("ref", "ts_proc").parquet(path)
-    newest = latest_batch(spark.read.schema(schema).parquet(path), lead)
-    assert ids(newest) == [2]
-    plan = newest._jdf.queryExecution().executedPlan().toString()
-    filters = [line for line in plan.splitlines() if "PartitionFilters" in line]
-    assert any("ts_proc" in f.split("PartitionFilters")[1] and "ubquery" in f for f in filters)
+STORED = "ts_proc string, ts_file_generation string, ref string, id int"
+LAST_RUN = "20260403010000"
+
+
+def stored(spark, path, *rows):
+    spark.createDataFrame(list(rows), STORED).write.partitionBy("ref", "ts_proc").parquet(str(path))
+    return spark.read.schema(STORED).parquet(str(path))
+
+
+def partition_filters(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [
+        line.split("PartitionFilters")[1].split("PushedFilters")[0]
+        for line in plan.splitlines()
+        if "PartitionFilters" in line
+    ]
+
+
+@pytest.mark.parametrize(("lead", "expected"), [("ts_proc", [3]), ("ts_file_generation", [2])])
+def test_every_scan_is_pruned_to_the_run(spark, tmp_path, lead, expected):
+    """Three runs; the last one reads the old file again."""
+    rows = stored(
+        spark, tmp_path / "raw", (OLD_RUN, OLD_FILE, "20260401", 1),
+        (NEW_RUN, NEW_FILE, "20260402", 2), (LAST_RUN, OLD_FILE, "20260401", 3),
+    )
+    newest = latest_batch(rows, lead)
+    assert ids(newest) == expected
+    filters = partition_filters(newest)
+    run = LAST_RUN if lead == "ts_proc" else NEW_RUN
+    assert filters and all("ts_proc" in f and run in f for f in filters)
+
+
+def test_a_stored_run_without_a_complete_key_is_passed_over(spark, tmp_path):
+    rows = stored(
+        spark, tmp_path / "raw", (OLD_RUN, OLD_FILE, "20260401", 1),
+        (NEW_RUN, None, "20260402", 2), (None, NEW_FILE, "20260402", 3),
+    )
+    assert ids(latest_batch(rows, "ts_proc")) == [1]
+    assert ids(latest_batch(rows, "ts_file_generation")) == [1]
+
+
+def test_no_stored_run_has_a_complete_key(spark, tmp_path):
+    rows = stored(spark, tmp_path / "raw", (NEW_RUN, None, "20260402", 2))
+    assert ids(latest_batch(rows, "ts_proc")) == []
+
+
+def test_the_look_back_comes_before_the_newest_stored_run(spark, tmp_path):
+    rows = stored(
+        spark, tmp_path / "raw", (OLD_RUN, OLD_FILE, "20260401", 1), (NEW_RUN, NEW_FILE, "20200101", 2)
+    )
+    assert ids(current_sales(rows, date(2026, 4, 8), 180)) == [1]
+    assert ids(current_sales(rows, date(2026, 4, 8), None)) == [2]
