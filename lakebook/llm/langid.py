@@ -150,7 +150,9 @@ class Labeller:
         self.letters = np.concatenate([self.letters, [sum(c.isalpha() for c in w) for w in words]])
 
     def look_up(self, texts: list[str]) -> list[np.ndarray]:
-        """The numbers of each text's words."""
+        """The numbers of each text's words; without languages words have none."""
+        if not self.model.languages:
+            return [np.zeros(0, dtype=np.int64) for _ in texts]
         words = [_WORD.findall(t.lower()) for t in texts]
         if len(self.known) > REMEMBER:
             self.known, self.scores, self.letters = {}, self.scores[:0], self.letters[:0]
@@ -208,7 +210,7 @@ def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
 def _spans(text: str, path: np.ndarray, languages: list[str]) -> list[tuple[int, int, str]]:
     """(start, end, language) in characters; words without a letter belong to no span."""
     found: list[list] = []
-    for match, number in zip(_WORD.finditer(text), path.tolist(), strict=True):
+    for match, number in zip(_WORD.finditer(text), path.tolist(), strict=bool(languages)):
         if number < 0:
             continue
         if found and found[-1][2] == languages[number]:
@@ -242,7 +244,7 @@ def detect(model: Model, frame: DataFrame, text: Column, switch: float = SWITCH,
                     more = ()
                     if spans:
                         lowered = body.lower()
-                        # A letter whose lower case is longer would shift the places.
+                        # No language, no spans. A letter whose lower case is longer would shift the places.
                         more = (_spans(body if len(lowered) == len(body) else lowered, path, labeller.model.languages),)
                     rows.append((lang, score, *more))
             yield pd.DataFrame(rows, columns=names)
