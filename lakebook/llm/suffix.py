@@ -17,8 +17,9 @@ Two facts keep most positions out of the sorts, and are exact:
   for the last doubling one member of each such class stands for all of them.
 
 So the last round sorts only windows of stretches that differ although they share a
-sampled rank: the edges of repeats. Counts are partial sums before each shuffle, joins
-against a hot rank are split, and no task holds more than a document and a filter.
+sampled rank: the edges of repeats. Counts are partial sums before each shuffle, and
+what is joined afterwards are the few ranks that the filter held back for nothing. No
+task holds more than a document and a filter.
 
 Positions are bytes of the UTF-8 text, and matches never cross documents. Everything is
 judged on the input. Chance agreement of two hashes needs 64 equal bits (128 in the
@@ -269,9 +270,34 @@ def _windows(threshold: int, bits: int, filled=None):
     return run
 
 
+RUNS = "d binary, s int, e int"
+
+
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of (d, s, e), what overlaps or touches within a batch is one; ends are exclusive."""
+    for batch in batches:
+        if not len(batch):
+            continue
+        code, names = pd.factorize(batch["d"])
+        s, e = batch["s"].to_numpy().astype(np.int64), batch["e"].to_numpy().astype(np.int64)
+        order = np.lexsort((s, code))
+        base = code[order].astype(np.int64) << 33
+        s, e = base + s[order], np.maximum.accumulate(base + e[order])
+        new = np.concatenate(([True], s[1:] > e[:-1]))
+        last = np.concatenate((new[1:], [True]))
+        low = (1 << 33) - 1
+        yield pd.DataFrame(
+            {
+                "d": names[(s[new] >> 33)],
+                "s": (s[new] & low).astype(np.int32),
+                "e": (e[last] & low).astype(np.int32),
+            }
+        )
+
+
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("s", T.IntegerType()), T.StructField("e", T.IntegerType())])))
 def _joined(starts: pd.Series, ends: pd.Series) -> pd.Series:
-    """Runs (start, end, exclusive) that overlap or touch are one."""
+    """The same for the runs of a document."""
     out = []
     for s, e in zip(starts, ends, strict=True):
         order = np.argsort(s, kind="stable")
@@ -282,43 +308,68 @@ def _joined(starts: pd.Series, ends: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
+def _twice(rows: DataFrame, column: str, rows_there: int, max_bits: int):
+    """A function of a rank column, false only where ``rows`` has the rank once."""
+    bits = filter_bits(8 * rows_there, max_bits)
+
+    def marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield mark(_slots(batch[column].to_numpy().view(np.uint64), bits))
+
+    shared = rows.sparkSession.sparkContext.broadcast(touched_twice(rows.select(column).mapInPandas(marks, MARKS), bits))
+
+    @F.pandas_udf("boolean")
+    def maybe(ranks: pd.Series) -> pd.Series:
+        return pd.Series(all_set(shared.value, _slots(ranks.to_numpy().view(np.uint64), bits)))
+
+    return maybe
+
+
+def _alone(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys that a filter took for repeated although ``rows`` has them once; few, and stored."""
+    return lookup(stored(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n = 1").select(*keys), "alone"), NARROW_ROWS)
+
+
 def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int = MAX_BITS) -> DataFrame:
     """(d, spans) of the documents that have repeats; ``docs`` has (d binary, text binary).
 
-    ``d`` names a row by its content, so that all passes over ``docs`` agree on it.
+    ``d`` names a row by its content, so that all passes over ``docs`` agree on it. Each
+    round first drops what a filter knows to be unique, then counts the rest exactly and
+    joins only the filter's few false alarms.
     """
     context = docs.sparkSession.sparkContext
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     bits = filter_bits(total // 4, max_bits)
     filled = context.broadcast(touched_twice(docs.mapInPandas(_marked(threshold, bits), MARKS), bits))
     kept = stored(docs.mapInPandas(_kept(threshold, bits, filled), STRETCHES), "stretches")
-    # Classes of equal stretches, and which sampled ranks have more than one class.
-    classes = stored(
-        kept.groupBy("h", "x").agg(F.count("*").alias("n"), F.min(F.struct("d", "s", "e")).alias("one")), "classes"
+    # Stretches that occur twice as a whole, and the single ones.
+    flagged = kept.withColumn("maybe", _twice(kept, "x", kept.count(), max_bits)("x"))
+    single = _alone(flagged.where("maybe"), ["h", "x"]).withColumn("once", F.lit(True))
+    told = flagged.join(single, ["h", "x"], "left").withColumn("whole", F.col("maybe") & F.col("once").isNull())
+    edge = stored(told.where("not whole").select("d", "s", "e", "h"), "edges")
+    # A single stretch can share windows with others of its sampled rank: with single
+    # ones, and with one of each class that occurs as a whole.
+    ranks = lookup(stored(edge.select("h").distinct(), "ranks"), NARROW_ROWS)
+    others = (
+        told.where("whole").join(ranks, "h", "left_semi").groupBy("h", "x").agg(F.min(F.struct("d", "s", "e")).alias("one"))
     )
-    mixed = stored(classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "mixed")
-    whole = stored(classes.where("n > 1").select("h", "x"), "whole")
-    wanted = (
-        classes.join(lookup(mixed, NARROW_ROWS), "h")
-        .select("one.d", F.struct("one.s", "one.e", (F.col("n") == 1).alias("alone")).alias("r"))
+    wanted = stored(
+        edge.select("d", F.struct("s", "e", F.lit(True).alias("alone")).alias("r"))
+        .unionByName(others.select("one.d", F.struct("one.s", "one.e", F.lit(False).alias("alone")).alias("r")))
         .groupBy("d")
-        .agg(F.collect_list("r").alias("wanted"))
+        .agg(F.collect_list("r").alias("wanted")),
+        "wanted",
     )
-    edges = docs.join(lookup(stored(wanted, "wanted")), "d")
-    # A row that occurs twice would bring its windows twice; all its stretches are whole.
-    n_windows = classes.agg(F.sum(F.col("one.e") - F.col("one.s") + 1)).first()[0] or 0
-    last_bits = filter_bits(8 * n_windows, max_bits)
+    edges = docs.join(lookup(wanted), "d")
+    inside = F.aggregate("wanted", F.lit(0).cast("long"), lambda n, r: n + r["e"] - r["s"] + 1)
+    last_bits = filter_bits(8 * (wanted.agg(F.sum(inside)).first()[0] or 0), max_bits)
     last = context.broadcast(touched_twice(edges.mapInPandas(_windows(threshold, last_bits), MARKS), last_bits))
     windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
-    again = stored(
-        windows.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "again"
-    )
-    found = (
-        windows.where("alone").join(lookup(again, NARROW_ROWS), ["a", "b"]).select("d", F.col("p").alias("s"), (F.col("p") + threshold).alias("e"))
-    ).unionByName(
-        kept.join(lookup(whole, NARROW_ROWS), ["h", "x"]).select("d", "s", (F.col("e") + threshold).alias("e"))
+    again = windows.where("alone").join(_alone(windows, ["a", "b"]), ["a", "b"], "left_anti")
+    runs = again.select("d", F.col("p").alias("s"), (F.col("p") + threshold).alias("e")).mapInPandas(_runs, RUNS).unionByName(
+        told.where("whole").select("d", "s", (F.col("e") + threshold).alias("e")).mapInPandas(_runs, RUNS)
     )
-    spans = found.groupBy("d").agg(F.collect_list(F.struct("s", "e")).alias("r"))
+    spans = runs.groupBy("d").agg(F.collect_list(F.struct("s", "e")).alias("r"))
     return stored(spans.select("d", _joined(F.col("r.s"), F.col("r.e")).alias("spans")), "spans")
 
 
