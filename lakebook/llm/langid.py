@@ -38,6 +38,8 @@ SWITCH = 12.0
 FLOOR = 6.0
 #: Share of a language's letters from which it counts as written in a script.
 SCRIPT_SHARE = 0.01
+#: Score from which a language counts as told. Short clean texts stay well above.
+MIN_SCORE = 0.2
 #: Distinct words whose scores a task remembers.
 REMEMBER = 200_000
 
@@ -262,7 +264,7 @@ def language_id(
 
 
 def keep_identified(
-    frame: DataFrame, train_on: DataFrame, text: str = "text", lang: str = "lang", min_score: float = 0.5
+    frame: DataFrame, train_on: DataFrame, text: str = "text", lang: str = "lang", min_score: float = MIN_SCORE
 ) -> DataFrame:
     """The rows, all columns, whose language could be told with at least ``min_score``."""
     found = frame.withColumn("_lb_found", detect(train(train_on, lang, text), frame, F.col(text)))
