@@ -74,6 +74,15 @@ def own_session(spark: SparkSession) -> SparkSession:
     return apply_settings(own)
 
 
+def activate(spark: SparkSession) -> None:
+    """Make ``spark`` the thread's active session, where Spark looks formats up.
+
+    Creating rows in another session of the application changes it.
+    """
+    kind = SparkSession._get_j_spark_session_class(spark._jvm)
+    kind.setActiveSession(spark._jsparkSession)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """A path and its file system, as Spark itself would open it."""
     found = spark._jvm.org.apache.hadoop.fs.Path(path)
