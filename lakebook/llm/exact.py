@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebook.llm.shared import lookup, stored
+from lakebook.llm.shared import all_columns, lookup, stored
 
 HASHES = 3
 SEGMENT_BITS = 18
@@ -154,12 +154,13 @@ def drop_duplicates(
     Rows that the filter clears keep their place. The others meet by digest, and each
     task passes on only the best row it has of a digest.
     """
-    columns = frame.columns
+    columns = all_columns(frame)
     hashed = frame.withColumn("_lb_sha", digest(F.col(text)))
     maybe = possibly_repeated(stored(hashed.select(F.col("_lb_sha").alias("sha")), "digests"), max_bits)
     flagged = hashed.withColumn("_lb_maybe", maybe("_lb_sha"))
     alone = flagged.where(~F.col("_lb_maybe")).select(*columns)
-    ordered = [f.name for f in frame.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    unordered = (T.MapType, T.VariantType)
+    ordered = [c for c, f in zip(columns, frame.schema.fields, strict=True) if not isinstance(f.dataType, unordered)]
     best = (
         flagged.where("_lb_maybe")
         .groupBy("_lb_sha")

@@ -70,7 +70,10 @@ def permute(rows: np.ndarray, n: int, seed: int = SEED) -> np.ndarray:
 def assign_shards(
     frame: DataFrame, order: list[Column], shards: int, seed: int = SEED
 ) -> DataFrame:
-    """All columns, and ``row``, ``shard`` (int) and ``slot`` (long); all rows, each once."""
+    """All columns, and ``row``, ``shard`` (int) and ``slot`` (long); all rows, each once.
+
+    Columns of these three names are replaced.
+    """
     rows = numbered(frame, order, "row")
     n = rows.count()
 

@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def all_columns(frame: DataFrame) -> list[Column]:
+    """Every column, whatever signs its name holds."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in frame.columns]
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The rows, written once to the folder that all executors share and read from there.
 

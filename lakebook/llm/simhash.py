@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakebook.llm.components import connected_components
-from lakebook.llm.shared import lookup, stored
+from lakebook.llm.shared import all_columns, lookup, stored
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 SHARD = 1024
@@ -243,7 +243,7 @@ def drop_near_duplicates(
     on only the best row it has of a component. Null ids come last; rows of a component
     that share the smallest id are told apart by their other columns.
     """
-    columns = frame.columns
+    columns = all_columns(frame)
     marked = stored(frame.withColumn("_lb_fp", fingerprints(F.col(text), shingle)), "prints")
     prints = marked.select(F.col(id_col).alias("doc_id"), F.col("_lb_fp").alias("fp"))
     groups = stored(
@@ -254,7 +254,8 @@ def drop_near_duplicates(
     )
     joined = marked.join(lookup(groups), "_lb_fp", "left")
     alone = joined.where(F.col("_lb_root").isNull()).select(*columns)
-    ordered = [f.name for f in frame.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    unordered = (T.MapType, T.VariantType)
+    ordered = [c for c, f in zip(columns, frame.schema.fields, strict=True) if not isinstance(f.dataType, unordered)]
     best = (
         joined.where(F.col("_lb_root").isNotNull())
         .groupBy("_lb_root")

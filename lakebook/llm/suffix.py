@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakebook.llm.exact import MARKS, all_set, filter_bits, mark, touched_twice
-from lakebook.llm.shared import lookup, stored
+from lakebook.llm.shared import all_columns, lookup, stored
 
 THRESHOLD = 200
 MAX_BITS = 1 << 29
@@ -431,4 +431,4 @@ def without_repeats(frame: DataFrame, id_col: str = "doc_id", text: str = "text"
 
     cut = remove_repeats(frame, id_col, text, threshold)
     changed = F.when(F.col("_lb_spans").isNotNull(), whole_characters("_lb_kept")).otherwise(F.col(text))
-    return cut.withColumn(text, changed).select(*frame.columns)
+    return cut.withColumn(text, changed).select(*all_columns(frame))

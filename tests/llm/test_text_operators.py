@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakebook.llm import bpe, exact, packing, quality, sharding, simhash
+from lakebook.llm import bpe, exact, packing, quality, sharding, simhash, suffix
 from lakebook.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -134,6 +134,23 @@ def test_exact_report(odd, max_bits):
         assert sum(r.kept for r in own) == 1
 
 
+@pytest.fixture(scope="module")
+def awkward(odd):
+    """Columns that no plain reference reaches, that cannot be ordered, or that clash."""
+    return odd.withColumns(
+        {"a.b": F.lit(1), "tick`s": F.lit(2), "m": F.create_map(F.lit("k"), F.lit(1)), "sha": F.lit("x"), "root": F.lit(3)}
+    )
+
+
+def test_awkward_columns_come_through(awkward):
+    kept = exact.drop_duplicates(awkward)
+    assert kept.columns == awkward.columns and kept.count() == len({r.text or "" for r in awkward.collect()})
+    near = simhash.drop_near_duplicates(awkward)
+    assert near.columns == awkward.columns and near.count() > 0
+    cut = suffix.without_repeats(awkward)
+    assert cut.columns == awkward.columns and cut.count() == awkward.count()
+
+
 def test_exact_drop_keeps_columns(odd):
     kept = exact.drop_duplicates(odd)
     assert kept.columns == odd.columns
