@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakebook.llm.shared import stored
+from lakebook.llm.shared import small_batches, stored
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TABLE_WORDS = 300_000
@@ -394,6 +394,7 @@ def encode_documents(
     frame: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = BYTE_BPE, size: int = TABLE_WORDS
 ) -> DataFrame:
     """(doc_id, ids) of every document."""
+    small_batches(frame.sparkSession)
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     return frame.select(
         F.col(id_col).alias("doc_id"), encode(raw, frame.select(raw.alias("text")), path, size).alias("ids")

@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakebook.llm.shared import small_batches
+
 UNDETERMINED = "und"
 SAMPLE_DOCS = 20_000
 BUCKETS = 1 << 16
@@ -98,6 +100,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def train(labelled: DataFrame, lang: str = "lang", text: str = "text", sample: int = SAMPLE_DOCS) -> Model:
     """A model from rows whose language is known; all rows given may be learned from."""
+    small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
     n = rows.count()
     share = min(1.0, sample / max(n, 1))
@@ -231,6 +234,7 @@ def detect(model: Model, frame: DataFrame, text: Column, switch: float = SWITCH,
 
     The score is the share of letters in that language times how sure its words are.
     """
+    small_batches(frame.sparkSession)
     shared = frame.sparkSession.sparkContext.broadcast(model)
     names = ["lang_pred", "score", *(["spans"] if spans else [])]
 

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakebook.llm.bpe import IdPool, Ids, as_strings, encode_joined, encode_words, in_groups, load
-from lakebook.llm.shared import numbered, stored
+from lakebook.llm.shared import numbered, small_batches, stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, BIN = 4096, 1, 16
@@ -140,6 +140,7 @@ def cut_pieces(
     capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) and, if asked for, the ids."""
+    small_batches(frame.sparkSession)
     raw = frame.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
     kinds = PIECES.format(kind="long") + (", ids binary" if with_ids else "")
     return raw.mapInPandas(_pieces(path, capacity, end_id, with_ids), kinds)

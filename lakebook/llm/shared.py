@@ -19,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch: some MB of text, of which a Python worker holds a few copies.
+BATCH_ROWS = 1_000
+_BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the texts that a Python worker holds at once; a setting that stays on the session."""
+    if int(spark.conf.get(_BATCHES)) > BATCH_ROWS:
+        spark.conf.set(_BATCHES, str(BATCH_ROWS))
+
+
 def all_columns(frame: DataFrame) -> list[Column]:
     """Every column, whatever signs its name holds."""
     return [F.col("`" + name.replace("`", "``") + "`") for name in frame.columns]

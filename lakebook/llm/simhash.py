@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakebook.llm.components import connected_components
-from lakebook.llm.shared import all_columns, lookup, stored
+from lakebook.llm.shared import all_columns, lookup, small_batches, stored
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 SHARD = 1024
@@ -224,6 +224,7 @@ def near_duplicates(
     shingle: int = SHINGLE, radius: int = RADIUS,
 ) -> DataFrame:
     """One row per document: its fingerprint in hex and the smallest id it can reach."""
+    small_batches(frame.sparkSession)
     prints = stored(
         frame.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text), shingle).alias("fp")), "prints"
     )
@@ -243,6 +244,7 @@ def drop_near_duplicates(
     on only the best row it has of a component. Null ids come last; rows of a component
     that share the smallest id are told apart by their other columns.
     """
+    small_batches(frame.sparkSession)
     columns = all_columns(frame)
     marked = stored(frame.withColumn("_lb_fp", fingerprints(F.col(text), shingle)), "prints")
     prints = marked.select(F.col(id_col).alias("doc_id"), F.col("_lb_fp").alias("fp"))

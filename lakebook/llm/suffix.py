@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakebook.llm.exact import MARKS, all_set, filter_bits, mark, touched_twice
-from lakebook.llm.shared import all_columns, lookup, stored
+from lakebook.llm.shared import all_columns, lookup, small_batches, stored
 
 THRESHOLD = 200
 MAX_BITS = 1 << 29
@@ -399,6 +399,7 @@ def _without(texts: pd.Series, spans: pd.Series) -> pd.Series:
 
 def remove_repeats(frame: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
     """All columns, and ``_lb_bytes``, ``_lb_spans`` (null: none) and ``_lb_kept`` (binary)."""
+    small_batches(frame.sparkSession)
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
     named = frame.withColumn("_lb_bytes", raw).withColumn("_lb_d", _row_name(id_col, F.col("_lb_bytes")))
     spans = repeated_spans(named.select(F.col("_lb_d").alias("d"), F.col("_lb_bytes").alias("text")), threshold)

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakebook.llm.shared import lookup, stored
+from lakebook.llm.shared import lookup, small_batches, stored
 
 SAMPLE_DOCS = 20_000
 LEXICON = 20_000
@@ -288,5 +288,6 @@ def toxicity(
     frame: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE_DOCS
 ) -> DataFrame:
     """(doc_id, score) of every row of ``frame``."""
+    small_batches(frame.sparkSession)
     model = train(learning_rows(frame, labels, learn, id_col, text, sample=sample))
     return frame.select(F.col(id_col).alias("doc_id"), score(frame, model, text).alias("score"))

@@ -57,7 +57,7 @@ from pyspark.sql.datasource import (
 )
 
 from lakebook.llm.shared import lookup, stored
-from lakebook.session import shared_folder
+from lakebook.session import activate, shared_folder
 
 RESPONSE, REVISIT = "response", "revisit"
 MIN_SHARED_BYTES = 100
@@ -486,6 +486,7 @@ class WarcDataSource(DataSource):
 
 def register(spark: SparkSession) -> None:
     """Make the format known, and let Spark push filters down to Python sources."""
+    activate(spark)
     spark.dataSource.register(WarcDataSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
