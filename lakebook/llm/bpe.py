@@ -43,10 +43,10 @@ from tokenizers import Tokenizer
 from lakebook.llm.shared import small_batches, stored
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
-TABLE_WORDS = 300_000
+TABLE_WORDS = 200_000
 WORD_BYTES = 64
 #: Words whose ids a task remembers beside the table.
-REMEMBER = 500_000
+REMEMBER = 300_000
 #: Bytes of text that are split and encoded at once.
 AT_ONCE = 4 << 20
 
