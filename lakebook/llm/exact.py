@@ -2,7 +2,7 @@
 
 Pass one reads the text hashes. Every task marks each of its distinct hashes at
 ``HASHES`` slots of a filter and notes slots that were touched twice; the notes are
-merged by filter segment, one segment a group, with a memory that the segment bounds.
+merged by ranges of the filter, one range a group, with a memory that the range bounds.
 Pass two asks the merged filter: a hash that any of its slots saw once only cannot be
 repeated, so its row passes straight through. The others, all true repeats and a few
 false alarms, shuffle by digest, are summed per task first, and are decided exactly.
@@ -28,8 +28,11 @@ from pyspark.sql import types as T
 from lakebook.llm.shared import all_columns, lookup, stored
 
 HASHES = 3
-SEGMENT_BITS = 18
-MAX_BITS = 1 << 28
+#: A filter is merged in so many ranges, each a group; a task sends a row per range.
+RANGES = 64
+#: Slots that a task holds before it sends them on.
+MARK_AT_ONCE = 1 << 20
+MIN_BITS, MAX_BITS = 1 << 18, 1 << 28
 
 
 def digest(text: Column) -> Column:
@@ -43,41 +46,56 @@ def _slots(digests: pd.Series, bits: int) -> np.ndarray:
     return words[:, :HASHES] & np.uint64(bits - 1)
 
 
-def mark(slots: np.ndarray) -> pd.DataFrame:
-    """Per segment of the filter, the touched slots; those touched twice stand twice."""
+def mark(slots: np.ndarray, bits: int) -> pd.DataFrame:
+    """Per range of the filter, the touched slots; those touched twice stand twice."""
     slot, count = np.unique(slots.ravel(), return_counts=True)
     slot = np.repeat(slot, np.minimum(count, 2)).astype(np.uint64)
-    segment = (slot >> np.uint64(SEGMENT_BITS)).astype(np.int64)
-    cuts = np.flatnonzero(np.diff(segment)) + 1
-    low = (slot & np.uint64((1 << SEGMENT_BITS) - 1)).astype("<u4")
+    size = np.uint64(bits // RANGES)
+    part = (slot // size).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(part)) + 1
+    low = (slot % size).astype("<u4")
     starts = np.concatenate(([0], cuts))[: len(slot)]
-    return pd.DataFrame(
-        {"segment": segment[starts], "slots": [p.tobytes() for p in np.split(low, cuts)] if len(slot) else []}
-    )
+    return pd.DataFrame({"part": part[starts], "slots": [p.tobytes() for p in np.split(low, cuts)] if len(slot) else []})
+
+
+MARKS = "part long, slots binary"
+
 
+def marks(groups: Iterator[np.ndarray], bits: int) -> Iterator[pd.DataFrame]:
+    """Marks of many groups of slots, a row per range for every ``MARK_AT_ONCE`` of them."""
+    held, n = [], 0
+    for slots in groups:
+        held.append(slots)
+        n += slots.size
+        if n >= MARK_AT_ONCE:
+            yield mark(np.concatenate(held), bits)
+            held, n = [], 0
+    if n:
+        yield mark(np.concatenate(held), bits)
 
-MARKS = "segment long, slots binary"
 
+def _merge(bits: int):
+    def merge(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The slots of a range that were touched at least twice, as a bitmap."""
+        touched = np.zeros(bits // RANGES, dtype=np.uint8)
+        for part in parts:
+            for slots in part["slots"]:
+                at, count = np.unique(np.frombuffer(slots, dtype="<u4"), return_counts=True)
+                touched[at] = np.minimum(touched[at] + count, 2)
+        twice = np.packbits(touched == 2, bitorder="little")
+        if twice.any():
+            yield pd.DataFrame({"part": [key[0]], "bitmap": [twice.tobytes()]})
 
-def _merge(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The slots of a segment that were touched at least twice, as a bitmap."""
-    touched = np.zeros(1 << SEGMENT_BITS, dtype=np.uint8)
-    for part in parts:
-        for slots in part["slots"]:
-            at, count = np.unique(np.frombuffer(slots, dtype="<u4"), return_counts=True)
-            touched[at] = np.minimum(touched[at] + count, 2)
-    twice = np.packbits(touched == 2, bitorder="little")
-    if twice.any():
-        yield pd.DataFrame({"segment": [key[0]], "bitmap": [twice.tobytes()]})
+    return merge
 
 
-def touched_twice(marks: DataFrame, bits: int) -> bytes:
+def touched_twice(marked: DataFrame, bits: int) -> bytes:
     """The bitmap of all slots touched at least twice: ``bits`` / 8 bytes at the driver."""
-    merged = marks.groupBy("segment").applyInPandas(_merge, "segment long, bitmap binary")
+    merged = marked.groupBy("part").applyInPandas(_merge(bits), "part long, bitmap binary")
     filled = bytearray(bits // 8)
-    size = 1 << (SEGMENT_BITS - 3)
-    for segment, bitmap in merged.collect():
-        filled[segment * size : (segment + 1) * size] = bitmap
+    size = bits // RANGES // 8
+    for part, bitmap in merged.toLocalIterator():
+        filled[part * size : (part + 1) * size] = bitmap
     return bytes(filled)
 
 
@@ -88,7 +106,7 @@ def all_set(filled: bytes, slots: np.ndarray) -> np.ndarray:
 
 
 def filter_bits(wanted: int, max_bits: int = MAX_BITS) -> int:
-    bits = 1 << SEGMENT_BITS
+    bits = MIN_BITS
     while bits < min(wanted, max_bits):
         bits *= 2
     return bits
@@ -102,11 +120,10 @@ def possibly_repeated(hashed: DataFrame, max_bits: int = MAX_BITS):
     """
     bits = filter_bits(16 * hashed.count(), max_bits)
 
-    def marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield mark(_slots(batch["sha"], bits))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from marks((_slots(batch["sha"], bits) for batch in batches if len(batch)), bits)
 
-    filled = touched_twice(hashed.select("sha").mapInPandas(marks, MARKS), bits)
+    filled = touched_twice(hashed.select("sha").mapInPandas(run, MARKS), bits)
     shared = hashed.sparkSession.sparkContext.broadcast(filled)
 
     @F.pandas_udf("boolean")

@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebook.llm.exact import MARKS, all_set, filter_bits, mark, touched_twice
+from lakebook.llm.exact import MARKS, all_set, filter_bits, marks, touched_twice
 from lakebook.llm.shared import all_columns, lookup, small_batches, stored
 
 THRESHOLD = 200
@@ -160,26 +160,19 @@ def _slots(ranks: np.ndarray, bits: int) -> np.ndarray:
     return np.column_stack([ranks, _mix(ranks)]) & np.uint64(bits - 1)
 
 
-def _batches(batch: pd.DataFrame) -> Iterator[tuple[list, list[bytes]]]:
-    yield batch["d"].tolist(), [t or b"" for t in batch["text"]]
-
-
 # Rounds ------------------------------------------------------------------------
 
 
 def _marked(threshold: int, bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Round one: marks of the sampled ranks."""
-        chunks, held, n = Chunks(threshold), [], 0
-        for batch in batches:
-            for data, parts in chunks.of([t or b"" for t in batch["text"]]):
-                held.append(chunks.stretches(data, parts)[4])
-                n += len(held[-1])
-                if n > 500_000:
-                    yield mark(_slots(np.concatenate(held), bits))
-                    held, n = [], 0
-        if held:
-            yield mark(_slots(np.concatenate(held), bits))
+        chunks = Chunks(threshold)
+        sampled = (
+            chunks.stretches(data, parts)[4]
+            for batch in batches
+            for data, parts in chunks.of([t or b"" for t in batch["text"]])
+        )
+        yield from marks((_slots(ranks, bits) for ranks in sampled), bits)
 
     return run
 
@@ -239,33 +232,38 @@ def _window_ranks(texts: list[bytes], wanted: list, threshold: int) -> Iterator[
             yield number, places, ranks[places - at], ranks[places - at + offset], alone
 
 
-def _windows(threshold: int, bits: int, filled=None):
+def _window_marks(threshold: int, bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Last round: marks of the rank pairs, or with a filter the windows it leaves."""
+        """Last round: marks of the rank pairs."""
+        ranked = (
+            _pair(a, b)
+            for batch in batches
+            for _, _, a, b, _ in _window_ranks([t or b"" for t in batch["text"]], batch["wanted"].tolist(), threshold)
+        )
+        yield from marks((_slots(pairs, bits) for pairs in ranked), bits)
+
+    return run
+
+
+def _windows(threshold: int, bits: int, filled):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The windows that the filter leaves."""
         for batch in batches:
-            ids, texts = batch["d"].tolist(), [t or b"" for t in batch["text"]]
-            held, n = [], 0
+            ids, texts, held = batch["d"].tolist(), [t or b"" for t in batch["text"]], []
             for number, places, a, b, alone in _window_ranks(texts, batch["wanted"].tolist(), threshold):
-                slots = _slots(_pair(a, b), bits)
-                if filled is None:
-                    held.append(slots)
-                    n += len(slots)
-                    if n > 500_000:
-                        yield mark(np.concatenate(held))
-                        held, n = [], 0
-                    continue
-                stay = all_set(filled.value, slots)
+                stay = all_set(filled.value, _slots(_pair(a, b), bits))
+                held.append((np.full(int(stay.sum()), number), places[stay], a[stay], b[stay], alone[stay]))
+            if held:
+                number, places, a, b, alone = (np.concatenate(column) for column in zip(*held, strict=True))
                 yield pd.DataFrame(
                     {
-                        "d": [ids[number]] * int(stay.sum()),
-                        "p": places[stay].astype(np.int32),
-                        "a": a[stay].view(np.int64),
-                        "b": b[stay].view(np.int64),
-                        "alone": alone[stay],
+                        "d": np.array(ids, dtype=object)[number],
+                        "p": places.astype(np.int32),
+                        "a": a.view(np.int64),
+                        "b": b.view(np.int64),
+                        "alone": alone.astype(bool),
                     }
                 )
-            if held:
-                yield mark(np.concatenate(held))
 
     return run
 
@@ -312,11 +310,10 @@ def _twice(rows: DataFrame, column: str, rows_there: int, max_bits: int):
     """A function of a rank column, false only where ``rows`` has the rank once."""
     bits = filter_bits(8 * rows_there, max_bits)
 
-    def marks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield mark(_slots(batch[column].to_numpy().view(np.uint64), bits))
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from marks((_slots(batch[column].to_numpy().view(np.uint64), bits) for batch in batches), bits)
 
-    shared = rows.sparkSession.sparkContext.broadcast(touched_twice(rows.select(column).mapInPandas(marks, MARKS), bits))
+    shared = rows.sparkSession.sparkContext.broadcast(touched_twice(rows.select(column).mapInPandas(run, MARKS), bits))
 
     @F.pandas_udf("boolean")
     def maybe(ranks: pd.Series) -> pd.Series:
@@ -345,7 +342,10 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
     # Stretches that occur twice as a whole, and the single ones.
     flagged = kept.withColumn("maybe", _twice(kept, "x", kept.count(), max_bits)("x"))
     single = _alone(flagged.where("maybe"), ["h", "x"]).withColumn("once", F.lit(True))
-    told = flagged.join(single, ["h", "x"], "left").withColumn("whole", F.col("maybe") & F.col("once").isNull())
+    whole = F.col("maybe") & F.col("once").isNull()
+    told = stored(
+        flagged.join(single, ["h", "x"], "left").select("d", "s", "e", "h", "x", whole.alias("whole")), "told"
+    )
     edge = stored(told.where("not whole").select("d", "s", "e", "h"), "edges")
     # A single stretch can share windows with others of its sampled rank: with single
     # ones, and with one of each class that occurs as a whole.
@@ -363,7 +363,7 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
     edges = docs.join(lookup(wanted), "d")
     inside = F.aggregate("wanted", F.lit(0).cast("long"), lambda n, r: n + r["e"] - r["s"] + 1)
     last_bits = filter_bits(8 * (wanted.agg(F.sum(inside)).first()[0] or 0), max_bits)
-    last = context.broadcast(touched_twice(edges.mapInPandas(_windows(threshold, last_bits), MARKS), last_bits))
+    last = context.broadcast(touched_twice(edges.mapInPandas(_window_marks(threshold, last_bits), MARKS), last_bits))
     windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
     again = windows.where("alone").join(_alone(windows, ["a", "b"]), ["a", "b"], "left_anti")
     runs = again.select("d", F.col("p").alias("s"), (F.col("p") + threshold).alias("e")).mapInPandas(_runs, RUNS).unionByName(
