@@ -31,7 +31,7 @@ HASHES = 3
 #: A filter is merged in so many ranges, each a group; a task sends a row per range.
 RANGES = 64
 #: Slots that a task holds before it sends them on.
-MARK_AT_ONCE = 1 << 20
+MARK_AT_ONCE = 1 << 18
 MIN_BITS, MAX_BITS = 1 << 18, 1 << 28
 
 

@@ -43,7 +43,7 @@ SCRIPT_SHARE = 0.01
 #: Score from which a language counts as told. Short clean texts stay well above.
 MIN_SCORE = 0.2
 #: Distinct words whose scores a task remembers.
-REMEMBER = 200_000
+REMEMBER = 100_000
 
 # First code point of each range, and its script; fixed values of Unicode's blocks.
 SCRIPTS = (

@@ -49,7 +49,7 @@ from lakebook.llm.shared import all_columns, lookup, small_batches, stored
 THRESHOLD = 200
 MAX_BITS = 1 << 29
 #: Bytes that are ranked at once; longer texts are cut into overlapping chunks.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Narrow rows (a rank or two) up to which a table of ranks is broadcast.
 NARROW_ROWS = 1_000_000
 _INDEX_BITS = np.uint64(24)
