@@ -289,6 +289,28 @@ def test_viterbi_and_its_shortcut_find_the_best_path(seed):
         assert value(labeller.path(scores, switch).tolist()) == pytest.approx(best)
 
 
+def labeller(n):
+    return langid.Labeller(langid.Model([*"abcdef"[:n]], np.zeros((langid.BUCKETS, n)), np.ones((1, n), bool)))
+
+
+def test_halves_in_two_languages_whose_best_overall_is_a_third():
+    scores = np.array([[0, -6, -2.5]] * 4 + [[-6, 0, -2.5]] * 4)
+    assert scores.sum(axis=0).argmax() == 2
+    assert labeller(3).path(scores, 12.0).tolist() == [0] * 4 + [1] * 4
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_shortcut_equals_viterbi_on_long_runs(seed):
+    draw = np.random.default_rng(seed)
+    n, runs = int(draw.integers(1, 6)), int(draw.integers(1, 6))
+    own = np.repeat(draw.integers(0, n, runs), draw.integers(1, 12, runs))
+    scores = -draw.random((len(own), n)) * 6 * draw.random()
+    scores[np.arange(len(own)), own] += draw.random() * 3
+    scores = np.maximum(scores - scores.max(axis=1, keepdims=True), -langid.FLOOR)
+    value = lambda p: scores[np.arange(len(p)), p].sum() - 12.0 * (np.diff(p) != 0).sum()
+    assert value(labeller(n).path(scores, 12.0)) == pytest.approx(value(langid.viterbi(scores, 12.0)))
+
+
 @pytest.fixture(scope="module")
 def speakers(spark):
     lines = {
