@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences, in five stages.
 
-1. ``language_id`` drops documents whose language cannot be told: no letters, or no
-   language that stands out at all.
+1. ``language_id`` drops documents whose language cannot be told: no letters, or letters
+   whose trigrams and scripts are mostly unknown to the languages learned.
 2. ``exact_dedup`` keeps, of equal texts, the document with the largest id.
 3. ``simhash_dedup`` keeps, of documents linked by fingerprints that differ in at most
    three bits, the one with the smallest id.

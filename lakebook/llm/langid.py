@@ -14,6 +14,11 @@ The model learns from text and language of training rows, of which about
 Defined cases. A text that is null or has no letter: language ``und``, score 0, no
 spans. Without training rows every text is ``und``. A script that no language was seen
 in leaves all languages. Equal totals go to the language with more training letters.
+
+The score compares learned languages with each other, so a text in none of them can score
+high. What may stay is told by evidence that does not depend on how many there are: the
+share of the letters that stand in trigrams and scripts seen in training for the language
+that their word was given (``evidence``).
 """
 
 from __future__ import annotations
@@ -40,8 +45,10 @@ SWITCH = 12.0
 FLOOR = 6.0
 #: Share of a language's letters from which it counts as written in a script.
 SCRIPT_SHARE = 0.01
-#: Score from which a language counts as told. Short clean texts stay well above.
-MIN_SCORE = 0.2
+#: Share of a language's trigrams from which a bucket counts as seen in it; less is noise.
+SEEN_SHARE = 1e-6
+#: Evidence from which a language counts as told.
+MIN_EVIDENCE = 0.4
 #: Distinct words whose scores a task remembers.
 REMEMBER = 100_000
 
@@ -80,6 +87,8 @@ class Model:
     languages: list[str]
     logs: np.ndarray  # (BUCKETS, languages)
     allowed: np.ndarray  # (scripts, languages)
+    seen: np.ndarray | None = None  # (BUCKETS, languages), bool; none: all were seen
+    written: np.ndarray | None = None  # (scripts, languages), bool: seen in training
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,9 +138,10 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", sample: i
         return Model([], grams.astype(np.float32), scripts > 0)
     seen = max(1, int((grams.sum(axis=1) > 0).sum()))
     logs = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * seen))
-    allowed = scripts >= SCRIPT_SHARE * scripts.sum(axis=0)
-    allowed[~allowed.any(axis=1)] = True
-    return Model(languages, logs.astype(np.float32), allowed)
+    written = scripts >= SCRIPT_SHARE * scripts.sum(axis=0)
+    allowed = written | ~written.any(axis=1, keepdims=True)
+    common = grams >= np.maximum(1, SEEN_SHARE * grams.sum(axis=0))
+    return Model(languages, logs.astype(np.float32), allowed, common, written)
 
 
 class Labeller:
@@ -139,6 +149,7 @@ class Labeller:
         self.model = model
         self.known: dict[str, int] = {}
         self.scores = np.zeros((0, len(model.languages)))
+        self.seen = np.zeros((0, len(model.languages)))
         self.letters = np.zeros(0, dtype=np.int64)
 
     def _learn(self, words: list[str]) -> None:
@@ -146,12 +157,20 @@ class Labeller:
         grams = [buckets(w) for w in words]
         sizes = np.array([len(g) for g in grams])
         flat = np.concatenate([np.asarray(g) for g in grams])
-        sums = np.add.reduceat(self.model.logs[flat], np.concatenate(([0], sizes[:-1].cumsum())), axis=0)
-        allowed = self.model.allowed[[script(w) for w in words]]
+        starts = np.concatenate(([0], sizes[:-1].cumsum()))
+        sums = np.add.reduceat(self.model.logs[flat], starts, axis=0)
+        scripts = [script(w) for w in words]
+        allowed = self.model.allowed[scripts]
         sums = np.where(allowed, sums, -np.inf)
         scores = np.maximum(sums - sums.max(axis=1, keepdims=True), -FLOOR)
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.scores = np.concatenate([self.scores, scores])
+        seen = np.ones_like(scores)
+        if self.model.seen is not None:
+            seen = np.add.reduceat(self.model.seen[flat], starts, axis=0, dtype=np.int64) / sizes[:, None]
+        if self.model.written is not None:
+            seen = seen * self.model.written[scripts]
+        self.seen = np.concatenate([self.seen, seen])
         self.letters = np.concatenate([self.letters, [sum(c.isalpha() for c in w) for w in words]])
 
     def look_up(self, texts: list[str]) -> list[np.ndarray]:
@@ -160,7 +179,7 @@ class Labeller:
             return [np.zeros(0, dtype=np.int64) for _ in texts]
         words = [_WORD.findall(t.lower()) for t in texts]
         if len(self.known) > REMEMBER:
-            self.known, self.scores, self.letters = {}, self.scores[:0], self.letters[:0]
+            self.known, self.scores, self.letters, self.seen = {}, self.scores[:0], self.letters[:0], self.seen[:0]
         new = list({w for ws in words for w in ws if w not in self.known})
         if new:
             self._learn(new)
@@ -182,11 +201,11 @@ class Labeller:
             return np.full(len(scores), best, dtype=np.int64)
         return viterbi(scores, switch)
 
-    def label(self, numbers: np.ndarray, switch: float) -> tuple[str, float, np.ndarray]:
-        """Language, score, and the language number of each word (-1: no letter)."""
+    def label(self, numbers: np.ndarray, switch: float) -> tuple[str, float, np.ndarray, float]:
+        """Language, score, the language number of each word (-1: no letter), and evidence."""
         lettered = self.letters[numbers] > 0 if len(numbers) else np.zeros(0, dtype=bool)
         if not lettered.any() or not self.model.languages:
-            return UNDETERMINED, 0.0, np.full(len(numbers), -1)
+            return UNDETERMINED, 0.0, np.full(len(numbers), -1), 0.0
         kept = numbers[lettered]
         scores = self.scores[kept]
         path = self.path(scores, switch)
@@ -196,7 +215,8 @@ class Labeller:
         sure = 1.0 / np.exp(np.minimum(own - own[best], 50)).sum()
         whole = np.full(len(numbers), -1)
         whole[lettered] = path
-        return self.model.languages[best], float(share[best] / share.sum() * sure), whole
+        evidence = float(self.seen[kept, path] @ self.letters[kept] / share.sum())
+        return self.model.languages[best], float(share[best] / share.sum() * sure), whole, evidence
 
 
 def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
@@ -232,18 +252,23 @@ def _spans(text: str, path: np.ndarray, languages: list[str]) -> list[tuple[int,
 
 RESULT = "lang_pred string, score double"
 SPANS = "spans array<struct<start: int, end: int, lang: string>>"
+EVIDENCE = "evidence double"
 
 
-def detect(model: Model, frame: DataFrame, text: Column, switch: float = SWITCH, spans: bool = False) -> Column:
-    """A struct column: language, score 0 to 1 and, if asked for, the spans of ``text``.
+def detect(
+    model: Model, frame: DataFrame, text: Column, switch: float = SWITCH, spans: bool = False, evidence: bool = False
+) -> Column:
+    """A struct column: language, score 0 to 1 and, if asked for, the spans of ``text`` and its evidence.
 
-    The score is the share of letters in that language times how sure its words are.
+    The score is the share of letters in that language times how sure its words are. The
+    evidence is the share of letters in trigrams and scripts seen in training.
     """
     small_batches(frame.sparkSession)
     shared = frame.sparkSession.sparkContext.broadcast(model)
-    names = ["lang_pred", "score", *(["spans"] if spans else [])]
+    fields = [RESULT, *([SPANS] if spans else []), *([EVIDENCE] if evidence else [])]
+    names = ["lang_pred", "score", *(["spans"] if spans else []), *(["evidence"] if evidence else [])]
 
-    @F.pandas_udf(f"{RESULT}, {SPANS}" if spans else RESULT)
+    @F.pandas_udf(", ".join(fields))
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         labeller = Labeller(shared.value)
         for batch in batches:
@@ -251,13 +276,13 @@ def detect(model: Model, frame: DataFrame, text: Column, switch: float = SWITCH,
             for begin in range(0, len(batch), 256):
                 texts = [(t or b"").decode("utf-8", "replace") for t in batch.iloc[begin : begin + 256]]
                 for body, numbers in zip(texts, labeller.look_up(texts), strict=True):
-                    lang, score, path = labeller.label(numbers, switch)
+                    lang, score, path, told = labeller.label(numbers, switch)
                     more = ()
                     if spans:
                         lowered = body.lower()
                         # No language, no spans. A letter whose lower case is longer would shift the places.
                         more = (_spans(body if len(lowered) == len(body) else lowered, path, labeller.model.languages),)
-                    rows.append((lang, score, *more))
+                    rows.append((lang, score, *more, *((told,) if evidence else ())))
             yield pd.DataFrame(rows, columns=names)
 
     return of(text.cast("binary"))
@@ -273,9 +298,9 @@ def language_id(
 
 
 def keep_identified(
-    frame: DataFrame, train_on: DataFrame, text: str = "text", lang: str = "lang", min_score: float = MIN_SCORE
+    frame: DataFrame, train_on: DataFrame, text: str = "text", lang: str = "lang", min_evidence: float = MIN_EVIDENCE
 ) -> DataFrame:
-    """The rows, all columns, whose language could be told with at least ``min_score``."""
-    found = frame.withColumn("_lb_found", detect(train(train_on, lang, text), frame, F.col(text)))
-    good = (F.col("_lb_found.lang_pred") != UNDETERMINED) & (F.col("_lb_found.score") >= min_score)
+    """The rows, all columns, whose language could be told with at least ``min_evidence``."""
+    found = frame.withColumn("_lb_found", detect(train(train_on, lang, text), frame, F.col(text), evidence=True))
+    good = (F.col("_lb_found.lang_pred") != UNDETERMINED) & (F.col("_lb_found.evidence") >= min_evidence)
     return found.where(good).drop("_lb_found")

@@ -353,6 +353,22 @@ def test_rejected_languages_go(spark, speakers):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 3]
 
 
+def test_texts_of_no_learned_language_go(spark):
+    train = spark.read.parquet(f"{SF}/documents.parquet")
+    short = [" ".join(r.text.split()[:6]) for r in train.where("doc_id < 40 and text rlike '^[A-Z][a-z]+ [a-z]+ [a-z]+ '").collect()]
+    none = ["Быстрая лиса бежит через лес", "xqzv kjwq zzxk vvqj wxqz kkzq", "すばやい狐が森を走る", "你好世界", "ζωή και φως"]
+    docs = frame(spark, none + short)
+    kept = sorted(r.doc_id for r in langid.keep_identified(docs, train).collect())
+    assert len(short) > 5 and kept == list(range(len(none), len(none) + len(short)))
+
+
+def test_keeping_does_not_depend_on_how_many_languages_tie(spark):
+    text = "clean short text"
+    for n in (1, 4, 8):
+        train = spark.createDataFrame([(i, text, f"l{i}", "s", 1, "x", 0) for i in range(n)], SCHEMA)
+        assert [r.doc_id for r in langid.keep_identified(frame(spark, [text, "qzx wvk"]), train).collect()] == [0]
+
+
 # Helpers -----------------------------------------------------------------------
 
 
