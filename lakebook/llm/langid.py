@@ -1,7 +1,9 @@
 """Language ID of mixed text: script ranges, word scores, and Viterbi with a switching penalty.
 
 Each word is scored for every learned language by its letter trigrams. The word's
-script leaves only the languages that are written in it. Viterbi finds the language of
+script leaves only the languages that are written in it: another costs more than two
+switches, so it is never a word's language. Scripts that write no blanks between words
+are cut into pieces of ``PIECE`` letters, which count as words. Viterbi finds the language of
 every word that makes the sum of scores, less ``SWITCH`` for each change of language,
 greatest; runs of one language are the text's spans. Most texts are shown to be one
 span without the search: running sums of what each word gains in the best other language,
@@ -43,6 +45,8 @@ BUCKETS = 1 << 16
 SWITCH = 12.0
 #: The furthest that one word can stand below its best language.
 FLOOR = 6.0
+#: Letters of a piece where a script has no blanks between words.
+PIECE = 4
 #: Share of a language's letters from which it counts as written in a script.
 SCRIPT_SHARE = 0.01
 #: Share of a language's trigrams from which a bucket counts as seen in it; less is noise.
@@ -69,6 +73,20 @@ _STARTS = [start for start, _ in SCRIPTS]
 SCRIPT_NAMES = sorted({name for _, name in SCRIPTS})
 _SCRIPT_AT = {name: i for i, name in enumerate(SCRIPT_NAMES)}
 _WORD = re.compile(r"[^\W\d_]+")
+# Thai, Lao, Myanmar, Khmer, Kana and Han.
+_NO_BLANKS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_HAS_NO_BLANKS = re.compile(f"[{_NO_BLANKS}]")
+_CUT = re.compile(rf"[^\W\d_{_NO_BLANKS}]+|(?:(?=[^\W\d_])[{_NO_BLANKS}]){{1,{PIECE}}}")
+
+
+def pattern(text: str) -> re.Pattern:
+    """What finds the words of a text."""
+    return _CUT if not text.isascii() and _HAS_NO_BLANKS.search(text) else _WORD
+
+
+def words_of(text: str) -> list[str]:
+    lowered = text.lower()
+    return pattern(lowered).findall(lowered)
 
 
 def script(word: str) -> int:
@@ -95,7 +113,7 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         words: dict[str, Counter] = defaultdict(Counter)
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            words[lang].update(_WORD.findall(text.decode("utf-8", "replace").lower()))
+            words[lang].update(words_of(text.decode("utf-8", "replace")))
         rows = []
         for lang, found in words.items():
             grams, letters = Counter(), Counter()
@@ -153,7 +171,10 @@ class Labeller:
         self.letters = np.zeros(0, dtype=np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        """Scores of words not met before, below 0 by how far a language is from the best."""
+        """Scores of words not met before, below 0 by how far a language is from the best.
+
+        Languages that the script excludes stand at minus infinity.
+        """
         grams = [buckets(w) for w in words]
         sizes = np.array([len(g) for g in grams])
         flat = np.concatenate([np.asarray(g) for g in grams])
@@ -161,8 +182,8 @@ class Labeller:
         sums = np.add.reduceat(self.model.logs[flat], starts, axis=0)
         scripts = [script(w) for w in words]
         allowed = self.model.allowed[scripts]
-        sums = np.where(allowed, sums, -np.inf)
-        scores = np.maximum(sums - sums.max(axis=1, keepdims=True), -FLOOR)
+        most = np.where(allowed, sums, -np.inf).max(axis=1, keepdims=True)
+        scores = np.where(allowed, np.maximum(sums - most, -FLOOR), -np.inf)
         self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
         self.scores = np.concatenate([self.scores, scores])
         seen = np.ones_like(scores)
@@ -177,7 +198,7 @@ class Labeller:
         """The numbers of each text's words; without languages words have none."""
         if not self.model.languages:
             return [np.zeros(0, dtype=np.int64) for _ in texts]
-        words = [_WORD.findall(t.lower()) for t in texts]
+        words = [words_of(t) for t in texts]
         if len(self.known) > REMEMBER:
             self.known, self.scores, self.letters, self.seen = {}, self.scores[:0], self.letters[:0], self.seen[:0]
         new = list({w for ws in words for w in ws if w not in self.known})
@@ -207,7 +228,8 @@ class Labeller:
         if not lettered.any() or not self.model.languages:
             return UNDETERMINED, 0.0, np.full(len(numbers), -1), 0.0
         kept = numbers[lettered]
-        scores = self.scores[kept]
+        # Below this, switching there and back for a word always costs less.
+        scores = np.maximum(self.scores[kept], -(2 * switch + FLOOR + 1))
         path = self.path(scores, switch)
         share = np.bincount(path, weights=self.letters[kept], minlength=len(self.model.languages))
         best = int(share.argmax())
@@ -240,7 +262,7 @@ def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
 def _spans(text: str, path: np.ndarray, languages: list[str]) -> list[tuple[int, int, str]]:
     """(start, end, language) in characters; words without a letter belong to no span."""
     found: list[list] = []
-    for match, number in zip(_WORD.finditer(text), path.tolist(), strict=bool(languages)):
+    for match, number in zip(pattern(text).finditer(text), path.tolist(), strict=bool(languages)):
         if number < 0:
             continue
         if found and found[-1][2] == languages[number]:

@@ -369,6 +369,29 @@ def test_keeping_does_not_depend_on_how_many_languages_tie(spark):
         assert [r.doc_id for r in langid.keep_identified(frame(spark, [text, "qzx wvk"]), train).collect()] == [0]
 
 
+def test_scripts_narrow_the_languages(spark, speakers):
+    train, lines = speakers
+    train = train.unionByName(frame(spark, ["今天天气很好我们一起去公园散步"] * 10, "zh")).unionByName(
+        frame(spark, ["きょうはてんきがいいのでこうえんをさんぽします"] * 10, "ja")
+    )
+    parts = [(lines["en"], "en"), ("лису", "ru"), (lines["de"], "de"), ("今天天气很好我们一起去公园散步", "zh"),
+             ("きょうはてんきがいいのでこうえんをさんぽします", "ja"), (lines["en"], "en")]
+    text = " ".join(p for p, _ in parts)
+    joined = "今天天气很好我们一起去公园散步" + "きょうはてんきがいいのでこうえんをさんぽします"
+    rows = {r.doc_id: r for r in langid.language_id(frame(spark, [text, joined]), train, spans=True).collect()}
+    assert [(text[s.start : s.end], s.lang) for s in rows[0].spans] == parts
+    assert {s.lang for s in rows[1].spans} == {"zh", "ja"} and rows[1].spans[-1].end == len(joined)
+
+
+def test_long_runs_without_blanks_gain_by_their_length(spark):
+    """Two languages of one script, and a run of each."""
+    one, two = "天地玄黄宇宙洪荒日月盈昃", "寒来暑往秋收冬藏闰余成岁"
+    train = spark.createDataFrame([(i, t, k, "s", 1, "x", 0) for i in range(10) for t, k in ((one, "a"), (two, "b"))], SCHEMA)
+    text = one * 3 + "。" + two * 3
+    (row,) = langid.language_id(frame(spark, [text]), train, spans=True).collect()
+    assert [(text[s.start : s.end], s.lang) for s in row.spans] == [(one * 3, "a"), (two * 3, "b")]
+
+
 # Helpers -----------------------------------------------------------------------
 
 
