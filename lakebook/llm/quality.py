@@ -6,12 +6,13 @@ The base rules look at one row. Repeated 3-word windows are found by sorting the
 row's (window hash, position) pairs, so a long text costs n log n. The line rule hashes
 normalised lines (lower case, white space collapsed, lines without a word left out),
 counts per host the documents that hold a line, and removes lines found in more than
-``min_docs`` documents and more than ``share`` of the host's documents. A document that
-loses more than ``max_lost`` of its characters that way is rejected.
+``min_docs`` documents and more than ``share`` of the host's documents, or in more than
+``enough_docs`` documents however large the host is. A document that loses more than ``max_lost`` of its characters that way is rejected.
 
 Counts are partial sums before they shuffle, so a line or host that holds a third of
 all rows moves one row per task. The table of lines above the limits has, per host, at
-most (mean lines a document) / share rows; it is broadcast only after it was counted.
+most (mean lines a document) / share rows, and one row for each ``enough_docs`` lines of
+the rest; it is broadcast only after it was counted.
 
 Defined cases. Null or empty text: no words, so ``base_failed``. Null host: the host
 ''. Repeated rows and exact copies each count as a document. An empty table gives no
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from lakebook.llm.shared import WHITE, lookup, stored
 
 MIN_DOCS, SHARE, MAX_LOST = 10, 0.01, 0.5
+#: Documents of a host that make a line common by themselves; the share decides alone on
+#: hosts of up to ENOUGH_DOCS / SHARE documents.
+ENOUGH_DOCS = 1_000
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -81,7 +85,7 @@ def _base(frame: DataFrame) -> DataFrame:
 
 def frequent_lines(
     frame: DataFrame, text: str = "text", host: str = "source",
-    min_docs: int = MIN_DOCS, share: float = SHARE,
+    min_docs: int = MIN_DOCS, share: float = SHARE, enough_docs: int = ENOUGH_DOCS,
 ) -> DataFrame:
     """(host, h, n_docs) of the lines above the limits; stored."""
     docs = frame.select(
@@ -96,20 +100,21 @@ def frequent_lines(
         .agg(F.count("*").alias("n_docs"))
         .where(F.col("n_docs") > min_docs)
     )
-    above = lines.join(hosts, "host").where(F.col("n_docs") > share * F.col("host_docs"))
+    common = (F.col("n_docs") > share * F.col("host_docs")) | (F.col("n_docs") > enough_docs)
+    above = lines.join(hosts, "host").where(common)
     return stored(above.select("host", "h", "n_docs"), "lines")
 
 
 def quality_rules(
     frame: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source",
     min_docs: int = MIN_DOCS, share: float = SHARE, max_lost: float = MAX_LOST,
-    keep_text: bool = False,
+    keep_text: bool = False, enough_docs: int = ENOUGH_DOCS,
 ) -> DataFrame:
     """One row per document: the base counts, what lines it loses, and the verdicts.
 
     With ``keep_text`` the text without the removed lines follows as ``clean_text``.
     """
-    above = lookup(frequent_lines(frame, text, host, min_docs, share))
+    above = lookup(frequent_lines(frame, text, host, min_docs, share, enough_docs))
     raw = F.coalesce(F.col(text), F.lit(""))
     extra = {"_lb_kept_text": raw} if keep_text else {}
     docs = frame.select(

@@ -81,6 +81,18 @@ def test_quality_line_limits(spark):
     assert got[0].clean_text == rows[0][1].split("\n" + common)[0]
 
 
+def test_lines_of_fixed_spread_go_on_a_host_of_any_size(spark):
+    """1,001 of 120,000 documents are under a hundredth; 1,000 are not enough."""
+    n = F.col("doc_id")
+    own = F.concat(F.lit("own "), n.cast("string"))
+    text = F.when(n < 1001, F.concat(own, F.lit("\nshared by many"))).when(n < 2001, F.concat(own, F.lit("\nshared by fewer"))).otherwise(own)
+    rows = spark.range(120_000).withColumnRenamed("id", "doc_id").select("doc_id", text.alias("text"), F.lit("hot").alias("source"))
+    found = quality.frequent_lines(rows).collect()
+    assert [(r.host, r.n_docs) for r in found] == [("hot", 1001)]
+    lost = quality.quality_rules(rows.where(n < 2001), min_docs=1, share=1.0, enough_docs=1000).where("n_removed_lines = 1")
+    assert sorted(r.doc_id for r in lost.collect()) == list(range(1001))
+
+
 # Sharding ----------------------------------------------------------------------
 
 
