@@ -1,12 +1,12 @@
 """Suffix-array dedup: removes every byte of a long string that starts elsewhere too.
 
-Whether a string of ``threshold`` bytes recurs is decided by prefix doubling: positions
-get the rank of their first bytes, rank pairs at a growing offset are sorted by Spark
-and reranked, and a position leaves as soon as its rank is unique. For a threshold of 200
-the lengths are 64, then 128 (offset 64), then 200 (offset 72). A rank is named by a
-64-bit hash of its pair, so equal prefixes have equal names on all machines.
+This is window sampling and hash counting, not prefix doubling: Spark sorts no rank pairs
+and reranks nothing, and no round needs the ranks of the one before. Each task hashes the
+64 bytes from each position, pairs these hashes to 128 bytes (offset 64) and for a threshold
+of 200 to 200 (offset 72); below, such a hash is called a rank. Equal strings have equal
+ranks on all machines, and Spark counts the ranks.
 
-Two facts keep most positions out of the sorts, and are exact:
+Two facts keep most positions out of the counts, and are exact:
 
 * A window of 200 bytes is the same as another only if the places where its least
   128-byte rank stands agree. One sampled position stands for all windows that share it
@@ -16,7 +16,7 @@ Two facts keep most positions out of the sorts, and are exact:
   stretch, told by a 64-bit hash of its bytes, occurs twice, all its windows recur; and
   for the last doubling one member of each such class stands for all of them.
 
-So the last round sorts only windows of stretches that differ although they share a
+So the last round counts only windows of stretches that differ although they share a
 sampled rank: the edges of repeats. Counts are partial sums before each shuffle, and
 what is joined afterwards are the few ranks that the filter held back for nothing. No
 task holds more than a document and a filter.
