@@ -1,14 +1,14 @@
-"""BPE encoding by a table of distinct words, and decoding by a table of pieces.
+"""BPE encoding by a table of frequent words, and decoding by a list of pieces.
 
 A byte-level BPE never merges across the start of a run of white space, so a text's ids
 are those of its words, each word being a run of white space and what follows it. Spark
 splits all texts into words and counts the distinct ones; each word of the table is
-encoded once, and the ids are joined back in the order of the words. The table holds
+encoded once, and tasks look its ids up in the order of the words. The table holds
 the ``table_words`` most frequent words of up to ``WORD_BYTES`` bytes and is broadcast,
 so its size is bounded by these two parameters. Words beyond it, the long tail, are
-encoded where they stand, once per task: to join them would shuffle every occurrence
+encoded where they stand, in each task and again once it forgot them: to join them would shuffle every occurrence
 with its position, many times the text, to save encoding words that are nearly all
-alone. Decoding looks ids up in the vocabulary, which bounds that table.
+alone. Decoding looks ids up in a list of the vocabulary within a UDF; nothing is joined.
 
 Within a task words never become Python objects one by one: Arrow splits a group of
 texts and numbers its distinct words, and numpy gathers their ids in order.
