@@ -161,11 +161,12 @@ def in_groups(rows: list, size: Callable = len) -> Iterator[list]:
         yield held
 
 
-def as_strings(texts: list[bytes]) -> pa.Array:
+def as_strings(texts: list[bytes] | pa.Array) -> pa.Array:
+    held = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.binary())
     try:
-        return pa.array(texts, pa.binary()).cast(pa.string())
+        return held.cast(pa.string())
     except pa.ArrowInvalid:
-        return pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
+        return pa.array([t.decode("utf-8", "replace") for t in held.to_pylist()], pa.string())
 
 
 class IdPool:

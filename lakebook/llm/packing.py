@@ -18,11 +18,14 @@ place by their rank among the pieces of equal length: a numbering in ranges of r
 which a length that a third of all documents share is spread over many tasks.
 
 Defined cases. Null text: empty, a piece of the end id alone. Equal rows are packed one
-by one. An empty table gives no rows.
+by one, and so are rows that share an id or have none; ids pass through unchanged. Very
+long texts are encoded whole and cut. Other columns of the input are left out, so their
+names cannot clash. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -37,15 +40,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakebook.llm.bpe import IdPool, Ids, as_strings, encode_joined, encode_words, in_groups, load
+from lakebook.llm.bpe import AT_ONCE, IdPool, Ids, as_strings, encode_joined, encode_words, load
 from lakebook.llm.shared import numbered, small_batches, stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, BIN = 4096, 1, 16
-_SPECIAL = b"<|"
+_SPECIAL = "<|"
 _ONLY_MARKS = r"^[!-&(-/:-@\[-`{-~]+$"
 _CORE_AND_MARKS = r"(?s)^(?P<core>.*\p{L})(?P<marks>[!-&(-/:-@\[-`{-~]+)$"
-PIECES = "doc_id {kind}, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 # Pieces ------------------------------------------------------------------------
@@ -89,61 +92,94 @@ def encode_lower(path: str, words: list[str]) -> Ids:
     return pool.gather(numbers.T.ravel())[0], sizes.sum(axis=0)
 
 
-def _plain_ids(pool: IdPool, texts: list[bytes], path: str) -> list[bytes]:
+def _plain_ids(pool: IdPool, texts: pa.Array, path: str) -> Ids:
     """Ids of texts without special tokens; the tokenizer drops white space and upper case."""
-    lists = pc.ascii_split_whitespace(as_strings(texts))
+    lists = pc.ascii_split_whitespace(texts)
     begins = np.asarray(lists.offsets)
     encoded = pc.ascii_lower(lists.flatten()).dictionary_encode()
     ids, ends = pool.gather(
         pool.numbers(encoded.dictionary.to_pylist(), lambda new: encode_lower(path, new))[np.asarray(encoded.indices)]
     )
-    ends = 4 * np.concatenate(([0], ends))[begins]
-    data = ids.tobytes()
-    return [data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+    return ids, np.concatenate(([0], ends))[begins[1:]]
 
 
-def encode_texts(pool: IdPool, texts: list[bytes], path: str) -> list[bytes]:
+def encode_texts(pool: IdPool, texts: pa.Array, path: str) -> Ids:
+    """The ids of all texts in a row, and where each text's end."""
     pool.trim()
-    plain = [i for i, t in enumerate(texts) if _SPECIAL not in t]
-    found = dict(zip(plain, _plain_ids(pool, [texts[i] for i in plain], path) if plain else [], strict=True))
-    return [
-        found[i] if i in found else encode_words(load(path), [t.decode("utf-8", "replace")])[0].tobytes()
-        for i, t in enumerate(texts)
-    ]
+    special = np.asarray(pc.match_substring(texts, _SPECIAL))
+    if not special.any():
+        return _plain_ids(pool, texts, path)
+    ids, ends = _plain_ids(pool, texts.filter(pa.array(~special)), path)
+    more, sizes = encode_words(load(path), texts.filter(pa.array(special)).to_pylist())
+    size, start = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts), dtype=np.int64)
+    size[~special], size[special] = np.diff(ends, prepend=0), sizes
+    start[~special], start[special] = ends - size[~special], len(ids) + sizes.cumsum() - sizes
+    both, ends = np.concatenate([ids, more]), size.cumsum()
+    return both[np.repeat(start - (ends - size), size) + np.arange(size.sum())], ends
+
+
+def _with_end(ids: np.ndarray, ends: np.ndarray, end_id: int) -> Ids:
+    """The same with an end id behind each text."""
+    after = ends + np.arange(1, len(ends) + 1)
+    out = np.empty(len(ids) + len(ends), dtype="<u4")
+    own = np.ones(len(out), dtype=bool)
+    own[after - 1] = False
+    out[own], out[after - 1] = ids, end_id
+    return out, after
+
+
+def token_groups(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(ids of documents, their tokens in a row, where each document's end), some MB of text each."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    pool = IdPool()
+    for batch in batches:
+        texts = as_strings(batch.column("text"))
+        group = np.asarray(pc.binary_length(texts)).cumsum() // AT_ONCE
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                yield batch.column("doc_id").slice(a, b - a), *_with_end(*encode_texts(pool, texts.slice(a, b - a), path), end_id)
 
 
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
-    end = np.uint32(end_id).astype("<u4").tobytes()
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pool = IdPool()
-        for batch in batches:
-            docs = zip(batch["doc_id"], [t or b"" for t in batch["text"]], strict=True)
-            for group in in_groups(list(docs), lambda doc: len(doc[1])):
-                rows = []
-                for (doc_id, _), ids in zip(group, encode_texts(pool, [t for _, t in group], path), strict=True):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at : at + 4 * capacity]
-                        rows.append((doc_id, piece, at // 4, len(part) // 4, zlib.crc32(part), *([part] if with_ids else [])))
-                names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
-                out = pd.DataFrame(rows, columns=names)
-                if batch["doc_id"].dtype.kind in "fO":  # nulls among the ids
-                    out["doc_id"] = out["doc_id"].astype("Int64")
-                yield out
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, ids, ends in token_groups(batches, path, end_id):
+            size = np.diff(ends, prepend=0)
+            parts = -(-size // capacity)
+            doc = np.repeat(np.arange(len(size)), parts)
+            piece = np.arange(len(doc)) - np.repeat(parts.cumsum() - parts, parts)
+            start = piece * capacity
+            length = np.minimum(size[doc] - start, capacity)
+            at = ((ends - size)[doc] + start) * 4
+            data = memoryview(ids.tobytes())
+            bodies = [data[a : a + n] for a, n in zip(at.tolist(), (4 * length).tolist(), strict=True)]
+            columns = [
+                doc_ids.take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                pa.array([zlib.crc32(body) for body in bodies], pa.int64()),
+            ]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                columns, names = [*columns, pa.array([bytes(body) for body in bodies], pa.binary())], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return cut
 
 
+def id_and_text(frame: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(doc_id long, text binary), null texts empty."""
+    small_batches(frame.sparkSession)
+    return frame.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
+    )
+
+
 def cut_pieces(
     frame: DataFrame, id_col: str = "doc_id", text: str = "text", path: str = WORD_BPE,
     capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) and, if asked for, the ids."""
-    small_batches(frame.sparkSession)
-    raw = frame.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    kinds = PIECES.format(kind="long") + (", ids binary" if with_ids else "")
-    return raw.mapInPandas(_pieces(path, capacity, end_id, with_ids), kinds)
+    kinds = PIECES + (", ids binary" if with_ids else "")
+    return id_and_text(frame, id_col, text).mapInArrow(_pieces(path, capacity, end_id, with_ids), kinds)
 
 
 # Plan --------------------------------------------------------------------------
