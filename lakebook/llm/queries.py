@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakebook.llm.bpe import roundtrip
 from lakebook.llm.exact import duplicate_report
+from lakebook.llm.infill import fill_in_middle, restored
 from lakebook.llm.langid import language_id
 from lakebook.llm.packing import pack_documents
 from lakebook.llm.quality import quality_rules
@@ -18,6 +19,7 @@ from lakebook.llm.simhash import near_duplicates
 from lakebook.llm.suffix import repeat_report
 from lakebook.llm.toxicity import toxicity
 from lakebook.llm.warc import archive_roundtrip
+from lakebook.llm.windows import pack_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +91,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_windows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -100,4 +115,6 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
+    "op11_fim": op11_fim,
+    "op13_packing": op13_packing,
 }
