@@ -40,11 +40,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakebook.llm.bpe import AT_ONCE, IdPool, Ids, as_strings, encode_joined, encode_words, load
+from lakebook.llm.bpe import IdPool, Ids, as_strings, encode_joined, encode_words, load
 from lakebook.llm.shared import numbered, small_batches, stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, BIN = 4096, 1, 16
+#: Bytes of text that are encoded at once: the more, the fewer words are looked up again.
+GROUP = 12 << 20
 _SPECIAL = "<|"
 _ONLY_MARKS = r"^[!-&(-/:-@\[-`{-~]+$"
 _CORE_AND_MARKS = r"(?s)^(?P<core>.*\p{L})(?P<marks>[!-&(-/:-@\[-`{-~]+)$"
@@ -131,14 +133,24 @@ def _with_end(ids: np.ndarray, ends: np.ndarray, end_id: int) -> Ids:
 def token_groups(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """(ids of documents, their tokens in a row, where each document's end), some MB of text each."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    pool = IdPool()
+    pool, held, size = IdPool(), [], 0
+
+    def encoded() -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        doc_ids, texts = (pa.concat_arrays(column) for column in zip(*held, strict=True))
+        return doc_ids, *_with_end(*encode_texts(pool, texts, path), end_id)
+
     for batch in batches:
         texts = as_strings(batch.column("text"))
-        group = np.asarray(pc.binary_length(texts)).cumsum() // AT_ONCE
+        group = np.asarray(pc.binary_length(texts)).cumsum() // GROUP
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-            if b > a:
-                yield batch.column("doc_id").slice(a, b - a), *_with_end(*encode_texts(pool, texts.slice(a, b - a), path), end_id)
+            held.append((batch.column("doc_id").slice(a, b - a), texts.slice(a, b - a)))
+            size += held[-1][1].nbytes
+            if size >= GROUP:
+                yield encoded()
+                held, size = [], 0
+    if held:
+        yield encoded()
 
 
 def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
