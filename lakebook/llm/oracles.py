@@ -146,4 +146,5 @@ ORACLES: dict[str, str] = {
     "op2_warc": OP2,
     "op7_exact_dedup": OP7,
     "op11_fim": OP11,
+    "op12_collocations": OP12,
 }

@@ -12,6 +12,7 @@ from lakebook.llm.exact import duplicate_report
 from lakebook.llm.infill import fill_in_middle, restored
 from lakebook.llm.langid import language_id
 from lakebook.llm.packing import pack_documents
+from lakebook.llm.phrases import collocations
 from lakebook.llm.quality import quality_rules
 from lakebook.llm.sharding import assign_shards
 from lakebook.llm.shared import held_out, table
@@ -100,6 +101,10 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_windows(table(spark, sf_dir, "documents"))
 
@@ -116,5 +121,6 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_language_id": op10_language_id,
     "op11_fim": op11_fim,
+    "op12_collocations": op12_collocations,
     "op13_packing": op13_packing,
 }
