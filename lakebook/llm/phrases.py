@@ -6,19 +6,24 @@ to the node of its last ones, which the next edge overlaps. The steps:
 
 1. Each task counts the distinct edges of some MB of text, and, as piece ends, the last
    one to ``longest - 1`` words of every piece, behind which no edge goes on.
-2. Edges meet by hash and are summed. What flows out of a node, plus the pieces that end
-   in it, is the count of the node's phrase; nodes are summed the same way, then what flows
-   out of their first words, down to single words. No level reads the texts again, and
-   each sums the flows of a task's phrases before they shuffle, so that neither a common
-   word nor a common pair gathers rows: a task sends one row a phrase.
+2. Edges meet by their first two words and are summed. What flows out of a node, plus the
+   pieces that end in it, is the count of the node's phrase; what flows out of the nodes of
+   its first words is summed the same way, in the same task, down to single words, whose
+   parts then meet once more. The texts are read once for this.
 3. A node through which all flow passes along a single edge lies on a unary path. Such
    nodes are compacted into the longer phrase: it says all that they say.
 4. The phrases left are scored by their weakest cut, with exact integers, and ranked.
 
+Hot beginnings. A first pass finds the phrases of 2 to ``longest - 1`` words that hold more
+than one in ``HOT`` of all words; at most 2 * ``HOT`` of each length can, so they are
+broadcast. An edge is dealt by the shortest beginning that is not hot, so that no bucket
+holds the edges of a common pair together, and the parts that each bucket has of a hot
+phrase's count meet afterwards, one row a bucket.
+
 Between tasks go blocks of phrases: a column of word numbers per place, with the words of
-the block, compressed. A block belongs to a bucket, a hash of the phrase; buckets are as
-many as the bytes of text ask for (``BUCKET``), so a task's memory does not grow with the
-corpus. Phrases are never hashed for identity, and no count is approximate.
+the block, compressed. Buckets are as many as the words ask for (``BUCKET``), so a task's
+memory does not grow with the corpus. Phrases are compared as words, never as hashes, and
+no count is approximate.
 
 Defined cases. Null text: empty, no words. Null language: ``und``, together with rows that
 say so. Repeated rows and copies count each time. Very long texts and pieces are counted
@@ -36,6 +41,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +49,10 @@ from lakebook.llm.bpe import as_strings
 from lakebook.llm.shared import lookup, small_batches, stored
 
 LONGEST, LEAST, TOP = 5, 100, 2000
-#: Bytes of text whose edges a task counts at once, and bytes of text to a bucket.
-CHUNK, BUCKET = 16 << 20, 32 << 20
+#: Bytes of text whose edges a task counts at once, and words to a bucket.
+CHUNK, BUCKET = 16 << 20, 4_000_000
+#: A phrase of more than one in so many words is hot.
+HOT = 1000
 #: Parts of a language that are ranked before the language is.
 SALTS = 64
 
@@ -52,18 +60,32 @@ _UPPER = bytes(range(0x41, 0x5B))
 _BREAKS = b".,;:!?" + bytes(range(0x0A, 0x0E))
 _PLAIN = bytes.maketrans(_UPPER + _BREAKS + b"\t", _UPPER.lower() + b"\n" * len(_BREAKS) + b" ")
 
-#: ``size`` words a phrase; a block of phrases, or (``phrase``, ``n``) of a frequent one, or,
-#: with ``size`` 0, all words of a language.
-ROWS = "size int, lang string, bucket int, words binary, counts binary, phrase string, n long"
+#: ``size`` words a phrase; a block of phrases, or (``phrase``, ``n``) of one, or, with
+#: ``size`` 0, all words of a language.
+ROWS = "size int, lang string, bucket int, words binary, numbers binary, counts binary, phrase string, n long"
 _SCHEMA = pa.schema(
     [("size", pa.int32()), ("lang", pa.string()), ("bucket", pa.int32()), ("words", pa.binary()),
-     ("counts", pa.binary()), ("phrase", pa.string()), ("n", pa.int64())]
+     ("numbers", pa.binary()), ("counts", pa.binary()), ("phrase", pa.string()), ("n", pa.int64())]
 )
+_BLOCK = ["size", "lang", "bucket", "words", "numbers", "counts"]
 
 
 # Phrases of a task --------------------------------------------------------------
 
 
+def _key(places: np.ndarray, words: int) -> np.ndarray:
+    """A number for each phrase, the same for equal ones and in their order."""
+    size = max(1, words)
+    key, held = places[0].astype(np.int64), size
+    for place in places[1:]:
+        if held * size >= 1 << 63:
+            ranks, key = np.unique(key, return_inverse=True)
+            held = len(ranks)
+        key = key * size + place
+        held *= size
+    return key
+
+
 class Phrases:
     """Distinct phrases of one length: word numbers by place, words, and counts."""
 
@@ -73,94 +95,115 @@ class Phrases:
     @staticmethod
     def summed(places: np.ndarray, words: pa.Array, counts: np.ndarray | None = None) -> Phrases:
         """Equal phrases made one."""
-        size, key = max(1, len(words)), places[0].astype(np.int64)
-        held = size
-        for place in places[1:]:
-            if held * size >= 1 << 63:
-                ranks, key = np.unique(key, return_inverse=True)
-                held = len(ranks)
-            key = key * size + place
-            held *= size
+        key = _key(places, len(words))
         order = np.argsort(key)
-        ordered = key[order]
-        starts = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))[: len(key)]
+        key = key[order]
+        starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))[: len(key)]
         if counts is None:
             total = np.diff(np.append(starts, len(key)))
         else:
             total = np.add.reduceat(counts[order], starts) if len(starts) else counts[:0]
         return Phrases(places[:, order[starts]], words, total.astype(np.int64))
 
-    def first(self, size: int) -> Phrases:
-        """The phrases of their first ``size`` words: what flows out of these nodes."""
-        return Phrases.summed(self.places[:size], self.words, self.counts)
-
-    def texts(self, chosen: np.ndarray) -> pa.Array:
-        parts = [self.words.take(pa.array(place[chosen])) for place in self.places]
-        return pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
-
-    def _buckets(self, buckets: int) -> np.ndarray:
-        hashes = np.array([xxhash.xxh64_intdigest(w) for w in self.words.cast(pa.binary()).to_pylist()], dtype=np.uint64)
-        found = np.zeros(self.places.shape[1], dtype=np.uint64)
-        for place in self.places:
-            found = (found ^ hashes[place]) * np.uint64(0x9E3779B97F4A7C15)
-            found ^= found >> np.uint64(29)
-        return (found % np.uint64(buckets)).astype(np.int32)
-
-    def blocks(self, lang: str, buckets: int) -> Iterator[tuple]:
+    def __len__(self) -> int:
+        return self.places.shape[1]
+
+    def of(self, chosen: np.ndarray) -> Phrases:
+        return Phrases(self.places[:, chosen], self.words, self.counts[chosen])
+
+    def flow(self, ends: Phrases | None) -> Phrases:
+        """The phrases less their last word, and the pieces that end with such a phrase."""
+        places, counts = self.places[:-1], self.counts
+        if ends is not None:
+            places = np.concatenate([places, ends.places], axis=1)
+            counts = np.concatenate([counts, ends.counts])
+        return Phrases.summed(places, self.words, counts)
+
+    def rows(self, lang: str) -> list[tuple]:
+        """A row a phrase, as text."""
+        parts = [self.words.take(pa.array(place)) for place in self.places]
+        texts = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0]
+        size = len(self.places)
+        return [
+            (size, lang, None, None, None, None, phrase, n)
+            for phrase, n in zip(texts.to_pylist(), self.counts.tolist(), strict=True)
+        ]
+
+    def blocks(self, lang: str, bucket: np.ndarray) -> Iterator[tuple]:
         """A row for each bucket that has phrases."""
-        if not self.places.shape[1]:
-            return
-        bucket = self._buckets(buckets)
         order = np.argsort(bucket, kind="stable")
         at = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         for a, b in zip(at.tolist(), [*at[1:].tolist(), len(order)], strict=True):
             own = order[a:b]
-            numbers, local = np.unique(self.places[:, own], return_inverse=True)
-            words = pa.DictionaryArray.from_arrays(pa.array(local.ravel().astype(np.int32)), self.words.take(pa.array(numbers)))
-            yield len(self.places), lang, int(bucket[own[0]]), _packed(words), _packed(pa.array(self.counts[own])), None, None
+            used, numbers = np.unique(self.places[:, own], return_inverse=True)
+            yield (
+                len(self.places), lang, int(bucket[own[0]]), _packed_words(self.words.take(pa.array(used))),
+                _packed(numbers.ravel()), _packed(self.counts[own]), None, None,
+            )
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte: all lowest bytes first, so that they compress."""
+    planes = numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
-def _packed(column: pa.Array) -> bytes:
-    sink = pa.BufferOutputStream()
-    batch = pa.RecordBatch.from_arrays([column], ["c"])
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-        writer.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+def _packed_words(words: pa.Array) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress("\n".join(words.to_pylist()).encode())
 
 
-def _unpacked(data: bytes) -> pa.Array:
-    return pa.ipc.open_stream(data).read_next_batch().column(0)
+def _unpacked_words(data: bytes) -> list[str]:
+    return zstandard.ZstdDecompressor().decompress(data).decode().split("\n")
 
 
-def united(size: int, blocks: list[tuple[bytes, bytes]]) -> Phrases:
-    """The phrases of many blocks, summed."""
-    held = [_unpacked(words) for words, _ in blocks]
-    counts = np.concatenate([np.asarray(_unpacked(c)) for _, c in blocks])
-    words = pa.concat_arrays([h.dictionary for h in held]).dictionary_encode()
-    number = np.asarray(words.indices)
-    starts = np.cumsum([0, *(len(h.dictionary) for h in held)])
-    places = [number[start + np.asarray(h.indices)].reshape(size, -1) for start, h in zip(starts, held, strict=False)]
-    return Phrases.summed(np.concatenate(places, axis=1), words.dictionary, counts)
+def united(blocks: list[tuple[int, bytes, bytes, bytes]]) -> dict[int, Phrases]:
+    """By length, the phrases of many blocks, with the same words."""
+    held = [_unpacked_words(words) for _, words, _, _ in blocks]
+    encoded = pa.array([w for words in held for w in words], pa.string()).dictionary_encode()
+    number, at = np.asarray(encoded.indices), 0
+    places, counts = defaultdict(list), defaultdict(list)
+    for (size, _, numbers, n), words in zip(blocks, held, strict=True):
+        own = number[at : at + len(words)]
+        at += len(words)
+        places[size].append(own[_unpacked(numbers)].reshape(size, -1))
+        counts[size].append(_unpacked(n))
+    return {
+        size: Phrases.summed(np.concatenate(places.pop(size), axis=1), encoded.dictionary, np.concatenate(counts.pop(size)))
+        for size in list(places)
+    }
 
 
 def pieces_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(words, word numbers in order, the piece of each)."""
+    """(words, the most frequent first; word numbers in order; the piece of each)."""
     data = b"\n".join(texts).translate(_PLAIN).replace(b"\n", b" \n ")
     found = pc.split_pattern(as_strings([data]), " ").flatten().dictionary_encode()
     words, numbers = found.dictionary, np.asarray(found.indices)
-    blank = np.asarray(pc.equal(words, ""))[numbers]
     breaks = np.asarray(pc.equal(words, "\n"))[numbers]
-    piece = breaks.cumsum()
-    own = ~(blank | breaks)
-    return words, numbers[own], piece[own]
+    own = ~(breaks | np.asarray(pc.equal(words, ""))[numbers])
+    piece = breaks.cumsum(dtype=np.int32)[own]
+    numbers = numbers[own]
+    order = np.argsort(-np.bincount(numbers, minlength=len(words)), kind="stable")
+    rank = np.empty(len(words), dtype=np.int32)
+    rank[order] = np.arange(len(words), dtype=np.int32)
+    return words.take(pa.array(order)), rank[numbers], piece
+
+
+def runs(number: np.ndarray, piece: np.ndarray, size: int) -> np.ndarray:
+    """All runs of ``size`` words within a piece, by place."""
+    n = len(number) - size + 1
+    inside = np.flatnonzero(piece[size - 1 :] == piece[: max(0, n)])
+    return np.stack([number[inside + i] for i in range(size)])
 
 
 def edges_and_ends(texts: list[bytes], longest: int) -> Iterator[Phrases]:
     """The distinct edges of the texts, and the words that pieces end with."""
     words, number, piece = pieces_of(texts)
-    n = len(number)
-    inside = np.flatnonzero(piece[longest - 1 :] == piece[: max(0, n - longest + 1)])
-    yield Phrases.summed(np.stack([number[inside + i] for i in range(longest)]), words)
+    yield Phrases.summed(runs(number, piece, longest), words)
     last = np.flatnonzero(np.diff(piece, append=-1))
     for size in range(1, longest):
         ends = last[last >= size - 1]
@@ -168,53 +211,148 @@ def edges_and_ends(texts: list[bytes], longest: int) -> Iterator[Phrases]:
         yield Phrases.summed(np.stack([number[ends - size + 1 + i] for i in range(size)]), words)
 
 
+def heavy(texts: list[bytes], longest: int, all_words: int) -> Iterator[Phrases]:
+    """The phrases of 2 to ``longest - 1`` words that may be hot: the runs of a phrase that
+    is not hot are not either, and so each length only looks at runs that begin hot."""
+    words, number, piece = pieces_of(texts)
+    starts = np.arange(len(number))
+    for size in range(2, longest):
+        starts = starts[starts + size <= len(number)]
+        starts = starts[piece[starts + size - 1] == piece[starts]]
+        if not len(starts):
+            return
+        places = np.stack([number[starts + i] for i in range(size)])
+        _, group, count = np.unique(_key(places, len(words)), return_inverse=True, return_counts=True)
+        hot = (2 * HOT * count > all_words)[group]
+        starts = starts[hot]
+        yield Phrases.summed(places[:, hot], words)
+
+
+# Dealing -----------------------------------------------------------------------
+
+#: By language, the hot phrases, as words.
+Hot = dict[str, set[tuple[str, ...]]]
+
+
+def hot_flags(phrases: Phrases, hot: set[tuple[str, ...]], size: int) -> np.ndarray:
+    """Whether the first ``size`` words are a hot phrase."""
+    flags = np.zeros(len(phrases), dtype=bool)
+    wanted = [p for p in hot if len(p) == size]
+    if not wanted or not len(phrases):
+        return flags
+    number = np.asarray(pc.fill_null(pc.index_in(pa.array([w for p in wanted for w in p], pa.string()), phrases.words), -1))
+    number = number.reshape(-1, size)
+    number = number[(number >= 0).all(axis=1)]
+    own, known = phrases.places[:size], number.T.astype(phrases.places.dtype)
+    key = _key(np.concatenate([own, known], axis=1), len(phrases.words))
+    return np.isin(key[: len(phrases)], key[len(phrases) :])
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words.to_pylist()], dtype=np.uint64)
+
+
+def buckets_of(phrases: Phrases, hashes: np.ndarray, buckets: int, hot: set[tuple[str, ...]] | None) -> np.ndarray:
+    """The bucket of each phrase: by its shortest beginning, of two words at least, that is
+    not hot, or by all its words if ``hot`` is None."""
+    size = len(phrases.places)
+    found = np.zeros(len(phrases), dtype=np.uint64)
+    going = np.ones(len(phrases), dtype=bool)
+    for i in range(size):
+        mixed = (found ^ hashes[phrases.places[i]]) * np.uint64(0x9E3779B97F4A7C15)
+        found = np.where(going, mixed ^ (mixed >> np.uint64(29)), found)
+        if hot is not None and i:
+            going &= hot_flags(phrases, hot, i + 1)
+    return (found % np.uint64(buckets)).astype(np.int32)
+
+
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _SCHEMA, strict=True)]
     return pa.RecordBatch.from_arrays(columns, schema=_SCHEMA)
 
 
-def _graph(longest: int, buckets: int):
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]]]:
+    """By language, texts of about ``CHUNK`` bytes."""
+    held, size = defaultdict(list), 0
+    for batch in batches:
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            held[lang].append(text)
+            size += len(text)
+            if size >= CHUNK:
+                yield held
+                held, size = defaultdict(list), 0
+    if held:
+        yield held
+
+
+def _heavy(longest: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Blocks of edges and piece ends, language by language."""
-        held, size = defaultdict(list), 0
+        """What may be hot, and the number of words."""
+        for chunk in _chunks(batches):
+            size = {lang: len(pieces_of(texts)[1]) for lang, texts in chunk.items()}
+            rows = [(0, lang, None, None, None, None, None, n) for lang, n in size.items()]
+            for lang, texts in chunk.items():
+                for phrases in heavy(texts, longest, sum(size.values())):
+                    rows.extend(phrases.rows(lang))
+            yield _batch(rows)
 
-        def counted() -> Iterator[pa.RecordBatch]:
-            for lang, texts in held.items():
+    return run
+
+
+def _graph(longest: int, buckets: int, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks of edges and piece ends."""
+        for chunk in _chunks(batches):
+            for lang, texts in chunk.items():
+                hot, hashes = shared.value.get(lang, set()), None
                 for phrases in edges_and_ends(texts, longest):
-                    if rows := list(phrases.blocks(lang, buckets)):
+                    hashes = _hashes(phrases.words) if hashes is None else hashes
+                    if rows := list(phrases.blocks(lang, buckets_of(phrases, hashes, buckets, hot))):
                         yield _batch(rows)
 
-        for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                held[lang].append(text)
-                size += len(text)
-                if size >= CHUNK:
-                    yield from counted()
-                    held, size = defaultdict(list), 0
-        yield from counted()
+    return run
+
+
+def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[int, Phrases]]]:
+    held = defaultdict(list)
+    for batch in batches:
+        for lang, *block in zip(*(batch.column(c).to_pylist() for c in ("lang", "size", "words", "numbers", "counts")), strict=True):
+            held[lang].append(tuple(block))
+    for lang in list(held):
+        yield lang, united(held.pop(lang))
+
+
+def _flows(longest: int, buckets: int, least: int, shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The frequent phrases of this task's buckets; of hot ones and of words, its parts."""
+        for lang, ends in _by_language(batches):
+            hot, hashes, phrases = shared.value.get(lang, set()), None, None
+            for size in range(longest, 0, -1):
+                own = ends.pop(size, None)
+                phrases = own if phrases is None else phrases.flow(own)
+                if phrases is None:
+                    continue
+                part = np.ones(len(phrases), dtype=bool)
+                if size > 1:
+                    part = hot_flags(phrases, hot, size) if size < longest else ~part
+                    chosen = phrases.of(~part & (phrases.counts >= least))
+                    if rows := chosen.rows(lang):
+                        yield _batch(rows)
+                if part.any():
+                    hashes = _hashes(phrases.words) if hashes is None else hashes
+                    parts = phrases.of(part)
+                    yield _batch(list(parts.blocks(lang, buckets_of(parts, hashes, buckets, None))))
 
     return run
 
 
-def _summed(size: int, buckets: int, least: int):
+def _totals(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The phrases of ``size`` words of this task's buckets: the frequent ones, and what
-        flows out of the nodes of their first words."""
-        held = defaultdict(list)
-        for batch in batches:
-            for lang, words, counts in zip(*(batch.column(c).to_pylist() for c in ("lang", "words", "counts")), strict=True):
-                held[lang].append((words, counts))
-        for lang in list(held):
-            phrases = united(size, held.pop(lang))
-            chosen = np.flatnonzero(phrases.counts >= least)
-            rows = [
-                (size, lang, None, None, None, phrase, n)
-                for phrase, n in zip(phrases.texts(chosen).to_pylist(), phrases.counts[chosen].tolist(), strict=True)
-            ]
-            if size == 1:
-                rows.append((0, lang, None, None, None, None, int(phrases.counts.sum())))
-            else:
-                rows.extend(phrases.first(size - 1).blocks(lang, buckets))
+        """The frequent ones of phrases whose parts have met, and the number of words."""
+        for lang, by_size in _by_language(batches):
+            rows = [row for phrases in by_size.values() for row in phrases.of(phrases.counts >= least).rows(lang)]
+            if 1 in by_size:
+                rows.append((0, lang, None, None, None, None, None, int(by_size[1].counts.sum())))
             if rows:
                 yield _batch(rows)
 
@@ -224,37 +362,43 @@ def _summed(size: int, buckets: int, least: int):
 # Counts ------------------------------------------------------------------------
 
 
+def hot_phrases(given: DataFrame, longest: int) -> tuple[int, Hot]:
+    """The number of words of (lang, text), and the hot phrases.
+
+    A phrase of more than one in ``HOT`` words has, where it has more than half that share
+    of a chunk, at least half of that in all: so no hot one is missed, and no more than
+    2 * ``HOT`` of a length are gathered.
+    """
+    found = stored(given.mapInArrow(_heavy(longest), ROWS).select("size", "lang", "phrase", "n"), "heavy")
+    words = found.where("size = 0").agg(F.sum("n")).first()[0] or 0
+    summed = found.where("size > 0").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    hot: Hot = defaultdict(set)
+    for row in summed.where(2 * HOT * F.col("n") > words).collect():
+        hot[row["lang"]].add(tuple(row["phrase"].split(" ")))
+    return words, dict(hot)
+
+
 def phrase_counts(
     frame: DataFrame, text: str = "text", lang: str = "lang", longest: int = LONGEST, least: int = LEAST
 ) -> DataFrame:
     """(lang, size, phrase, n) of every phrase of up to ``longest`` words that occurs ``least``
     times or more, and for each language a row of size 0 with all its words."""
-    small_batches(frame.sparkSession)
+    spark = frame.sparkSession
+    small_batches(spark)
     given = frame.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
     )
-    total = given.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = math.ceil((total + 1) / BUCKET)
-    graph = stored(given.mapInArrow(_graph(longest, buckets), ROWS), "edges")
-    found, flows = [], None
-    for size in range(longest, 0, -1):
-        blocks = graph.where(F.col("size") == size)
-        if flows is not None:
-            blocks = blocks.unionByName(flows)
-        summed = stored(
-            blocks.select("bucket", "lang", "words", "counts")
-            .repartition(buckets, "bucket")
-            .mapInArrow(_summed(size, buckets, least), ROWS),
-            "phrases",
-        )
-        found.append(summed.where(F.col("bucket").isNull()).select("lang", "size", "phrase", "n"))
-        flows = summed.where(F.col("bucket").isNotNull())
-    counts = found[0]
-    for more in found[1:]:
-        counts = counts.unionByName(more)
-    words = counts.where("size = 0").groupBy("lang", "size").agg(F.first("phrase").alias("phrase"), F.sum("n").alias("n"))
-    return counts.where("size > 0").unionByName(words)
+    words, hot = hot_phrases(given, longest)
+    shared = spark.sparkContext.broadcast(hot)
+    buckets = math.ceil((words + 1) / BUCKET)
+    edges = given.mapInArrow(_graph(longest, buckets, shared), ROWS).select(*_BLOCK)
+    flows = stored(edges.repartition(buckets, "bucket").mapInArrow(_flows(longest, buckets, least, shared), ROWS), "flows")
+    parts = flows.where(F.col("bucket").isNotNull()).select(*_BLOCK)
+    totals = stored(parts.repartition(buckets, "bucket").mapInArrow(_totals(least), ROWS), "totals")
+    counts = flows.where(F.col("bucket").isNull()).unionByName(totals).select("lang", "size", "phrase", "n")
+    summed = counts.where("size = 0").groupBy("lang", "size").agg(F.first("phrase").alias("phrase"), F.sum("n").alias("n"))
+    return counts.where("size > 0").unionByName(summed)
 
 
 def compacted(counts: DataFrame) -> DataFrame:

@@ -86,10 +86,13 @@ def test_equals_plain_counting(spark, seed, longest, least, top):
 
 
 def test_counts_of_many_buckets_and_chunks(spark, monkeypatch):
-    """Small chunks and buckets: every flow crosses tasks."""
-    monkeypatch.setattr(phrases, "BUCKET", 2000)
+    """Small buckets and much that is hot: every flow crosses tasks."""
+    monkeypatch.setattr(phrases, "BUCKET", 500)
+    monkeypatch.setattr(phrases, "HOT", 40)
     rows = random_rows(5)
     frame = spark.createDataFrame(rows, "lang string, text string").repartition(6)
+    _, hot = phrases.hot_phrases(frame.selectExpr("coalesce(lang, 'und') as lang", "cast(coalesce(text, '') as binary) as text"), 4)
+    assert {len(p) for found in hot.values() for p in found} == {2, 3}
     counts, words = plain_counts(rows, 4)
     expected = {(lang, len(p), " ".join(p), n) for (lang, p), n in counts.items() if n >= 4}
     expected |= {(lang, 0, None, n) for lang, n in words.items() if n}
@@ -109,7 +112,7 @@ def test_more_than_a_few_ranks_of_words():
     texts = [" ".join(f"w{i}" for i in range(9000)).encode(), b"w1 w2 w3 w4 w5 w1 w2 w3 w4 w5"]
     edges = next(phrases.edges_and_ends(texts, 5))
     assert edges.counts.sum() == 9000 - 4 + 6
-    assert dict(zip(edges.texts(edges.counts > 1).to_pylist(), edges.counts[edges.counts > 1], strict=True)) == {"w1 w2 w3 w4 w5": 3}
+    assert [row[-2:] for row in edges.of(edges.counts > 1).rows("en")] == [("w1 w2 w3 w4 w5", 3)]
 
 
 def test_empty_table(spark):
