@@ -50,7 +50,7 @@ from lakebook.llm.shared import lookup, small_batches, stored
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bytes of text whose edges a task counts at once, and words to a bucket.
-CHUNK, BUCKET = 16 << 20, 4_000_000
+CHUNK, BUCKET = 12 << 20, 2_000_000
 #: A phrase of more than one in so many words is hot.
 HOT = 1000
 #: Parts of a language that are ranked before the language is.
@@ -138,44 +138,44 @@ class Phrases:
             used, numbers = np.unique(self.places[:, own], return_inverse=True)
             yield (
                 len(self.places), lang, int(bucket[own[0]]), _packed_words(self.words.take(pa.array(used))),
-                _packed(numbers.ravel()), _packed(self.counts[own]), None, None,
+                _packed(numbers.ravel()), _packed(self.counts[own], "<i8"), None, None,
             )
 
 
-def _packed(numbers: np.ndarray) -> bytes:
+def _packed(numbers: np.ndarray, kind: str = "<i4") -> bytes:
     """Whole numbers, byte by byte: all lowest bytes first, so that they compress."""
-    planes = numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T
+    planes = numbers.astype(kind).view(np.uint8).reshape(len(numbers), -1).T
     return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+def _unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _packed_words(words: pa.Array) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress("\n".join(words.to_pylist()).encode())
 
 
-def _unpacked_words(data: bytes) -> list[str]:
-    return zstandard.ZstdDecompressor().decompress(data).decode().split("\n")
+def _unpacked_words(data: bytes) -> pa.Array:
+    joined = pa.array([zstandard.ZstdDecompressor().decompress(data)], pa.binary()).cast(pa.string())
+    return pc.split_pattern(joined, "\n").flatten()
 
 
 def united(blocks: list[tuple[int, bytes, bytes, bytes]]) -> dict[int, Phrases]:
     """By length, the phrases of many blocks, with the same words."""
     held = [_unpacked_words(words) for _, words, _, _ in blocks]
-    encoded = pa.array([w for words in held for w in words], pa.string()).dictionary_encode()
-    number, at = np.asarray(encoded.indices), 0
-    places, counts = defaultdict(list), defaultdict(list)
-    for (size, _, numbers, n), words in zip(blocks, held, strict=True):
-        own = number[at : at + len(words)]
-        at += len(words)
-        places[size].append(own[_unpacked(numbers)].reshape(size, -1))
-        counts[size].append(_unpacked(n))
-    return {
-        size: Phrases.summed(np.concatenate(places.pop(size), axis=1), encoded.dictionary, np.concatenate(counts.pop(size)))
-        for size in list(places)
-    }
+    encoded = pa.concat_arrays(held).dictionary_encode()
+    number = np.asarray(encoded.indices)
+    starts = np.cumsum([0, *map(len, held)]).tolist()
+    found = {}
+    for size in {block[0] for block in blocks}:
+        own = [i for i, block in enumerate(blocks) if block[0] == size]
+        places = [number[starts[i] : starts[i + 1]][_unpacked(blocks[i][2])].reshape(size, -1) for i in own]
+        counts = np.concatenate([_unpacked(blocks[i][3], "<i8") for i in own])
+        found[size] = Phrases.summed(np.concatenate(places, axis=1), encoded.dictionary, counts)
+    return found
 
 
 def pieces_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -281,6 +281,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]
             if size >= CHUNK:
                 yield held
                 held, size = defaultdict(list), 0
+                pa.default_memory_pool().release_unused()
     if held:
         yield held
 
