@@ -6,16 +6,12 @@ are full copies of their source, so the newest batch is the current table.
 
 from __future__ import annotations
 
-import re
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from lakebook.functions.stamps import version_key
 
-NO_RUN = "__HIVE_DEFAULT_PARTITION__"
-_RUN_FOLDER = re.compile(r"/ts_proc=([^/]+)/")
-
 
 def with_version_key(rows: DataFrame, lead: str) -> DataFrame:
     return rows.select(version_key(lead).alias("dedup_key"), "*")
@@ -35,39 +31,38 @@ def newest_version(rows: DataFrame, lead: str) -> DataFrame:
     return rows.agg(F.max(version_key(lead)).alias("max_dedup_key"))
 
 
-def stored_runs(rows: DataFrame) -> list[str] | None:
-    """Run stamps in the folder names that ``rows`` reads, newest first.
-
-    None if some input is not kept in folders by ``ts_proc``. The names come with the
-    listing that the read has made; filters of ``rows`` do not count yet.
-    """
-    found = [_RUN_FOLDER.search(file) for file in rows.inputFiles()]
-    if not found or not all(found):
-        return None
-    return sorted({match[1] for match in found}, reverse=True)
+def reads_files(rows: DataFrame) -> bool:
+    """Whether ``rows`` come straight from files, whose metadata Spark then offers."""
+    try:
+        return "ts_proc" in rows.select("*", "_metadata.file_path").columns
+    except AnalysisException:
+        return False
 
 
-def _newest_stored(keyed: DataFrame, lead: str, runs: list[str]) -> Row | None:
+def _newest_stored(keyed: DataFrame, lead: str) -> Row | None:
     """The newest complete key and its run stamp, read from as few runs as will do."""
     newest = F.max(F.struct("dedup_key", "ts_proc")).alias("newest")
     complete = keyed.where(F.col("dedup_key").isNotNull())
     if lead != "ts_proc":  # any run can hold the newest file
-        return complete.where(F.col("ts_proc").isin(runs)).agg(newest).first()["newest"]
-    for run in runs:  # mostly the first one has it
+        return complete.agg(newest).first()["newest"]
+    run = keyed.agg(F.max("ts_proc")).first()[0]  # of folder names: no column is read
+    while run is not None:  # mostly the first one has it
         found = complete.where(F.col("ts_proc") == run).agg(newest).first()["newest"]
         if found is not None:
             return found
+        run = keyed.where(F.col("ts_proc") < run).agg(F.max("ts_proc")).first()[0]
     return None
 
 
 def latest_batch(rows: DataFrame, lead: str) -> DataFrame:
     """Rows of the newest batch, with ``lead`` as the more significant stamp.
 
-    In a table kept in folders by ``ts_proc`` the newest key is looked up when this is
-    called, over the one narrow column that the folder names lack: in the newest run
-    alone if the run stamp leads, in all runs if the file stamp does. The result then
-    filters on the run's folder, so files of other runs are never opened for it, and
-    nothing is shuffled or joined.
+    In rows read from files the newest key is looked up when this is called: by tasks,
+    over the one narrow column that the folder names lack, in the newest run alone if the
+    run stamp leads, in all runs if the file stamp does. The result then filters on the
+    run's folder, so files of other runs are never opened for it, and nothing is shuffled
+    or joined. Give it the newest run only (``lakebook.plans.newest``) to spare the others
+    even their listing.
 
     Other rows get the newest key as a scalar subquery when they are read.
 
@@ -75,9 +70,8 @@ def latest_batch(rows: DataFrame, lead: str) -> DataFrame:
     a key stands for one pair of stamps. Rows without a complete key are never selected.
     """
     keyed = with_version_key(rows, lead)
-    runs = stored_runs(rows)
-    if runs is not None:
-        newest = _newest_stored(keyed, lead, [run for run in runs if run != NO_RUN])
+    if reads_files(rows):
+        newest = _newest_stored(keyed, lead)
         if newest is None:
             return keyed.where(F.lit(False))
         return keyed.where((F.col("ts_proc") == newest["ts_proc"]) & (F.col("dedup_key") == newest["dedup_key"]))

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 #: Names the folder for tables written along the way; ``spark.checkpoint.dir`` if unset.
 SCRATCH_SETTING = "lakebook.scratch.dir"
+_FOLDERS = (SCRATCH_SETTING, "spark.checkpoint.dir")
 LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 SETTINGS = {
@@ -58,20 +59,20 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def own_session(spark: SparkSession) -> SparkSession:
-    """A session with the library's settings beside ``spark``, which keeps its own.
+def own_session(spark: SparkSession, settings: bool = True) -> SparkSession:
+    """A session beside ``spark``, which keeps its own settings, with the library's.
 
-    It shares the application, its executors and cached tables. The other SQL settings
-    are those that ``spark`` has now.
+    It shares the application, its executors and cached tables. The other SQL settings,
+    and the shared folders, are those that ``spark`` has now; without ``settings``, all are.
     """
     own = spark.newSession()
     for key, value in spark.conf.getAll.items():
-        if key.startswith("spark.sql.") and own.conf.get(key, None) != value:
+        if (key.startswith("spark.sql.") or key in _FOLDERS) and own.conf.get(key, None) != value:
             try:
                 own.conf.set(key, value)
             except PySparkException:
                 continue  # fixed for the whole application, and so the same
-    return apply_settings(own)
+    return apply_settings(own) if settings else own
 
 
 def activate(spark: SparkSession) -> None:

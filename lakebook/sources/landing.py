@@ -46,8 +46,8 @@ def write_landing(snapshot: DataFrame, path: str, rows_per_file: int = ROWS_PER_
     writer.options(**_DIALECT, **_AS_IS).csv(path)
 
 
-def read_landing(spark: SparkSession, path: str, *, multiline: bool = False) -> DataFrame:
-    """One landed file, or a glob of them. The header names the columns, all text."""
+def read_landing(spark: SparkSession, path: str | list[str], *, multiline: bool = False) -> DataFrame:
+    """One landed file, a list, or a glob of them. The header names the columns, all text."""
     return spark.read.options(**reader_options(multiline)).csv(path)
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from lakebook.layout import Lake
+from lakebook.layout import Lake, checked_stamp
 from lakebook.operators.conform import CONFORM
 from lakebook.operators.control import batch_control_row
 from lakebook.schemas import BATCH_CONTROL, PARTITIONS, RAW
@@ -30,31 +34,84 @@ def landed_stream(spark: SparkSession, path: str, *, multiline: bool = False) ->
     return spark.readStream.schema(header).options(**options).csv(path)
 
 
-def update_ledger(spark: SparkSession, lake: Lake, subject: str) -> None:
-    """Bring the ledger in line with the stored increments: one row per run.
+@dataclass(frozen=True)
+class Counted:
+    """Rows that a run has stored, and the newest stamp among them with its latest ``ref``."""
+
+    rows: int = 0
+    ts_file_generation: str | None = None
+    ref: str | None = None
+
+    def __add__(self, other: Counted) -> Counted:
+        def newest(c: Counted) -> tuple:  # as a struct orders it: missing values first
+            return tuple((v is not None, v or "") for v in (c.ts_file_generation, c.ref))
+
+        top = max((c for c in (self, other) if c.rows), key=newest, default=self)
+        return Counted(self.rows + other.rows, top.ts_file_generation, top.ref)
+
+
+def _metrics() -> list[Column]:
+    return [F.count(F.lit(1)).alias("rows"), F.max(F.struct("ts_file_generation", "ref")).alias("newest")]
+
+
+def _counted(found) -> Counted:
+    newest = found["newest"]
+    return Counted(found["rows"], newest["ts_file_generation"], newest["ref"]) if found["rows"] else Counted()
+
+
+def _observed(query: StreamingQuery, name: str, kept: int) -> Counted | None:
+    """What the batches of a finished query have stored; None if it has forgotten some."""
+    progress = query.recentProgress
+    if len(progress) >= kept:
+        return None
+    total = Counted()
+    for batch in progress:
+        found = batch["observedMetrics"].get(name)
+        total = total if found is None else total + _counted(found)
+    return total
+
+
+def _owed(spark: SparkSession, checkpoint: str) -> list[str]:
+    """Stamps of runs that began and whose ledger row is not known to be written."""
+    path, system = hadoop_path(spark, f"{checkpoint}/owed")
+    return sorted(s.getPath().getName() for s in system.listStatus(path)) if system.exists(path) else []
 
-    The rows come from the table itself, so a run that stored its rows and failed before
-    its ledger row gets it from the next one, and a repeated run adds none.
+
+def _note(spark: SparkSession, checkpoint: str, ts_proc: str) -> None:
+    path, system = hadoop_path(spark, f"{checkpoint}/owed/{ts_proc}")
+    system.mkdirs(path)
+
+
+def _settle(spark: SparkSession, checkpoint: str, ts_proc: str) -> None:
+    path, system = hadoop_path(spark, f"{checkpoint}/owed/{ts_proc}")
+    system.delete(path, True)
+
+
+def _stored(spark: SparkSession, lake: Lake, subject: str, ts_proc: str) -> DataFrame:
+    """Rows of one run; a filter on its folder name, so no other run's file is opened."""
+    return read_table(spark, lake.raw_increment(subject), RAW[subject]).where(F.col("ts_proc") == ts_proc)
+
+
+def update_ledger(spark: SparkSession, lake: Lake, subject: str, ts_proc: str, counted: Counted | None) -> None:
+    """Write a run's ledger row.
+
+    ``counted`` is what this attempt stored; rows that earlier attempts of the same run
+    stored are in the ledger already. None: it is not known, and the run's rows are counted
+    where they stand.
     """
-    stored = read_table(spark, lake.raw_increment(subject), RAW[subject])
     path = lake.control(f"{subject}_increment")
-    there, system = hadoop_path(spark, path)
-    known: dict[int, tuple] = {}
-    if system.exists(there):
-        for row in read_table(spark, path, BATCH_CONTROL).collect():
-            known.setdefault(row["ts_proc"], []).append(
-                (row["ref"], row["ts_file_generation"], row["qtd_registros"])
-            )
-    runs = (
-        stored.groupBy("ts_proc")
-        .agg(F.max(F.struct("ts_file_generation", "ref")).alias("newest"), F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    for run in runs:
-        row = (run["newest"]["ref"], run["newest"]["ts_file_generation"], run["n"])
-        if known.get(int(run["ts_proc"])) != [row]:
-            control = batch_control_row(spark, subject, row[0], row[1], run["ts_proc"], row[2])
-            set_ledger(spark, path, BATCH_CONTROL, control, [int(run["ts_proc"])])
+    if counted is None:
+        counted = _counted(_stored(spark, lake, subject, ts_proc).agg(*_metrics()).first())
+    elif not counted.rows:
+        return
+    else:
+        there, system = hadoop_path(spark, path)
+        if system.exists(there):
+            for row in read_table(spark, path, BATCH_CONTROL).where(F.col("ts_proc") == int(ts_proc)).collect():
+                counted = counted + Counted(row["qtd_registros"], row["ts_file_generation"], row["ref"])
+    if counted.rows:
+        row = batch_control_row(spark, subject, counted.ref, counted.ts_file_generation, ts_proc, counted.rows)
+        set_ledger(spark, path, BATCH_CONTROL, row, [int(ts_proc)])
 
 
 def increment(
@@ -70,11 +127,15 @@ def increment(
 
     The checkpoint remembers which files were read, and the sink's log which
     output files belong to finished batches: a run that is killed and repeated
-    neither loses nor doubles a row, and the ledger has one row for every run that
-    stored any. The sink must be the table's only writer,
+    neither loses nor doubles a row. The sink must be the table's only writer,
     which is why increments have their own raw table. Run it when a landing job
     has finished, not beside one.
 
+    The ledger has one row for every run that stored any. Its count is observed in the
+    batches as they are written, so nothing is read back. A note beside the checkpoint
+    stands from before the stream starts until the row is written; a run that finds the
+    note of another, or its own, counts that run's rows where they stand.
+
     Returns the rows of this run.
     """
     rows = CONFORM[subject](
@@ -83,15 +144,25 @@ def increment(
     if subject == "sales":
         # As in the batch job: stateless streams run adaptively too.
         rows = rows.hint("rebalance", "ref")
+    checked_stamp(ts_proc)
+    owed = _owed(spark, checkpoint)
+    _note(spark, checkpoint, ts_proc)
+    name = f"increment-{uuid.uuid4().hex}"
     query = (
-        rows.writeStream.format("parquet")
+        rows.observe(name, *_metrics())
+        .writeStream.format("parquet")
         .partitionBy(*PARTITIONS)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(lake.raw_increment(subject))
     )
     query.awaitTermination()
-
-    update_ledger(spark, lake, subject)
-    done = read_table(spark, lake.raw_increment(subject), RAW[subject])
-    return done.where(F.col("ts_proc") == ts_proc)
+    observed = _observed(query, name, int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")))
+
+    for run in owed:
+        if run != ts_proc:
+            update_ledger(spark, lake, subject, run, None)
+            _settle(spark, checkpoint, run)
+    update_ledger(spark, lake, subject, ts_proc, None if ts_proc in owed else observed)
+    _settle(spark, checkpoint, ts_proc)
+    return _stored(spark, lake, subject, ts_proc)
