@@ -10,17 +10,23 @@ content length, gzipped ones by the member length that this writer notes in the
 header (subfield ``sl``). Other gzipped files are inflated past, not kept.
 
 Writing (``frame.write.format("warc")``): each task rolls files of about
-``file_bytes`` with one gzip member a record. Files get their final names when the task
-ends and count once they stand in the manifest that the driver writes at the commit, so
-a repeated task leaves nothing behind that is read. Folders without a manifest, from
-other writers, are read whole.
+``file_bytes`` with one gzip member a record. Files count once they stand in the manifest
+that the driver writes at the commit, one a commit in ``_warc_manifests``, so a repeated
+task leaves nothing behind that is read, and a second append adds to the first. A commit
+that is repeated writes the same manifest again. Overwriting puts its manifest in place
+first, and then removes the others and their files. An aborted write removes what it
+wrote. Folders without a manifest, from other writers, are read whole.
 
 Paths are opened by pyarrow, so local folders, hdfs and s3 work; a store that only
 Spark's own readers reach does not.
 
 Defined cases. Null payload: written empty. Null uri: no target header. Line ends in a
 header value are percent-encoded. A record cut off at the end of a file raises an error.
-An empty table leaves a manifest without files, which reads as no rows.
+Repeated rows are records of their own. Payloads are written and read whole, of any length
+that fits a row. Ids are written as text; ``archive_roundtrip`` gives them back as whole
+numbers, and ids that are none (text, fractions, null) as null. Only the named columns of
+the input are used, so others cannot clash. An empty table leaves a manifest without files,
+which reads as no rows.
 """
 
 from __future__ import annotations
@@ -61,7 +67,9 @@ from lakebook.session import activate, shared_folder
 
 RESPONSE, REVISIT = "response", "revisit"
 MIN_SHARED_BYTES = 100
-MANIFEST = "_warc_manifest.json"
+#: A manifest a commit, and the longest member that the gzip header can tell.
+MANIFESTS = "_warc_manifests"
+LONGEST_NOTED = 0xFFFFFFFF
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LENGTH_HEADER = "WARC-X-Payload-Length"
 HEADER_COLUMNS = {
@@ -106,11 +114,14 @@ def record_bytes(headers: dict[str, str], block: bytes) -> bytes:
 
 
 def gzip_member(record: bytes, level: int) -> bytes:
-    """One gzip member whose extra field tells its own length and the record's."""
+    """One gzip member whose extra field tells its own length and the record's.
+
+    Lengths that do not fit are 0, which stands for unknown: readers then inflate past it.
+    """
     packer = zlib.compressobj(level, zlib.DEFLATED, -zlib.MAX_WBITS)
     body = packer.compress(record) + packer.flush()
     total = 10 + 2 + 12 + len(body) + 8
-    extra = b"sl" + struct.pack("<HII", 8, total & 0xFFFFFFFF, len(record) & 0xFFFFFFFF)
+    extra = b"sl" + struct.pack("<HII", 8, *(n if n <= LONGEST_NOTED else 0 for n in (total, len(record))))
     head = b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff" + struct.pack("<H", len(extra)) + extra
     return head + body + struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
 
@@ -310,6 +321,17 @@ _PUSHED = (
 )
 
 
+def _manifests(system: pafs.FileSystem, root: str) -> dict[str, list]:
+    """By path, the files of each commit."""
+    folder = pafs.FileSelector(f"{root}/{MANIFESTS}", allow_not_found=True)
+    found = {}
+    for info in system.get_file_info(folder):
+        if info.base_name.endswith(".json"):
+            with system.open_input_stream(info.path) as stream:
+                found[info.path] = json.loads(stream.read())
+    return found
+
+
 @dataclass
 class WarcFiles(InputPartition):
     files: tuple[str, ...]
@@ -332,10 +354,9 @@ class WarcReader(DataSourceReader):
 
     def _files(self) -> list[tuple[str, int]]:
         system, root = filesystem(self.path)
-        manifest = f"{root}/{MANIFEST}"
-        if system.get_file_info(manifest).type == pafs.FileType.File:
-            with system.open_input_stream(manifest) as stream:
-                return [(f"{root}/{name}", size) for name, size in json.loads(stream.read())]
+        committed = _manifests(system, root)
+        if committed:
+            return sorted((f"{root}/{name}", size) for files in committed.values() for name, size in files)
         info = system.get_file_info(root)
         if info.type == pafs.FileType.File:
             return [(root, info.size)]
@@ -414,8 +435,10 @@ class WarcWriter(DataSourceArrowWriter):
     """Columns: record_id, record_type, target_uri, payload_digest, refers_to,
     payload_length, payload. A revisit carries its headers only."""
 
-    def __init__(self, options: dict) -> None:
-        self.path = options["path"]
+    def __init__(self, options: dict, overwrite: bool = False) -> None:
+        self.path, self.overwrite = options["path"], overwrite
+        #: Names this write in its manifest and in the names of its files.
+        self.name = uuid.uuid4().hex
         self.date = options.get("date", "1970-01-01T00:00:00Z")
         self.level = int(options.get("level", 1))
         self.file_bytes = int(options.get("file_bytes", 128 << 20))
@@ -428,7 +451,7 @@ class WarcWriter(DataSourceArrowWriter):
         for batch in iterator:
             for row in batch.to_pylist():
                 if stream is None:
-                    name, size = f"part-{uuid.uuid4().hex}.warc.gz", 0
+                    name, size = f"part-{self.name}-{uuid.uuid4().hex}.warc.gz", 0
                     stream = system.open_output_stream(f"{root}/{name}", compression=None)
                 size += stream.write(gzip_member(self._record(row), self.level)) or 0
                 size = stream.tell()
@@ -460,13 +483,31 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[WarcWritten | None]) -> None:
         system, root = filesystem(self.path)
-        system.create_dir(root, recursive=True)
         files = sorted(f for m in messages if m for f in m.files)
-        with system.open_output_stream(f"{root}/{MANIFEST}", compression=None) as stream:
+        older = _manifests(system, root) if self.overwrite else {}
+        system.create_dir(f"{root}/{MANIFESTS}", recursive=True)
+        own = f"{root}/{MANIFESTS}/{self.name}.json"
+        with system.open_output_stream(f"{own}.new", compression=None) as stream:
             stream.write(json.dumps(files).encode())
+        system.move(f"{own}.new", own)
+        older.pop(own, None)
+        for manifest in older:
+            system.delete_file(manifest)
+        for names in older.values():
+            for name, _ in names:
+                system.delete_file(f"{root}/{name}")
+        self._remove_but({name for name, _ in files})
 
     def abort(self, messages: list[WarcWritten | None]) -> None:
-        """Without a manifest entry, what was written is never read."""
+        """Without a manifest, what was written is never read; it is removed."""
+        self._remove_but(set())
+
+    def _remove_but(self, kept: set[str]) -> None:
+        """Remove files of this write that no task has reported."""
+        system, root = filesystem(self.path)
+        for info in system.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
+            if info.base_name.startswith(f"part-{self.name}-") and info.base_name not in kept:
+                system.delete_file(info.path)
 
 
 class WarcDataSource(DataSource):
@@ -481,7 +522,7 @@ class WarcDataSource(DataSource):
         return WarcReader(dict(self.options), schema)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:
