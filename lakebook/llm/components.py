@@ -15,9 +15,13 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node hangs its larger neighbours under the smallest it knows."""
+    """Each node hangs its larger neighbours under the smallest it knows.
+
+    Minima are stored, so that the join reads two stored tables and Spark can split a node
+    that many links share; a join on an aggregate is never split.
+    """
     both = _both_ways(edges)
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
     return (
         both.join(least, "a").where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
     )
@@ -25,7 +29,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node hangs its smaller neighbours, and itself, under the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
