@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebook.llm.shared import all_columns, lookup, stored
+from lakebook.llm.shared import Scratch, all_columns, lookup, shared_value, stored
 
 HASHES = 3
 #: A filter is merged in so many ranges, each a group; a task sends a row per range.
@@ -124,7 +124,7 @@ def possibly_repeated(hashed: DataFrame, max_bits: int = MAX_BITS):
         yield from marks((_slots(batch["sha"], bits) for batch in batches if len(batch)), bits)
 
     filled = touched_twice(hashed.select("sha").mapInPandas(run, MARKS), bits)
-    shared = hashed.sparkSession.sparkContext.broadcast(filled)
+    shared = shared_value(hashed.sparkSession, filled)
 
     @F.pandas_udf("boolean")
     def maybe(sha: pd.Series) -> pd.Series:
@@ -137,14 +137,15 @@ def duplicate_report(
     frame: DataFrame, id_col: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS
 ) -> DataFrame:
     """One row per document: who stays for it, its group's size, and whether it stays."""
-    hashed = stored(
-        frame.select(F.col(id_col).alias("doc_id"), digest(F.col(text)).alias("sha")).withColumn(
-            "row", F.monotonically_increasing_id()
-        ),
-        "digests",
-    )
-    maybe = possibly_repeated(hashed, max_bits)
-    flagged = stored(hashed.withColumn("maybe", maybe("sha")), "flagged")
+    with Scratch(frame.sparkSession):
+        hashed = stored(
+            frame.select(F.col(id_col).alias("doc_id"), digest(F.col(text)).alias("sha")).withColumn(
+                "row", F.monotonically_increasing_id()
+            ),
+            "digests",
+        )
+        maybe = possibly_repeated(hashed, max_bits)
+        flagged = stored(hashed.withColumn("maybe", maybe("sha")), "flagged", outlive=True)
     alone = flagged.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "sha",

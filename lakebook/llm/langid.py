@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakebook.llm.shared import small_batches
+from lakebook.llm.shared import releasing, small_batches
 
 UNDETERMINED = "und"
 SAMPLE_DOCS = 20_000
@@ -134,7 +134,7 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", sample: i
     chosen = rows.where(F.pmod(F.xxhash64(text), F.lit(1 << 20)) < int(share * (1 << 20))) if share < 1 else rows
     counted = (
         chosen.select(F.col(lang).alias("lang"), F.col(text).cast("binary").alias("text"))
-        .mapInPandas(_count, "lang string, bucket int, n long")
+        .mapInPandas(releasing(_count), "lang string, bucket int, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))
         .collect()
@@ -167,7 +167,7 @@ class Labeller:
         self.model = model
         self.known: dict[str, int] = {}
         self.scores = np.zeros((0, len(model.languages)))
-        self.seen = np.zeros((0, len(model.languages)))
+        self.seen = np.zeros((0, len(model.languages)), dtype=np.float32)
         self.letters = np.zeros(0, dtype=np.int64)
 
     def _learn(self, words: list[str]) -> None:
@@ -191,7 +191,7 @@ class Labeller:
             seen = np.add.reduceat(self.model.seen[flat], starts, axis=0, dtype=np.int64) / sizes[:, None]
         if self.model.written is not None:
             seen = seen * self.model.written[scripts]
-        self.seen = np.concatenate([self.seen, seen])
+        self.seen = np.concatenate([self.seen, seen.astype(np.float32)])
         self.letters = np.concatenate([self.letters, [sum(c.isalpha() for c in w) for w in words]])
 
     def look_up(self, texts: list[str]) -> list[np.ndarray]:
@@ -290,8 +290,7 @@ def detect(
     fields = [RESULT, *([SPANS] if spans else []), *([EVIDENCE] if evidence else [])]
     names = ["lang_pred", "score", *(["spans"] if spans else []), *(["evidence"] if evidence else [])]
 
-    @F.pandas_udf(", ".join(fields))
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def labelled(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         labeller = Labeller(shared.value)
         for batch in batches:
             rows = []
@@ -307,6 +306,10 @@ def detect(
                     rows.append((lang, score, *more, *((told,) if evidence else ())))
             yield pd.DataFrame(rows, columns=names)
 
+    @F.pandas_udf(", ".join(fields))
+    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        yield from releasing(labelled)(batches)
+
     return of(text.cast("binary"))
 
 

@@ -41,12 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakebook.llm.bpe import IdPool, Ids, as_strings, encode_joined, encode_words, load
-from lakebook.llm.shared import numbered, small_batches, stored
+from lakebook.llm.shared import Scratch, numbered, releasing, small_batches, stored
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, BIN = 4096, 1, 16
 #: Bytes of text that are encoded at once: the more, the fewer words are looked up again.
-GROUP = 12 << 20
+GROUP = 8 << 20
 _SPECIAL = "<|"
 _ONLY_MARKS = r"^[!-&(-/:-@\[-`{-~]+$"
 _CORE_AND_MARKS = r"(?s)^(?P<core>.*\p{L})(?P<marks>[!-&(-/:-@\[-`{-~]+)$"
@@ -174,7 +174,7 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
                 columns, names = [*columns, pa.array([bytes(body) for body in bodies], pa.binary())], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return cut
+    return releasing(cut)
 
 
 def id_and_text(frame: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -386,4 +386,5 @@ def pack_documents(
     capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False,
 ) -> DataFrame:
     """Every piece of every document with its place; with ``with_ids`` also its ids."""
-    return pack(stored(cut_pieces(frame, id_col, text, path, capacity, end_id, with_ids), "pieces"), capacity)
+    with Scratch(frame.sparkSession):
+        return pack(stored(cut_pieces(frame, id_col, text, path, capacity, end_id, with_ids), "pieces"), capacity)

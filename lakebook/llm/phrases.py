@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakebook.llm.bpe import as_strings
-from lakebook.llm.shared import lookup, small_batches, stored
+from lakebook.llm.shared import Scratch, lookup, release, releasing, shared_value, small_batches, stored
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 #: Bytes of text whose edges a task counts at once, and words to a bucket.
@@ -281,7 +281,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list[bytes]
             if size >= CHUNK:
                 yield held
                 held, size = defaultdict(list), 0
-                pa.default_memory_pool().release_unused()
+                release()
     if held:
         yield held
 
@@ -297,7 +297,7 @@ def _heavy(longest: int):
                     rows.extend(phrases.rows(lang))
             yield _batch(rows)
 
-    return run
+    return releasing(run)
 
 
 def _graph(longest: int, buckets: int, shared):
@@ -311,7 +311,7 @@ def _graph(longest: int, buckets: int, shared):
                     if rows := list(phrases.blocks(lang, buckets_of(phrases, hashes, buckets, hot))):
                         yield _batch(rows)
 
-    return run
+    return releasing(run)
 
 
 def _by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, dict[int, Phrases]]]:
@@ -344,7 +344,7 @@ def _flows(longest: int, buckets: int, least: int, shared):
                     parts = phrases.of(part)
                     yield _batch(list(parts.blocks(lang, buckets_of(parts, hashes, buckets, None))))
 
-    return run
+    return releasing(run)
 
 
 def _totals(least: int):
@@ -357,7 +357,7 @@ def _totals(least: int):
             if rows:
                 yield _batch(rows)
 
-    return run
+    return releasing(run)
 
 
 # Counts ------------------------------------------------------------------------
@@ -391,7 +391,7 @@ def phrase_counts(
         F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
     )
     words, hot = hot_phrases(given, longest)
-    shared = spark.sparkContext.broadcast(hot)
+    shared = shared_value(spark, hot)
     buckets = math.ceil((words + 1) / BUCKET)
     edges = given.mapInArrow(_graph(longest, buckets, shared), ROWS).select(*_BLOCK)
     flows = stored(edges.repartition(buckets, "bucket").mapInArrow(_flows(longest, buckets, least, shared), ROWS), "flows")
@@ -451,12 +451,14 @@ def collocations(
 
     Parts of a language are ranked before it is, so no task sees all its phrases.
     """
-    counts = phrase_counts(frame, text, lang, longest, least)
-    kept = scored(counts).join(compacted(counts), ["lang", "phrase"], "left_anti")
-    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
-    first = kept.withColumn("salt", salt).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best)))
-    ranked = first.where(F.col("rank") <= top).withColumn(
-        "rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")
-    )
-    return ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    with Scratch(frame.sparkSession):
+        counts = phrase_counts(frame, text, lang, longest, least)
+        kept = scored(counts).join(compacted(counts), ["lang", "phrase"], "left_anti")
+        best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+        salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+        first = kept.withColumn("salt", salt).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*best)))
+        ranked = first.where(F.col("rank") <= top).withColumn(
+            "rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")
+        )
+        chosen = ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        return stored(chosen, "collocations", outlive=True)

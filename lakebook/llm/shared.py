@@ -1,12 +1,19 @@
-"""What several operators need: stored tables, row numbers over all rows, word bytes."""
+"""What several operators need: stored tables and their end, row numbers, memory of tasks."""
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from contextvars import ContextVar
+from functools import wraps
+
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebook.session import shared_folder
+from lakebook.session import hadoop_path, shared_folder
 
 #: The white space that separates words: blank, and tab to carriage return.
 WHITE = r"\x20\x09-\x0D"
@@ -35,17 +42,81 @@ def all_columns(frame: DataFrame) -> list[Column]:
     return [F.col("`" + name.replace("`", "``") + "`") for name in frame.columns]
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
+_open: ContextVar[tuple[Scratch, ...]] = ContextVar("open_scratch", default=())
+
+
+class Scratch:
+    """What an operator stores and broadcasts on its way, for as long as it needs it.
+
+    Tables stored and values shared inside ``with Scratch(spark)`` are removed, on disk and
+    in the executors' memory, when the block ends. A table ``stored(..., outlive=True)``
+    belongs to the block around, if there is one, or else to the application. Nothing that
+    reads the others may be left to be computed after the block.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: list[str] = []
+        self.values: list[Broadcast] = []
+
+    def __enter__(self) -> Scratch:
+        self._before = _open.set((*_open.get(), self))
+        return self
+
+    def __exit__(self, *failed) -> None:
+        _open.reset(self._before)
+        for value in self.values:
+            value.destroy()
+        for path in self.paths:
+            found, system = hadoop_path(self.spark, path)
+            system.delete(found, True)
+
+
+def shared_value(spark: SparkSession, value) -> Broadcast:
+    """A broadcast that ends with the scratch block around, if there is one."""
+    held = spark.sparkContext.broadcast(value)
+    if _open.get():
+        _open.get()[-1].values.append(held)
+    return held
+
+
+def stored(frame: DataFrame, purpose: str, outlive: bool = False) -> DataFrame:
     """The rows, written once to the folder that all executors share and read from there.
 
     This cuts the lineage: a lost executor costs no more than the stages that follow.
     """
     spark = frame.sparkSession
     path = shared_folder(spark, purpose)
+    around = _open.get()[:-1] if outlive else _open.get()
+    if around:
+        around[-1].paths.append(path)
     frame.write.parquet(path)
     return spark.read.schema(_nullable(frame.schema)).parquet(path)
 
 
+def release() -> None:
+    """Give memory that is free but still held back to the system.
+
+    A Python worker serves many tasks; what one of them needed at its peak would else count
+    beside the peaks of all that follow.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim:
+        trim(0)
+
+
+def releasing(run: Callable) -> Callable:
+    """A function over the batches of a task that releases memory when these end."""
+
+    @wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        release()
+
+    return whole
+
+
 def _nullable(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
 
@@ -65,7 +136,8 @@ def numbered(frame: DataFrame, order: list[Column], name: str, partitions: int |
     """All rows numbered from 0 without a gap, in the given order, ties in any order.
 
     Rows are sorted into ranges and stored with their place in their range; what is
-    gathered is one count per range. No task sees more than its range.
+    gathered is one count per range. No task sees more than its range. The stored rows
+    outlive a scratch block, since the result reads them.
     """
     spark = frame.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -74,6 +146,7 @@ def numbered(frame: DataFrame, order: list[Column], name: str, partitions: int |
         .sortWithinPartitions(*order)
         .withColumn("_lb_at", F.monotonically_increasing_id()),
         "numbered",
+        outlive=True,
     )
     in_range = F.shiftright("_lb_at", 33)
     counts = sorted(

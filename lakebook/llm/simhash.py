@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakebook.llm.components import connected_components
-from lakebook.llm.shared import all_columns, lookup, small_batches, stored
+from lakebook.llm.shared import Scratch, all_columns, lookup, releasing, small_batches, stored
 
 SHINGLE, RADIUS, SEED = 3, 3, 42
 SHARD = 1024
@@ -198,25 +198,26 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, shard: int = SHARD) ->
     found = (
         members.repartition(partitions, "key", "t", "u")
         .sortWithinPartitions("key", "t", "u", "asks", "fp")
-        .mapInPandas(_search(radius), "x long, y long")
+        .mapInPandas(releasing(_search(radius)), "x long, y long")
     )
     return found.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def fingerprint_components(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fp, component_id, n_docs) of each distinct fingerprint of ``prints`` (doc_id, fp)."""
-    distinct = stored(
-        prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "fingerprints"
-    )
-    roots = stored(connected_components(near_links(distinct.select("fp"), radius)), "roots")
-    rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "least_id", "n", F.coalesce("root", "fp").alias("root")
-    )
-    total = rooted.groupBy("root").agg(
-        F.min("least_id").alias("component_id"), F.sum("n").alias("n_docs")
-    )
-    found = rooted.join(stored(total, "totals"), "root")
-    return stored(found.select("fp", "root", "component_id", "n_docs"), "components")
+    with Scratch(prints.sparkSession):
+        distinct = stored(
+            prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("n")), "fingerprints"
+        )
+        roots = stored(connected_components(near_links(distinct.select("fp"), radius)), "roots")
+        rooted = distinct.join(roots, F.col("fp") == F.col("node"), "left").select(
+            "fp", "least_id", "n", F.coalesce("root", "fp").alias("root")
+        )
+        total = rooted.groupBy("root").agg(
+            F.min("least_id").alias("component_id"), F.sum("n").alias("n_docs")
+        )
+        found = rooted.join(stored(total, "totals"), "root")
+        return stored(found.select("fp", "root", "component_id", "n_docs"), "components", outlive=True)
 
 
 def near_duplicates(

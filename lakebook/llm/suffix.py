@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakebook.llm.exact import MARKS, all_set, filter_bits, marks, touched_twice
-from lakebook.llm.shared import all_columns, lookup, small_batches, stored
+from lakebook.llm.shared import Scratch, all_columns, lookup, releasing, shared_value, small_batches, stored
 
 THRESHOLD = 200
 MAX_BITS = 1 << 29
@@ -174,7 +174,7 @@ def _marked(threshold: int, bits: int):
         )
         yield from marks((_slots(ranks, bits) for ranks in sampled), bits)
 
-    return run
+    return releasing(run)
 
 
 STRETCHES = "d binary, s int, e int, h long, x long"
@@ -210,7 +210,7 @@ def _kept(threshold: int, bits: int, filled):
                     }
                 )
 
-    return run
+    return releasing(run)
 
 
 WINDOWS = "d binary, p int, a long, b long, alone boolean"
@@ -242,7 +242,7 @@ def _window_marks(threshold: int, bits: int):
         )
         yield from marks((_slots(pairs, bits) for pairs in ranked), bits)
 
-    return run
+    return releasing(run)
 
 
 def _windows(threshold: int, bits: int, filled):
@@ -265,7 +265,7 @@ def _windows(threshold: int, bits: int, filled):
                     }
                 )
 
-    return run
+    return releasing(run)
 
 
 RUNS = "d binary, s int, e int"
@@ -313,7 +313,7 @@ def _twice(rows: DataFrame, column: str, rows_there: int, max_bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from marks((_slots(batch[column].to_numpy().view(np.uint64), bits) for batch in batches), bits)
 
-    shared = rows.sparkSession.sparkContext.broadcast(touched_twice(rows.select(column).mapInPandas(run, MARKS), bits))
+    shared = shared_value(rows.sparkSession, touched_twice(rows.select(column).mapInPandas(run, MARKS), bits))
 
     @F.pandas_udf("boolean")
     def maybe(ranks: pd.Series) -> pd.Series:
@@ -334,43 +334,44 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
     round first drops what a filter knows to be unique, then counts the rest exactly and
     joins only the filter's few false alarms.
     """
-    context = docs.sparkSession.sparkContext
-    total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    bits = filter_bits(total // 4, max_bits)
-    filled = context.broadcast(touched_twice(docs.mapInPandas(_marked(threshold, bits), MARKS), bits))
-    kept = stored(docs.mapInPandas(_kept(threshold, bits, filled), STRETCHES), "stretches")
-    # Stretches that occur twice as a whole, and the single ones.
-    flagged = kept.withColumn("maybe", _twice(kept, "x", kept.count(), max_bits)("x"))
-    single = _alone(flagged.where("maybe"), ["h", "x"]).withColumn("once", F.lit(True))
-    whole = F.col("maybe") & F.col("once").isNull()
-    told = stored(
-        flagged.join(single, ["h", "x"], "left").select("d", "s", "e", "h", "x", whole.alias("whole")), "told"
-    )
-    edge = stored(told.where("not whole").select("d", "s", "e", "h"), "edges")
-    # A single stretch can share windows with others of its sampled rank: with single
-    # ones, and with one of each class that occurs as a whole.
-    ranks = lookup(stored(edge.select("h").distinct(), "ranks"), NARROW_ROWS)
-    others = (
-        told.where("whole").join(ranks, "h", "left_semi").groupBy("h", "x").agg(F.min(F.struct("d", "s", "e")).alias("one"))
-    )
-    wanted = stored(
-        edge.select("d", F.struct("s", "e", F.lit(True).alias("alone")).alias("r"))
-        .unionByName(others.select("one.d", F.struct("one.s", "one.e", F.lit(False).alias("alone")).alias("r")))
-        .groupBy("d")
-        .agg(F.collect_list("r").alias("wanted")),
-        "wanted",
-    )
-    edges = docs.join(lookup(wanted), "d")
-    inside = F.aggregate("wanted", F.lit(0).cast("long"), lambda n, r: n + r["e"] - r["s"] + 1)
-    last_bits = filter_bits(8 * (wanted.agg(F.sum(inside)).first()[0] or 0), max_bits)
-    last = context.broadcast(touched_twice(edges.mapInPandas(_window_marks(threshold, last_bits), MARKS), last_bits))
-    windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
-    again = windows.where("alone").join(_alone(windows, ["a", "b"]), ["a", "b"], "left_anti")
-    runs = again.select("d", F.col("p").alias("s"), (F.col("p") + threshold).alias("e")).mapInPandas(_runs, RUNS).unionByName(
-        told.where("whole").select("d", "s", (F.col("e") + threshold).alias("e")).mapInPandas(_runs, RUNS)
-    )
-    spans = runs.groupBy("d").agg(F.collect_list(F.struct("s", "e")).alias("r"))
-    return stored(spans.select("d", _joined(F.col("r.s"), F.col("r.e")).alias("spans")), "spans")
+    with Scratch(docs.sparkSession) as scratch:
+        spark = scratch.spark
+        total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+        bits = filter_bits(total // 4, max_bits)
+        filled = shared_value(spark, touched_twice(docs.mapInPandas(_marked(threshold, bits), MARKS), bits))
+        kept = stored(docs.mapInPandas(_kept(threshold, bits, filled), STRETCHES), "stretches")
+        # Stretches that occur twice as a whole, and the single ones.
+        flagged = kept.withColumn("maybe", _twice(kept, "x", kept.count(), max_bits)("x"))
+        single = _alone(flagged.where("maybe"), ["h", "x"]).withColumn("once", F.lit(True))
+        whole = F.col("maybe") & F.col("once").isNull()
+        told = stored(
+            flagged.join(single, ["h", "x"], "left").select("d", "s", "e", "h", "x", whole.alias("whole")), "told"
+        )
+        edge = stored(told.where("not whole").select("d", "s", "e", "h"), "edges")
+        # A single stretch can share windows with others of its sampled rank: with single
+        # ones, and with one of each class that occurs as a whole.
+        ranks = lookup(stored(edge.select("h").distinct(), "ranks"), NARROW_ROWS)
+        others = (
+            told.where("whole").join(ranks, "h", "left_semi").groupBy("h", "x").agg(F.min(F.struct("d", "s", "e")).alias("one"))
+        )
+        wanted = stored(
+            edge.select("d", F.struct("s", "e", F.lit(True).alias("alone")).alias("r"))
+            .unionByName(others.select("one.d", F.struct("one.s", "one.e", F.lit(False).alias("alone")).alias("r")))
+            .groupBy("d")
+            .agg(F.collect_list("r").alias("wanted")),
+            "wanted",
+        )
+        edges = docs.join(lookup(wanted), "d")
+        inside = F.aggregate("wanted", F.lit(0).cast("long"), lambda n, r: n + r["e"] - r["s"] + 1)
+        last_bits = filter_bits(8 * (wanted.agg(F.sum(inside)).first()[0] or 0), max_bits)
+        last = shared_value(spark, touched_twice(edges.mapInPandas(_window_marks(threshold, last_bits), MARKS), last_bits))
+        windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
+        again = windows.where("alone").join(_alone(windows, ["a", "b"]), ["a", "b"], "left_anti")
+        runs = again.select("d", F.col("p").alias("s"), (F.col("p") + threshold).alias("e")).mapInPandas(_runs, RUNS).unionByName(
+            told.where("whole").select("d", "s", (F.col("e") + threshold).alias("e")).mapInPandas(_runs, RUNS)
+        )
+        spans = runs.groupBy("d").agg(F.collect_list(F.struct("s", "e")).alias("r"))
+        return stored(spans.select("d", _joined(F.col("r.s"), F.col("r.e")).alias("spans")), "spans", outlive=True)
 
 
 # Operator ----------------------------------------------------------------------

@@ -33,6 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from lakebook.llm.packing import END_ID, WORD_BPE, id_and_text, token_groups
+from lakebook.llm.shared import releasing
 
 CAPACITY = 2048
 #: Windows that a task keeps open, of at most ``capacity`` ids each.
@@ -220,7 +221,7 @@ def _placed(path: str, capacity: int, end_id: int, with_ids: bool, max_open: int
         if held:
             yield batch_of(held)
 
-    return run
+    return releasing(run)
 
 
 def pack_windows(
