@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakebook.llm.exact import drop_duplicates
 from lakebook.llm.langid import keep_identified
 from lakebook.llm.packing import pack_documents
-from lakebook.llm.shared import held_out, stored, table
+from lakebook.llm.shared import Scratch, held_out, stored, table
 from lakebook.llm.simhash import drop_near_duplicates
 from lakebook.llm.suffix import without_repeats
 
@@ -63,7 +63,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages, each on the stored table of the one before. What a stage stores on its
+    way goes when its table is written, and the tables go when the last one is."""
+    with Scratch(spark):
+        docs = table(spark, sf_dir, "documents")
+        for name, stage in STAGES:
+            with Scratch(spark):
+                docs = stored(stage(spark, docs, sf_dir), name, outlive=True)
+        return stored(docs, "sequences", outlive=True)
