@@ -46,7 +46,9 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TABLE_WORDS = 200_000
 WORD_BYTES = 64
 #: Words whose ids a task remembers beside the table.
-REMEMBER = 300_000
+REMEMBER = 150_000
+#: Words whose ids are put together at once.
+GATHERED = 1 << 16
 #: Bytes of text that are split and encoded at once.
 AT_ONCE = 4 << 20
 
@@ -82,32 +84,42 @@ def load(path: str) -> Tokenizer:
 Ids = tuple[np.ndarray, np.ndarray]  # all ids in a row, and how many each word has
 
 
+#: Words that go to the tokenizer in a call, and words joined to a text there: its results
+#: take some hundred bytes a token until their ids are read.
+CALL_WORDS, JOINED_WORDS = 1 << 14, 512
+
+
 def encode_words(tokenizer: Tokenizer, words: list[str]) -> Ids:
-    found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-    sizes = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-    return np.fromiter(chain.from_iterable(found), dtype="<u4", count=int(sizes.sum())), sizes
+    ids, sizes = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype=np.int64)]
+    for at in range(0, len(words), CALL_WORDS):
+        found = [e.ids for e in tokenizer.encode_batch_fast(words[at : at + CALL_WORDS], add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
+        ids.append(np.fromiter(chain.from_iterable(found), dtype="<u4", count=int(sizes[-1].sum())))
+    return np.concatenate(ids), np.concatenate(sizes)
 
 
 def encode_joined(tokenizer: Tokenizer, words: list[str], joiner: str, edge: np.ndarray, at_end: bool) -> Ids:
-    """The same for words that stay pieces apart when joined, some hundred a call.
+    """The same for words that stay pieces apart when joined, some hundred a text.
 
     ``edge`` tells of each id whether it starts (or, ``at_end``, ends) a word. Where the
     edges found are not as many as the words, these are encoded one by one.
     """
-    groups = [words[at : at + 512] for at in range(0, len(words), 512)]
-    encoded = tokenizer.encode_batch_fast([joiner.join(g) for g in groups], add_special_tokens=False)
     ids, sizes = [np.zeros(0, dtype="<u4")], [np.zeros(0, dtype=np.int64)]
-    for group, found in zip(groups, encoded, strict=True):
-        own = np.array(found.ids, dtype="<u4")
-        at = np.flatnonzero(edge[own])
-        if len(at) != len(group):
-            own, size = encode_words(tokenizer, group)
-        elif at_end:
-            size = np.diff(at, prepend=-1)
-        else:
-            size = np.diff(at, append=len(own))
-        ids.append(own)
-        sizes.append(size)
+    for first in range(0, len(words), CALL_WORDS):
+        called = words[first : first + CALL_WORDS]
+        groups = [called[at : at + JOINED_WORDS] for at in range(0, len(called), JOINED_WORDS)]
+        encoded = tokenizer.encode_batch_fast([joiner.join(g) for g in groups], add_special_tokens=False)
+        for group, found in zip(groups, encoded, strict=True):
+            own = np.array(found.ids, dtype="<u4")
+            at = np.flatnonzero(edge[own])
+            if len(at) != len(group):
+                own, size = encode_words(tokenizer, group)
+            elif at_end:
+                size = np.diff(at, prepend=-1)
+            else:
+                size = np.diff(at, append=len(own))
+            ids.append(own)
+            sizes.append(size)
     return np.concatenate(ids), np.concatenate(sizes)
 
 
@@ -208,8 +220,13 @@ class IdPool:
         """The ids of words in a row, and where each word's ids end."""
         size = self.size[numbers]
         ends = size.cumsum()
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.repeat(self.start[numbers] - (ends - size), size) + np.arange(total)], ends
+        out = np.empty(int(ends[-1]) if len(ends) else 0, dtype="<u4")
+        for at in range(0, len(numbers), GATHERED):
+            own, end = size[at : at + GATHERED], ends[at : at + GATHERED]
+            first, last = int(end[0] - own[0]), int(end[-1])
+            shift = np.repeat(self.start[numbers[at : at + GATHERED]] - (end - own), own)
+            out[first:last] = self.ids[shift + np.arange(first, last)]
+        return out, ends
 
 
 def split_at_blanks(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:

@@ -39,6 +39,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from lakebook.llm.bpe import IdPool, Ids, as_strings, encode_joined, encode_words, load
 from lakebook.llm.shared import Scratch, numbered, releasing, small_batches, stored
@@ -46,7 +47,7 @@ from lakebook.llm.shared import Scratch, numbered, releasing, small_batches, sto
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, BIN = 4096, 1, 16
 #: Bytes of text that are encoded at once: the more, the fewer words are looked up again.
-GROUP = 8 << 20
+GROUP = 6 << 20
 _SPECIAL = "<|"
 _ONLY_MARKS = r"^[!-&(-/:-@\[-`{-~]+$"
 _CORE_AND_MARKS = r"(?s)^(?P<core>.*\p{L})(?P<marks>[!-&(-/:-@\[-`{-~]+)$"
@@ -66,6 +67,16 @@ def _ends(path: str) -> np.ndarray:
     return ends
 
 
+@lru_cache(maxsize=4)
+def _bare(path: str) -> Tokenizer:
+    """The tokenizer without its normalizer, which leaves letters a to z as they are, and
+    with words cut at blanks only."""
+    tokenizer = Tokenizer.from_str(load(path).to_str())
+    tokenizer.normalizer = normalizers.Sequence([])
+    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    return tokenizer
+
+
 def _single(parts: pa.Array) -> pa.Array:
     """Whether a part is letters only or marks only, and so a single piece. (A letter whose
     lower case is more than letters shows in the count of pieces.)"""
@@ -82,13 +93,18 @@ def encode_lower(path: str, words: list[str]) -> Ids:
     cores = pc.if_else(found.is_valid(), found.field("core"), own)
     parts = pa.concat_arrays([cores, marks]).dictionary_encode()
     single = _single(parts.dictionary)
-    joined = parts.dictionary.filter(single).to_pylist()
-    other = parts.dictionary.filter(pc.invert(single)).to_pylist()
-    pool = IdPool()
-    pool.add(joined, *encode_joined(load(path), joined, " ", _ends(path), True))
-    pool.add(other, *encode_words(load(path), other))
-    flags = np.asarray(single)
-    place = np.where(flags, flags.cumsum() - 1, len(joined) + (~flags).cumsum() - 1)
+    letters = pc.and_(pc.utf8_is_alpha(parts.dictionary), pc.string_is_ascii(parts.dictionary))
+    ends = _ends(path)
+    kinds = [
+        (letters, lambda own: encode_joined(_bare(path), own, " ", ends, True)),
+        (pc.and_not(single, letters), lambda own: encode_joined(load(path), own, " ", ends, True)),
+        (pc.invert(single), lambda own: encode_words(load(path), own)),
+    ]
+    pool, place = IdPool(), np.empty(len(parts.dictionary), dtype=np.int64)
+    for chosen, encode in kinds:
+        own = parts.dictionary.filter(chosen).to_pylist()
+        place[np.asarray(chosen)] = len(pool.size) + np.arange(len(own))
+        pool.add(own, *encode(own))
     numbers = place[np.asarray(parts.indices)].reshape(2, len(words))
     sizes = pool.size[numbers]
     return pool.gather(numbers.T.ravel())[0], sizes.sum(axis=0)
@@ -99,9 +115,9 @@ def _plain_ids(pool: IdPool, texts: pa.Array, path: str) -> Ids:
     lists = pc.ascii_split_whitespace(texts)
     begins = np.asarray(lists.offsets)
     encoded = pc.ascii_lower(lists.flatten()).dictionary_encode()
-    ids, ends = pool.gather(
-        pool.numbers(encoded.dictionary.to_pylist(), lambda new: encode_lower(path, new))[np.asarray(encoded.indices)]
-    )
+    del lists
+    numbers = pool.numbers(encoded.dictionary.to_pylist(), lambda new: encode_lower(path, new))
+    ids, ends = pool.gather(numbers.astype(np.int32)[np.asarray(encoded.indices)])
     return ids, np.concatenate(([0], ends))[begins[1:]]
 
 

@@ -94,23 +94,42 @@ def stored(frame: DataFrame, purpose: str, outlive: bool = False) -> DataFrame:
     return spark.read.schema(_nullable(frame.schema)).parquet(path)
 
 
-def release() -> None:
-    """Give memory that is free but still held back to the system.
+#: glibc's number of the setting, and the bytes from which memory is mapped on its own.
+_MMAP_THRESHOLD, _MAPPED = -3, 1 << 20
 
-    A Python worker serves many tasks; what one of them needed at its peak would else count
-    beside the peaks of all that follow.
+
+def _libc(name: str):
+    return getattr(ctypes.CDLL(None), name, None)  # not in every C library
+
+
+def frugal() -> None:
+    """Let large buffers go back to the system as soon as they are free.
+
+    Both Arrow's own pool and the C library would else keep them for later use, and with
+    them the highest peak that a worker ever had.
     """
+    pa.set_memory_pool(pa.system_memory_pool())
+    if set_option := _libc("mallopt"):
+        set_option(_MMAP_THRESHOLD, _MAPPED)
+
+
+def release() -> None:
+    """Give memory that is free but still held back to the system."""
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
-    if trim:
+    if trim := _libc("malloc_trim"):
         trim(0)
 
 
 def releasing(run: Callable) -> Callable:
-    """A function over the batches of a task that releases memory when these end."""
+    """A function over the batches of a task that keeps no memory beyond its needs.
+
+    A Python worker serves many tasks; what one of them needed at its peak would else count
+    beside the peaks of all that follow.
+    """
 
     @wraps(run)
     def whole(batches: Iterator) -> Iterator:
+        frugal()
         yield from run(batches)
         release()
 
