@@ -8,7 +8,9 @@ repeated, so its row passes straight through. The others, all true repeats and a
 false alarms, shuffle by digest, are summed per task first, and are decided exactly.
 
 The filter that is broadcast has 16 bits a row, rounded up to a power of two, and at
-most ``max_bits``. Beyond that it fills up: more rows shuffle, results stay exact.
+most ``max_bits``. More rows than that are dealt by a range of their hash into folders,
+and each range has its two passes and a filter of its own, one after the other: the share
+of rows that shuffle for nothing is the same at every size, and so is the broadcast.
 
 Equal means identical text (equal SHA-256); null counts as empty. Of equal texts the
 row with the largest id stays; null ids come last, and of rows that share that id
@@ -18,6 +20,7 @@ exactly one stays. Empty texts are equal to each other. An empty table gives no
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -112,6 +115,19 @@ def filter_bits(wanted: int, max_bits: int = MAX_BITS) -> int:
     return bits
 
 
+def range_count(rows: int, max_bits: int) -> int:
+    """Into how many ranges rows are dealt so that a filter of ``max_bits`` has 16 bits a row."""
+    count = 1
+    while 16 * rows > count * max_bits:
+        count *= 2
+    return min(count, 1 << 16)
+
+
+def digest_range(sha: str, count: int) -> Column:
+    """The range of a digest, by its last two bytes, which no slot is cut from."""
+    return (F.conv(F.hex(F.substring(sha, 31, 2)), 16, 10).cast("int") % count).cast("int")
+
+
 def possibly_repeated(hashed: DataFrame, max_bits: int = MAX_BITS):
     """A function of a digest column, false only where ``hashed.sha`` has it once.
 
@@ -138,14 +154,31 @@ def duplicate_report(
 ) -> DataFrame:
     """One row per document: who stays for it, its group's size, and whether it stays."""
     with Scratch(frame.sparkSession):
-        hashed = stored(
-            frame.select(F.col(id_col).alias("doc_id"), digest(F.col(text)).alias("sha")).withColumn(
-                "row", F.monotonically_increasing_id()
-            ),
-            "digests",
+        hashed = frame.select(F.col(id_col).alias("doc_id"), digest(F.col(text)).alias("sha")).withColumn(
+            "row", F.monotonically_increasing_id()
         )
-        maybe = possibly_repeated(hashed, max_bits)
-        flagged = stored(hashed.withColumn("maybe", maybe("sha")), "flagged", outlive=True)
+        ranges = range_count(frame.count(), max_bits)
+        if ranges > 1:
+            hashed = hashed.withColumn("part", digest_range("sha", ranges))
+        hashed = stored(hashed, "digests", by="part" if ranges > 1 else None)
+        parts = []
+        for own in _ranges(hashed, "part", ranges):
+            with Scratch(frame.sparkSession):
+                maybe = possibly_repeated(own, max_bits)("sha")
+                parts.append(stored(own.withColumn("maybe", maybe), "flagged", outlive=True))
+        flagged = parts[0] if ranges == 1 else stored(reduce(DataFrame.unionByName, parts), "flagged")
+        return _decided(flagged)
+
+
+def _ranges(rows: DataFrame, column: str, count: int) -> Iterator[DataFrame]:
+    if count == 1:
+        yield rows
+    else:
+        yield from (rows.where(F.col(column) == i).drop(column) for i in range(count))
+
+
+def _decided(flagged: DataFrame) -> DataFrame:
+    """The report, stored: rows that the filter cleared as they are, groups of the others."""
     alone = flagged.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "sha",
@@ -161,7 +194,8 @@ def duplicate_report(
         "doc_id", F.col("top.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("top.row")).alias("kept"), "sha",
     )
-    return alone.unionByName(decided).withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
+    report = alone.unionByName(decided).withColumn("text_sha256", F.lower(F.hex("sha"))).drop("sha")
+    return stored(report, "duplicates", outlive=True)
 
 
 def drop_duplicates(
@@ -174,6 +208,21 @@ def drop_duplicates(
     """
     columns = all_columns(frame)
     hashed = frame.withColumn("_lb_sha", digest(F.col(text)))
+    ranges = range_count(frame.count(), max_bits)
+    if ranges == 1:
+        return _one_of_each(hashed, columns, frame, id_col, max_bits)
+    spark, kept = frame.sparkSession, []
+    with Scratch(spark):
+        dealt = stored(hashed.withColumn("_lb_part", digest_range("_lb_sha", ranges)), "ranges", by="_lb_part")
+        for own in _ranges(dealt, "_lb_part", ranges):
+            with Scratch(spark):
+                kept.append(stored(_one_of_each(own, columns, frame, id_col, max_bits), "kept", outlive=True))
+        return stored(reduce(DataFrame.unionByName, kept), "kept", outlive=True)
+
+
+def _one_of_each(
+    hashed: DataFrame, columns: list[Column], frame: DataFrame, id_col: str, max_bits: int
+) -> DataFrame:
     maybe = possibly_repeated(stored(hashed.select(F.col("_lb_sha").alias("sha")), "digests"), max_bits)
     flagged = hashed.withColumn("_lb_maybe", maybe("_lb_sha"))
     alone = flagged.where(~F.col("_lb_maybe")).select(*columns)

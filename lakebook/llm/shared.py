@@ -80,17 +80,18 @@ def shared_value(spark: SparkSession, value) -> Broadcast:
     return held
 
 
-def stored(frame: DataFrame, purpose: str, outlive: bool = False) -> DataFrame:
+def stored(frame: DataFrame, purpose: str, outlive: bool = False, by: str | None = None) -> DataFrame:
     """The rows, written once to the folder that all executors share and read from there.
 
-    This cuts the lineage: a lost executor costs no more than the stages that follow.
+    This cuts the lineage: a lost executor costs no more than the stages that follow. With
+    ``by`` they lie in a folder for each value of a column, and filters on it open no other.
     """
     spark = frame.sparkSession
     path = shared_folder(spark, purpose)
     around = _open.get()[:-1] if outlive else _open.get()
     if around:
         around[-1].paths.append(path)
-    frame.write.parquet(path)
+    frame.write.parquet(path, partitionBy=by)
     return spark.read.schema(_nullable(frame.schema)).parquet(path)
 
 

@@ -1,0 +1,58 @@
+"""Bloom filters by hash range: the same share of false alarms at every size."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakebook.llm import exact
+
+BITS = 1 << 12
+
+
+@pytest.fixture
+def small(monkeypatch):
+    monkeypatch.setattr(exact, "MIN_BITS", 1 << 10)
+
+
+def rows(spark, n):
+    """Every tenth text stands twice."""
+    text = F.concat(F.lit("text "), F.floor(F.col("id") - F.when(F.col("id") % 10 == 0, 1).otherwise(0)).cast("string"))
+    return spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("x").alias("part"), F.lit(1).alias("_lb_x"))
+
+
+def false_alarms(spark, n):
+    hashed = rows(spark, n).select(exact.digest(F.col("text")).alias("sha"))
+    count = exact.range_count(n, BITS)
+    part = exact.digest_range("sha", count)
+    wrong = 0
+    for i in range(count):
+        own = exact.stored(hashed.where(part == i), "range")
+        maybe = own.where(exact.possibly_repeated(own, BITS)("sha"))
+        wrong += maybe.groupBy("sha").count().where("count = 1").count()
+    return count, wrong / n
+
+
+def test_the_share_of_false_alarms_does_not_grow(spark, small):
+    few, share = false_alarms(spark, 250)
+    many, share_of_many = false_alarms(spark, 16 * 250)
+    assert (few, many) == (1, 16)
+    assert share_of_many <= max(2 * share, 0.02)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2000])
+def test_results_of_many_ranges(spark, small, n):
+    frame = rows(spark, n)
+    texts = {r.doc_id: r.text for r in frame.collect()}
+    last, size = {}, Counter(texts.values())
+    for i, text in texts.items():
+        last[text] = max(i, last.get(text, i))
+    got = exact.duplicate_report(frame, max_bits=BITS).collect()
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in got} == {
+        (i, last[t], size[t], last[t] == i) for i, t in texts.items()
+    }
+    kept = exact.drop_duplicates(frame, max_bits=BITS)
+    assert kept.columns == frame.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(last.values())
