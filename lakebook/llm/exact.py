@@ -35,6 +35,7 @@ HASHES = 3
 RANGES = 64
 #: Slots that a task holds before it sends them on.
 MARK_AT_ONCE = 1 << 18
+#: A range of marks needs at least eight slots, a byte of the bitmap.
 MIN_BITS, MAX_BITS = 1 << 18, 1 << 28
 
 

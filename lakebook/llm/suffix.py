@@ -34,7 +34,7 @@ no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakebook.llm.exact import MARKS, all_set, filter_bits, marks, touched_twice
+from lakebook.llm.exact import MARKS, all_set, filter_bits, marks, range_count, touched_twice
 from lakebook.llm.shared import Scratch, all_columns, lookup, releasing, shared_value, small_batches, stored
 
 THRESHOLD = 200
@@ -182,14 +182,15 @@ STRETCHES = "d binary, s int, e int, h long, x long"
 
 def _kept(threshold: int, bits: int, filled):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Stretches whose sampled rank may be repeated."""
+        """Stretches whose sampled rank may be repeated; without a filter, all."""
         chunks = Chunks(threshold)
         for batch in batches:
             ids = batch["d"].tolist()
             for data, parts in chunks.of([t or b"" for t in batch["text"]]):
                 part, start, end, place, rank = chunks.stretches(data, parts)
-                stay = all_set(filled.value, _slots(rank, bits))
-                part, start, end, place, rank = (v[stay] for v in (part, start, end, place, rank))
+                if filled is not None:
+                    stay = all_set(filled.value, _slots(rank, bits))
+                    part, start, end, place, rank = (v[stay] for v in (part, start, end, place, rank))
                 shift = np.array([inside - at for _, at, inside, _ in parts], dtype=np.int64)
                 whole = np.fromiter(
                     (
@@ -247,11 +248,11 @@ def _window_marks(threshold: int, bits: int):
 
 def _windows(threshold: int, bits: int, filled):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The windows that the filter leaves."""
+        """The windows that the filter leaves; without a filter, all."""
         for batch in batches:
             ids, texts, held = batch["d"].tolist(), [t or b"" for t in batch["text"]], []
             for number, places, a, b, alone in _window_ranks(texts, batch["wanted"].tolist(), threshold):
-                stay = all_set(filled.value, _slots(_pair(a, b), bits))
+                stay = np.ones(len(a), dtype=bool) if filled is None else all_set(filled.value, _slots(_pair(a, b), bits))
                 held.append((np.full(int(stay.sum()), number), places[stay], a[stay], b[stay], alone[stay]))
             if held:
                 number, places, a, b, alone = (np.concatenate(column) for column in zip(*held, strict=True))
@@ -322,6 +323,26 @@ def _twice(rows: DataFrame, column: str, rows_there: int, max_bits: int):
     return maybe
 
 
+def _flagged(rows: DataFrame, column: str, max_bits: int) -> DataFrame:
+    """``rows``, a stored table, with ``maybe``: false only where they have the rank once.
+
+    Ranks beyond a filter's bits are dealt by their highest bits into ranges, each with a
+    filter of its own, one after the other.
+    """
+    n = rows.count()
+    ranges = range_count(n // 2, max_bits)  # 8 bits a rank
+    if ranges == 1:
+        return rows.withColumn("maybe", _twice(rows, column, n, max_bits)(column))
+    part = (F.shiftrightunsigned(column, 48) % ranges).cast("int")
+    dealt, found = stored(rows.withColumn("part", part), "ranges", by="part"), []
+    for i in range(ranges):
+        with Scratch(rows.sparkSession):
+            own = dealt.where(F.col("part") == i).drop("part")
+            maybe = _twice(own, column, own.count(), max_bits)(column)
+            found.append(stored(own.withColumn("maybe", maybe), "flagged", outlive=True))
+    return reduce(DataFrame.unionByName, found)
+
+
 def _alone(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that a filter took for repeated although ``rows`` has them once; few, and stored."""
     return lookup(stored(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n = 1").select(*keys), "alone"), NARROW_ROWS)
@@ -337,11 +358,15 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
     with Scratch(docs.sparkSession) as scratch:
         spark = scratch.spark
         total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-        bits = filter_bits(total // 4, max_bits)
-        filled = shared_value(spark, touched_twice(docs.mapInPandas(_marked(threshold, bits), MARKS), bits))
-        kept = stored(docs.mapInPandas(_kept(threshold, bits, filled), STRETCHES), "stretches")
+        if total // 4 <= max_bits:
+            bits = filter_bits(total // 4, max_bits)
+            filled = shared_value(spark, touched_twice(docs.mapInPandas(_marked(threshold, bits), MARKS), bits))
+            kept = stored(docs.mapInPandas(_kept(threshold, bits, filled), STRETCHES), "stretches")
+        else:  # a filter would fill up: ranked once and stored, then asked range by range
+            every = stored(docs.mapInPandas(_kept(threshold, 0, None), STRETCHES), "every")
+            kept = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe"), "stretches")
         # Stretches that occur twice as a whole, and the single ones.
-        flagged = kept.withColumn("maybe", _twice(kept, "x", kept.count(), max_bits)("x"))
+        flagged = _flagged(kept, "x", max_bits)
         single = _alone(flagged.where("maybe"), ["h", "x"]).withColumn("once", F.lit(True))
         whole = F.col("maybe") & F.col("once").isNull()
         told = stored(
@@ -363,14 +388,19 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
         )
         edges = docs.join(lookup(wanted), "d")
         inside = F.aggregate("wanted", F.lit(0).cast("long"), lambda n, r: n + r["e"] - r["s"] + 1)
-        last_bits = filter_bits(8 * (wanted.agg(F.sum(inside)).first()[0] or 0), max_bits)
-        last = shared_value(spark, touched_twice(edges.mapInPandas(_window_marks(threshold, last_bits), MARKS), last_bits))
-        windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
+        n_windows = wanted.agg(F.sum(inside)).first()[0] or 0
+        if 8 * n_windows <= max_bits:
+            last_bits = filter_bits(8 * n_windows, max_bits)
+            last = shared_value(spark, touched_twice(edges.mapInPandas(_window_marks(threshold, last_bits), MARKS), last_bits))
+            windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
+        else:
+            every = stored(edges.mapInPandas(_windows(threshold, 0, None), WINDOWS).withColumn("h", F.xxhash64("a", "b")), "every")
+            windows = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe", "h"), "windows")
         again = windows.where("alone").join(_alone(windows, ["a", "b"]), ["a", "b"], "left_anti")
         runs = again.select("d", F.col("p").alias("s"), (F.col("p") + threshold).alias("e")).mapInPandas(_runs, RUNS).unionByName(
             told.where("whole").select("d", "s", (F.col("e") + threshold).alias("e")).mapInPandas(_runs, RUNS)
         )
-        spans = runs.groupBy("d").agg(F.collect_list(F.struct("s", "e")).alias("r"))
+        spans = runs.distinct().groupBy("d").agg(F.collect_list(F.struct("s", "e")).alias("r"))
         return stored(spans.select("d", _joined(F.col("r.s"), F.col("r.e")).alias("spans")), "spans", outlive=True)
 
 
@@ -378,7 +408,9 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
 
 
 def _row_name(id_col: str, text: Column) -> Column:
-    named = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).cast("binary"), F.lit(":").cast("binary"), text)
+    own = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    # The id's length first: no colon in a text id can make two rows share a name.
+    named = F.concat(F.concat(F.length(own).cast("string"), F.lit(":"), own).cast("binary"), text)
     return F.unhex(F.md5(named))
 
 

@@ -7,7 +7,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lakebook.llm import exact
+from lakebook.llm import exact, suffix
+from tests.llm.test_corpus_operators import brute_spans, passages
 
 BITS = 1 << 12
 
@@ -56,3 +57,22 @@ def test_results_of_many_ranges(spark, small, n):
     kept = exact.drop_duplicates(frame, max_bits=BITS)
     assert kept.columns == frame.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(last.values())
+
+
+@pytest.mark.parametrize("max_bits", [1 << 29, 1 << 12, 1 << 9])
+def test_repeats_are_the_same_whatever_a_filter_holds(spark, monkeypatch, max_bits):
+    """Brute force once; with small filters every step goes range by range."""
+    monkeypatch.setattr(exact, "MIN_BITS", 1 << 9)  # eight slots for each range of marks
+    threshold, texts = 25, passages(7, 25)
+    docs = spark.createDataFrame([(bytes([i]), (t or "").encode()) for i, t in enumerate(texts)], "d binary, text binary")
+    got = {bytes(r.d): [tuple(s) for s in r.spans] for r in suffix.repeated_spans(docs, threshold, max_bits).collect()}
+    expected = {bytes([i]): spans for i, (_, spans, _) in enumerate(brute_spans(texts, threshold)) if spans}
+    assert got == expected
+
+
+def test_rows_repeated_many_times_and_ids_with_colons(spark):
+    long = "x y z " * 60
+    rows = [("1", ":" + long), ("1:", long), (None, long), ("", long)] + [("5", long)] * 3000
+    frame = spark.createDataFrame(rows, "doc_id string, text string")
+    got = suffix.repeat_report(frame).collect()
+    assert len(got) == len(rows) and all(r.n_spans == 1 and r.n_removed >= len(long) for r in got)
