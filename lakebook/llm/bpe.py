@@ -25,6 +25,7 @@ table gives no rows.
 from __future__ import annotations
 
 import json
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -46,7 +47,7 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 TABLE_WORDS = 200_000
 WORD_BYTES = 64
 #: Words whose ids a task remembers beside the table.
-REMEMBER = 150_000
+REMEMBER = 300_000
 #: Words whose ids are put together at once.
 GATHERED = 1 << 16
 #: Bytes of text that are split and encoded at once.
@@ -75,6 +76,7 @@ def split_words(text: bytes) -> list[bytes]:
 
 @lru_cache(maxsize=4)
 def load(path: str) -> Tokenizer:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()

@@ -25,7 +25,6 @@ names cannot clash. An empty table gives no rows.
 
 from __future__ import annotations
 
-import os
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -48,6 +47,8 @@ WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY, END_ID, BIN = 4096, 1, 16
 #: Bytes of text that are encoded at once: the more, the fewer words are looked up again.
 GROUP = 6 << 20
+#: Words whose ids a task remembers from group to group.
+REMEMBER = 150_000
 _SPECIAL = "<|"
 _ONLY_MARKS = r"^[!-&(-/:-@\[-`{-~]+$"
 _CORE_AND_MARKS = r"(?s)^(?P<core>.*\p{L})(?P<marks>[!-&(-/:-@\[-`{-~]+)$"
@@ -148,8 +149,7 @@ def _with_end(ids: np.ndarray, ends: np.ndarray, end_id: int) -> Ids:
 
 def token_groups(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
     """(ids of documents, their tokens in a row, where each document's end), some MB of text each."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-    pool, held, size = IdPool(), [], 0
+    pool, held, size = IdPool(REMEMBER), [], 0
 
     def encoded() -> tuple[pa.Array, np.ndarray, np.ndarray]:
         doc_ids, texts = (pa.concat_arrays(column) for column in zip(*held, strict=True))

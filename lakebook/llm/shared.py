@@ -96,7 +96,7 @@ def stored(frame: DataFrame, purpose: str, outlive: bool = False, by: str | None
 
 
 #: glibc's number of the setting, and the bytes from which memory is mapped on its own.
-_MMAP_THRESHOLD, _MAPPED = -3, 1 << 20
+_MMAP_THRESHOLD, _MAPPED = -3, 8 << 20
 
 
 def _libc(name: str):
