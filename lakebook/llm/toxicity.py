@@ -1,23 +1,25 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Words become symbols: insult, threat, target, negation, report, or nothing. Small
-weighted transducers read a clause's symbols: one for what is hurtful (an insult or
-threat emits its weight), one for the target (a hurtful word near a person counts
-more), one for negation (after a negation, within its reach, it counts less) and one
-for reported speech (in a clause that reports what others said, it counts less). They
-are composed into a single machine, whose states are the tuples of theirs, and whose
-output for a symbol is the product of their factors. A clause's score is the sum of its
-outputs; isolated targets, negations and reports emit nothing.
-
-Which words hurt is learned from labelled rows: words, and stems of four to six letters,
-that stand in toxic documents far more often than in others, weighted by their log-odds.
-Two thirds of the learning rows give the lexicon; the others, which have not shaped
-it, fit a logistic curve from clause scores to the chance that a document is toxic.
-About ``SAMPLE_DOCS`` labelled rows are used, chosen by a hash of their id.
+A text is cut into clauses, and ``grammar`` scores each: an insult weighs more near a
+target and less after a negation or a report, a threat is a phrase with its object, and a
+word without company is no clause and scores nothing. Marks (``. ! ? ; :`` and line ends)
+end a clause, but not after a single word: one word between marks belongs to the clause
+that follows, so "YOU!! ARE!! A!! MORON!!" is one clause.
+
+Which words are insults is learned from labelled rows: words, and stems of four to six
+letters, that stand in toxic documents far more often than in others, weighted by their
+log-odds. All that pass ``MIN_DOCS``, ``MIN_SHARE`` and ``MIN_ODDS`` are kept; each stands in
+a share of at least ``MIN_SHARE`` of the toxic rows learned from, so there are at most
+1 / ``MIN_SHARE`` times as many as such a row holds on average. Two thirds of the learning
+rows give the lexicon; the others, which have not shaped it, fit a logistic curve from
+clause scores to the chance that a document is toxic. About ``SAMPLE_DOCS`` labelled rows are
+used, chosen by a hash of their id; every text is scored whole.
 
 Defined cases. Null and empty texts: no clauses, and the score of a text without any
-match. Repeated labels of a document: toxic if one says so. Rows without a known label
-teach nothing. With labels of one kind only, every score is that kind's share.
+match. Very long texts: scored whole, clause by clause. Repeated rows: scored alike, one
+result each. Repeated labels of a document: toxic if one says so. Rows without a known
+label teach nothing. With labels of one kind only, every score is that kind's share. Other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -26,96 +28,38 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import product
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakebook.llm.grammar import INSULT, OTHER, PHRASES, THREAT, THREAT_WEIGHT, Event, clause_score
 from lakebook.llm.shared import lookup, small_batches, stored
 
 SAMPLE_DOCS = 20_000
-LEXICON = 20_000
 STEMS = (4, 5, 6)
 MIN_DOCS, MIN_SHARE, MIN_ODDS = 3, 0.004, 2.0
 REMEMBER = 300_000
 
-# Fixed word lists of the grammar (English, German, French, Spanish).
-TARGETS = frozenset(
-    "you your yours he him his she her they them their everyone people du dich dir dein euch ihr sie er ihn"
-    " tu te toi ton vous votre il elle ils elles usted ustedes tú ti él ella ellos".split()
-)
-NEGATIONS = frozenset(
-    "not no never nobody nothing isn aren wasn don doesn didn cannot without nicht kein keine nie niemals ohne"
-    " pas jamais aucun sans ni nunca jamás ningún sin".split()
-)
-REPORTS = frozenset(
-    "said says say wrote writes called calls claimed reported quoted told sagte sagt schrieb nannte berichtete"
-    " dit écrit appelé rapporte dijo dice escribió llamó".split()
-)
-THREATS = frozenset("kill murder hurt destroy töten umbringen tuer frapper matar golpear".split())
-
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, GAP = range(7)
-#: Words that are nothing, in a row, that end a negation's or a target's reach.
-REACH = 4
+MARKS = frozenset(".!?;:\n")
 _TOKEN = re.compile(r"[^\W\d_]+|[.!?;:\n]")
 
 
-# Transducers -------------------------------------------------------------------
-
-
-@dataclass(frozen=True)
-class Transducer:
-    """next[(state, symbol)] and factor[(state, symbol)]; what is missing stays, and counts 1."""
-
-    states: int
-    next: dict[tuple[int, int], int]
-    factor: dict[tuple[int, int], float]
-
-
-HURT = Transducer(
-    2,  # nothing hurtful yet; some: a second hurtful word in a clause weighs more
-    {(0, INSULT): 1, (0, THREAT): 1},
-    {(1, INSULT): 1.2, (1, THREAT): 1.5, (0, THREAT): 1.3, **{(s, x): 0.0 for s in (0, 1) for x in (OTHER, TARGET, NEGATION, REPORT, GAP)}},
-)
-AIMED = Transducer(2, {(0, TARGET): 1, (1, GAP): 0}, {(1, INSULT): 1.5, (1, THREAT): 2.0})
-NEGATED = Transducer(
-    2, {(0, NEGATION): 1, (1, NEGATION): 0, (1, GAP): 0}, {(1, INSULT): 0.5, (1, THREAT): 0.3}
-)
-REPORTED = Transducer(2, {(0, REPORT): 1}, {(1, INSULT): 0.7, (1, THREAT): 0.5})
-
-
-def compose(parts: tuple[Transducer, ...]) -> tuple[list[list[int]], list[list[float]]]:
-    """The machine that runs all parts at once: tables of next state and factor."""
-    states = list(product(*(range(p.states) for p in parts)))
-    number = {s: i for i, s in enumerate(states)}
-    following = [
-        [number[tuple(p.next.get((a, x), a) for p, a in zip(parts, s, strict=True))] for x in range(7)] for s in states
-    ]
-    factors = [
-        [float(np.prod([p.factor.get((a, x), 1.0) for p, a in zip(parts, s, strict=True)])) for x in range(7)]
-        for s in states
-    ]
-    return following, factors
-
-
-NEXT, FACTOR = compose((HURT, AIMED, NEGATED, REPORTED))
-
-
-def clause_score(symbols: list[tuple[int, int, float]]) -> float:
-    """Of (place, symbol, weight) in a clause; places further apart than the reach are a gap."""
-    state, last, total = 0, None, 0.0
-    for place, symbol, weight in symbols:
-        if last is not None and place - last > REACH:
-            state = NEXT[state][GAP]
-        total += weight * FACTOR[state][symbol]
-        state = NEXT[state][symbol]
-        last = place
-    return total
+# Scoring -----------------------------------------------------------------------
 
 
-# Scoring -----------------------------------------------------------------------
+def in_clauses(tokens: list[str]) -> tuple[list[str], list[int]]:
+    """The words, and where clauses end: at marks after two words or more since the last mark, and at the end."""
+    words, ends, last = [], [], 0
+    for token in tokens:
+        if token not in MARKS:
+            words.append(token)
+        else:
+            if len(words) - last > 1:
+                ends.append(len(words))
+            last = len(words)
+    return words, [*ends, len(words)]
 
 
 class Matcher:
@@ -123,18 +67,27 @@ class Matcher:
 
     def __init__(self, words: dict[str, float], stems: dict[str, float]) -> None:
         self.words, self.stems = words, stems
-        self.known: dict[str, tuple[int, float] | None] = {}
-
-    def symbol(self, word: str) -> tuple[int, float] | None:
-        weight = max([self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in STEMS if len(word) > n)])
-        if word in THREATS:
-            return THREAT, max(weight, 1.0)
-        if weight > 0:
-            return INSULT, weight
-        for symbol, listed in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)):
-            if word in listed:
-                return symbol, 0.0
-        return None
+        #: Of each word met: its weight as an insult, or 0 if it only begins phrases; None is any other.
+        self.known: dict[str, float | None] = {}
+
+    def weight(self, word: str) -> float | None:
+        learned = max([self.words.get(word, 0.0), *(self.stems.get(word[:n], 0.0) for n in STEMS if len(word) > n)])
+        return learned if learned > 0 or word in PHRASES.arcs[0] else None
+
+    def events(self, words: list[str], places: list[int], end: int) -> list[Event]:
+        """What the phrase machine writes for the words before ``end``, from those at ``places``."""
+        found, past = [], -1
+        for at in places:
+            if at < past:
+                continue
+            phrase = PHRASES.longest(words, at, end)
+            learned = self.known[words[at]]
+            if phrase and (phrase[0] == THREAT or not learned):
+                found.append((at, phrase[0], THREAT_WEIGHT if phrase[0] == THREAT else 0.0))
+                past = phrase[1]
+            elif learned:
+                found.append((at, INSULT, learned))
+        return found
 
     def clauses(self, text: str) -> list[float]:
         """The scores above 0."""
@@ -142,19 +95,22 @@ class Matcher:
         known = self.known
         if len(known) > REMEMBER:
             known.clear()
-        for word in set(tokens).difference(known):
-            known[word] = self.symbol(word) if word.isalpha() else None
-        events = [(i, *known[w]) for i, w in enumerate(tokens) if known[w] is not None]
-        if not any(e[1] in (INSULT, THREAT) for e in events):
-            return []
-        scores, held, at = [], [], 0
-        for end in [*(i for i, w in enumerate(tokens) if not w.isalpha()), len(tokens)]:
-            while at < len(events) and events[at][0] < end:
-                held.append(events[at])
-                at += 1
-            if held:
-                scores.append(clause_score(held))
-                held = []
+        for word in set(tokens).difference(known, MARKS):
+            known[word] = self.weight(word)
+        words, ends = in_clauses(tokens)
+        hits = [i for i, w in enumerate(words) if known[w] is not None]
+        scores, begin, hit = [], 0, 0
+        for end in ends:
+            first = hit
+            while hit < len(hits) and hits[hit] < end:
+                hit += 1
+            if hit > first:
+                events = self.events(words, hits[first:hit], end)
+                if any(e[1] in (INSULT, THREAT) for e in events):
+                    if len(events) < end - begin:  # words beside the phrases
+                        events.insert(0, (events[0][0], OTHER, 0.0))
+                    scores.append(clause_score(events))
+            begin = end
         return [s for s in scores if s > 0]
 
     def features(self, text: str) -> tuple[float, float, float, float]:
@@ -223,8 +179,6 @@ def train(labelled: DataFrame) -> Model:
         .where(F.col("toxic") >= max(MIN_DOCS, MIN_SHARE * n_toxic))
         .withColumn("odds", odds)
         .where(F.col("odds") >= MIN_ODDS)
-        .orderBy(F.desc("odds"), F.desc("toxic"), "word")
-        .limit(LEXICON)
         .collect()
     )
     words = {r["word"]: r["odds"] for r in counted if not r["word"].endswith("*")}

@@ -209,28 +209,6 @@ def test_removal_keeps_columns_and_whole_characters(spark):
 # Toxicity ----------------------------------------------------------------------
 
 
-def test_grammar_composes_its_parts():
-    hurt = [(0, toxicity.INSULT, 2.0)]
-    aimed = [(0, toxicity.TARGET, 0.0), (2, toxicity.INSULT, 2.0)]
-    negated = [(0, toxicity.TARGET, 0.0), (1, toxicity.NEGATION, 0.0), (2, toxicity.INSULT, 2.0)]
-    told = [(0, toxicity.REPORT, 0.0), (1, toxicity.TARGET, 0.0), (2, toxicity.INSULT, 2.0)]
-    far = [(0, toxicity.TARGET, 0.0), (1, toxicity.NEGATION, 0.0), (20, toxicity.INSULT, 2.0)]
-    score = toxicity.clause_score
-    assert score(hurt) == 2.0 and score(far) == 2.0
-    assert score(aimed) > score(hurt) > 0
-    assert score(negated) < score(aimed) and score(told) < score(aimed)
-    assert score([(0, toxicity.TARGET, 0.0), (1, toxicity.NEGATION, 0.0), (2, toxicity.REPORT, 0.0)]) == 0
-    assert score([(0, toxicity.INSULT, 2.0), (1, toxicity.THREAT, 2.0)]) > 2 * score(hurt)
-
-
-def test_clauses_bound_what_acts_on_what():
-    matcher = toxicity.Matcher({"moron": 3.0}, {"vequ": 2.0})
-    assert matcher.clauses("you moron") == [4.5]
-    assert matcher.clauses("you. moron") == [3.0]
-    assert matcher.clauses("not you, a vequxx!") == [2.0 * 1.5 * 0.5]
-    assert matcher.clauses("you said not, never") == [] and matcher.clauses("") == []
-
-
 @pytest.fixture(scope="module")
 def toxic_scores(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
