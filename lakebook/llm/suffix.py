@@ -1,29 +1,32 @@
 """Suffix-array dedup: removes every byte of a long string that starts elsewhere too.
 
-This is window sampling and hash counting, not prefix doubling: Spark sorts no rank pairs
-and reranks nothing, and no round needs the ranks of the one before. Each task hashes the
-64 bytes from each position, pairs these hashes to 128 bytes (offset 64) and for a threshold
-of 200 to 200 (offset 72); below, such a hash is called a rank. Equal strings have equal
-ranks on all machines, and Spark counts the ranks.
+Prefix doubling over the positions that may recur. The first rank of a position, of its
+64 bytes, is a hash that each task reads from the text. Spark then sorts pairs of ranks at
+growing offsets and numbers the distinct ones: (rank at p, rank at p + 64) gives the ranks
+of 128 bytes, and two of these at offset 72 tell 200 bytes. In each round, positions
+whose pair is unique are dropped, since nothing longer that starts there recurs either. The
+four first ranks of a window travel in its row, so no round joins positions to positions.
 
-Two facts keep most positions out of the counts, and are exact:
+To sort every position of a corpus would move it many times. Two facts keep most
+positions out of the rounds, and are exact:
 
 * A window of 200 bytes is the same as another only if the places where its least
-  128-byte rank stands agree. One sampled position stands for all windows that share it
-  (about one in 35 positions), and if its rank is unique, none of them recurs. Unique
-  ranks are recognised by a two-pass Bloom filter, which only ever errs towards keeping.
+  128-byte hash stands agree. One sampled position stands for all windows that share it
+  (about one in 35 positions), and if its hash is unique, none of them recurs. Unique
+  hashes are recognised by a two-pass Bloom filter, which only ever errs towards keeping;
+  another one drops windows whose four first ranks are unique.
 * Windows in a row around the same sampled position form a stretch. If the whole
   stretch, told by a 64-bit hash of its bytes, occurs twice, all its windows recur; and
-  for the last doubling one member of each such class stands for all of them.
+  in the rounds one member of each such class stands for all of them.
 
-So the last round counts only windows of stretches that differ although they share a
-sampled rank: the edges of repeats. Counts are partial sums before each shuffle, and
-what is joined afterwards are the few ranks that the filter held back for nothing. No
-task holds more than a document and a filter.
+So the rounds rank only windows of stretches that differ although they share a sampled
+hash: the edges of repeats. Pairs are counted in partial sums before they are shuffled and
+sorted, and rows meet their new ranks in joins of stored tables, whose hot keys adaptive
+execution splits. No task holds more than a document, a filter and its range of pairs.
 
 Positions are bytes of the UTF-8 text, and matches never cross documents. Everything is
-judged on the input. Chance agreement of two hashes needs 64 equal bits (128 in the
-last round).
+judged on the input. Chance agreement of two stretches needs 64 equal bits twice, that of
+two windows four times.
 
 Defined cases. Null text: empty, nothing removed. Texts shorter than the threshold:
 never touched. Copies of a document, and repeated rows, remove each other whole. In
@@ -44,7 +47,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakebook.llm.exact import MARKS, all_set, filter_bits, marks, range_count, touched_twice
-from lakebook.llm.shared import Scratch, all_columns, lookup, releasing, shared_value, small_batches, stored
+from lakebook.llm.shared import (
+    Scratch,
+    all_columns,
+    lookup,
+    numbered,
+    releasing,
+    shared_value,
+    small_batches,
+    stored,
+)
 
 THRESHOLD = 200
 MAX_BITS = 1 << 29
@@ -89,15 +101,22 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return _mix(left * np.uint64(0xD6E8FEB86659FD93) + (right ^ (right >> np.uint64(32))))
 
 
-def doubled_ranks(flat: np.ndarray, first: int) -> np.ndarray:
-    """The rank of the 2 * ``first`` bytes from each position: a pair of first ranks."""
+def first_ranks(flat: np.ndarray, first: int) -> np.ndarray:
+    """A hash of the ``first`` bytes from each position."""
     n = len(flat)
-    if n < 2 * first:
+    if n < first:
         return np.zeros(0, dtype=np.uint64)
     up, down = _powers(max(2 * CHUNK, n) + 1)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_byte_values()[flat] * down[:n], out=sums[1:], dtype=np.uint64)
-    ranks = _mix((sums[first:] - sums[:-first]) * up[: n - first + 1])
+    return _mix((sums[first:] - sums[:-first]) * up[: n - first + 1])
+
+
+def doubled_hashes(flat: np.ndarray, first: int) -> np.ndarray:
+    """A hash of the 2 * ``first`` bytes from each position, made of two first ranks."""
+    if len(flat) < 2 * first:
+        return np.zeros(0, dtype=np.uint64)
+    ranks = first_ranks(flat, first)
     return _pair(ranks[: len(ranks) - first], ranks[first:])
 
 
@@ -143,7 +162,7 @@ class Chunks:
 
         Places count in ``data``; ``end`` is the last window start.
         """
-        ranks = doubled_ranks(np.frombuffer(data, dtype=np.uint8), self.first)
+        ranks = doubled_hashes(np.frombuffer(data, dtype=np.uint8), self.first)
         place = _least_places(ranks, self.threshold - 2 * self.first + 1)
         owner = np.full(len(place), -1, dtype=np.int64)
         for i, (_, at, _, size) in enumerate(parts):
@@ -214,34 +233,49 @@ def _kept(threshold: int, bits: int, filled):
     return releasing(run)
 
 
-WINDOWS = "d binary, p int, a long, b long, alone boolean"
+#: A window: its document's number, where it starts, and its first ranks at ``places_of``.
+WINDOWS = "n long, p int, a long, b long, a2 long, b2 long, alone boolean"
+RANKS = ["a", "b", "a2", "b2"]
+
+
+def places_of(threshold: int) -> list[int]:
+    """Where in a window the first ranks are read: two pairs, each of neighbours.
+
+    Each pair makes the rank of twice the first length, the pairs together that of a window.
+    """
+    first = first_length(threshold)
+    return [0, first, threshold - 2 * first, threshold - first]
 
 
 def _window_ranks(texts: list[bytes], wanted: list, threshold: int) -> Iterator[tuple]:
-    """(document number, places, rank pairs, alone) of the wanted stretches, document by document."""
+    """(document number, places, their first ranks, alone) of the wanted stretches, document by document."""
     first = first_length(threshold)
-    offset = threshold - 2 * first
     for number, (text, stretches) in enumerate(zip(texts, wanted, strict=True)):
         for at in range(0, max(1, len(text)), CHUNK):
             own = [r for r in stretches if at <= r["s"] < at + CHUNK]
             if not own:
                 continue
             # A stretch never crosses a chunk, since chunks bound the sampling too.
-            ranks = doubled_ranks(np.frombuffer(text[at : at + CHUNK + threshold - 1], dtype=np.uint8), first)
+            ranks = first_ranks(np.frombuffer(text[at : at + CHUNK + threshold - 1], dtype=np.uint8), first)
             places = np.concatenate([np.arange(r["s"], r["e"] + 1) for r in own])
             alone = np.repeat([r["alone"] for r in own], [r["e"] - r["s"] + 1 for r in own])
-            yield number, places, ranks[places - at], ranks[places - at + offset], alone
+            yield number, places, [ranks[places - at + shift] for shift in places_of(threshold)], alone
+
+
+def _window_slots(ranks: list[np.ndarray], bits: int) -> np.ndarray:
+    a, b, a2, b2 = ranks
+    return _slots(_pair(_pair(a, b), _pair(a2, b2)), bits)
 
 
 def _window_marks(threshold: int, bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Last round: marks of the rank pairs."""
+        """Before the rounds: marks of the windows."""
         ranked = (
-            _pair(a, b)
+            ranks
             for batch in batches
-            for _, _, a, b, _ in _window_ranks([t or b"" for t in batch["text"]], batch["wanted"].tolist(), threshold)
+            for _, _, ranks, _ in _window_ranks([t or b"" for t in batch["text"]], batch["wanted"].tolist(), threshold)
         )
-        yield from marks((_slots(pairs, bits) for pairs in ranked), bits)
+        yield from marks((_window_slots(ranks, bits) for ranks in ranked), bits)
 
     return releasing(run)
 
@@ -250,18 +284,19 @@ def _windows(threshold: int, bits: int, filled):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The windows that the filter leaves; without a filter, all."""
         for batch in batches:
-            ids, texts, held = batch["d"].tolist(), [t or b"" for t in batch["text"]], []
-            for number, places, a, b, alone in _window_ranks(texts, batch["wanted"].tolist(), threshold):
-                stay = np.ones(len(a), dtype=bool) if filled is None else all_set(filled.value, _slots(_pair(a, b), bits))
-                held.append((np.full(int(stay.sum()), number), places[stay], a[stay], b[stay], alone[stay]))
+            numbers, texts, held = batch["n"].to_numpy(), [t or b"" for t in batch["text"]], []
+            for number, places, ranks, alone in _window_ranks(texts, batch["wanted"].tolist(), threshold):
+                if filled is not None:
+                    stay = all_set(filled.value, _window_slots(ranks, bits))
+                    places, ranks, alone = places[stay], [r[stay] for r in ranks], alone[stay]
+                held.append((np.full(len(places), numbers[number]), places, alone, *ranks))
             if held:
-                number, places, a, b, alone = (np.concatenate(column) for column in zip(*held, strict=True))
+                number, places, alone, *ranks = (np.concatenate(column) for column in zip(*held, strict=True))
                 yield pd.DataFrame(
                     {
-                        "d": np.array(ids, dtype=object)[number],
+                        "n": number,
                         "p": places.astype(np.int32),
-                        "a": a.view(np.int64),
-                        "b": b.view(np.int64),
+                        **{name: rank.view(np.int64) for name, rank in zip(RANKS, ranks, strict=True)},
                         "alone": alone.astype(bool),
                     }
                 )
@@ -270,6 +305,7 @@ def _windows(threshold: int, bits: int, filled):
 
 
 RUNS = "d binary, s int, e int"
+NUMBERED_RUNS = "d long, s int, e int"
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -348,6 +384,27 @@ def _alone(rows: DataFrame, keys: list[str]) -> DataFrame:
     return lookup(stored(rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n = 1").select(*keys), "alone"), NARROW_ROWS)
 
 
+def doubled(windows: DataFrame) -> DataFrame:
+    """A round of doubling: (n, p, a, b, alone) of the windows both of whose pairs recur.
+
+    Spark sorts the distinct pairs of first ranks and numbers them; the numbers ``a`` and
+    ``b`` are the ranks of twice the length. A pair that ``windows`` hold once has no number,
+    and its window is dropped: all that contains it is unique. ``windows`` is a stored table.
+    """
+    pairs = windows.select("a", "b").unionByName(windows.select(F.col("a2").alias("a"), F.col("b2").alias("b")))
+    with Scratch(windows.sparkSession):
+        again = stored(pairs.groupBy("a", "b").agg(F.count("*").alias("times")).where("times > 1"), "pairs")
+        ranked = numbered(again.select("a", "b"), [F.col("a"), F.col("b")], "rank")
+    ranks = lookup(ranked, NARROW_ROWS)
+    second = ranks.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("rank").alias("rank2"))
+    return (
+        windows.join(ranks, ["a", "b"])
+        .drop("a", "b")
+        .join(second, ["a2", "b2"])
+        .select("n", "p", F.col("rank").alias("a"), F.col("rank2").alias("b"), "alone")
+    )
+
+
 def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int = MAX_BITS) -> DataFrame:
     """(d, spans) of the documents that have repeats; ``docs`` has (d binary, text binary).
 
@@ -383,7 +440,8 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
             edge.select("d", F.struct("s", "e", F.lit(True).alias("alone")).alias("r"))
             .unionByName(others.select("one.d", F.struct("one.s", "one.e", F.lit(False).alias("alone")).alias("r")))
             .groupBy("d")
-            .agg(F.collect_list("r").alias("wanted")),
+            .agg(F.collect_list("r").alias("wanted"))
+            .withColumn("n", F.monotonically_increasing_id()),
             "wanted",
         )
         edges = docs.join(lookup(wanted), "d")
@@ -394,10 +452,15 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
             last = shared_value(spark, touched_twice(edges.mapInPandas(_window_marks(threshold, last_bits), MARKS), last_bits))
             windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
         else:
-            every = stored(edges.mapInPandas(_windows(threshold, 0, None), WINDOWS).withColumn("h", F.xxhash64("a", "b")), "every")
+            every = stored(edges.mapInPandas(_windows(threshold, 0, None), WINDOWS).withColumn("h", F.xxhash64(*RANKS)), "every")
             windows = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe", "h"), "windows")
-        again = windows.where("alone").join(_alone(windows, ["a", "b"]), ["a", "b"], "left_anti")
-        runs = again.select("d", F.col("p").alias("s"), (F.col("p") + threshold).alias("e")).mapInPandas(_runs, RUNS).unionByName(
+        # The rounds: pairs at the first offset are ranked, and pairs of these told apart.
+        ranked = stored(doubled(windows), "ranked")
+        again = ranked.where("alone").join(_alone(ranked, ["a", "b"]), ["a", "b"], "left_anti")
+        found = again.select(F.col("n").alias("d"), F.col("p").alias("s"), (F.col("p") + threshold).alias("e"))
+        names = lookup(wanted.select("n", F.col("d").alias("name")))
+        numbered_runs = found.mapInPandas(_runs, NUMBERED_RUNS).withColumnRenamed("d", "n").join(names, "n")
+        runs = numbered_runs.select(F.col("name").alias("d"), "s", "e").unionByName(
             told.where("whole").select("d", "s", (F.col("e") + threshold).alias("e")).mapInPandas(_runs, RUNS)
         )
         spans = runs.distinct().groupBy("d").agg(F.collect_list(F.struct("s", "e")).alias("r"))
