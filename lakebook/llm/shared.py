@@ -49,9 +49,10 @@ class Scratch:
     """What an operator stores and broadcasts on its way, for as long as it needs it.
 
     Tables stored and values shared inside ``with Scratch(spark)`` are removed, on disk and
-    in the executors' memory, when the block ends. A table ``stored(..., outlive=True)``
-    belongs to the block around, if there is one, or else to the application. Nothing that
-    reads the others may be left to be computed after the block.
+    in the executors' memory, when the block ends, and so are shuffle files that no job
+    needs any more. A table ``stored(..., outlive=True)`` belongs to the block around, if
+    there is one, or else to the application. Nothing that reads the others may be left to
+    be computed after the block.
     """
 
     def __init__(self, spark: SparkSession) -> None:
@@ -70,6 +71,8 @@ class Scratch:
         for path in self.paths:
             found, system = hadoop_path(self.spark, path)
             system.delete(found, True)
+        # Spark deletes the shuffle files of ended jobs when the driver's JVM collects them.
+        self.spark.sparkContext._jvm.System.gc()
 
 
 def shared_value(spark: SparkSession, value) -> Broadcast:

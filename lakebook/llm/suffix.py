@@ -414,21 +414,24 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
     """
     with Scratch(docs.sparkSession) as scratch:
         spark = scratch.spark
-        total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-        if total // 4 <= max_bits:
-            bits = filter_bits(total // 4, max_bits)
-            filled = shared_value(spark, touched_twice(docs.mapInPandas(_marked(threshold, bits), MARKS), bits))
-            kept = stored(docs.mapInPandas(_kept(threshold, bits, filled), STRETCHES), "stretches")
-        else:  # a filter would fill up: ranked once and stored, then asked range by range
-            every = stored(docs.mapInPandas(_kept(threshold, 0, None), STRETCHES), "every")
-            kept = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe"), "stretches")
-        # Stretches that occur twice as a whole, and the single ones.
-        flagged = _flagged(kept, "x", max_bits)
-        single = _alone(flagged.where("maybe"), ["h", "x"]).withColumn("once", F.lit(True))
-        whole = F.col("maybe") & F.col("once").isNull()
-        told = stored(
-            flagged.join(single, ["h", "x"], "left").select("d", "s", "e", "h", "x", whole.alias("whole")), "told"
-        )
+        with Scratch(spark):
+            total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+            if total // 4 <= max_bits:
+                bits = filter_bits(total // 4, max_bits)
+                filled = shared_value(spark, touched_twice(docs.mapInPandas(_marked(threshold, bits), MARKS), bits))
+                kept = stored(docs.mapInPandas(_kept(threshold, bits, filled), STRETCHES), "stretches")
+            else:  # a filter would fill up: ranked once and stored, then asked range by range
+                every = stored(docs.mapInPandas(_kept(threshold, 0, None), STRETCHES), "every")
+                kept = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe"), "stretches")
+            # Stretches that occur twice as a whole, and the single ones.
+            flagged = _flagged(kept, "x", max_bits)
+            single = _alone(flagged.where("maybe"), ["h", "x"]).withColumn("once", F.lit(True))
+            whole = F.col("maybe") & F.col("once").isNull()
+            told = stored(
+                flagged.join(single, ["h", "x"], "left").select("d", "s", "e", "h", "x", whole.alias("whole")),
+                "told",
+                outlive=True,
+            )
         edge = stored(told.where("not whole").select("d", "s", "e", "h"), "edges")
         # A single stretch can share windows with others of its sampled rank: with single
         # ones, and with one of each class that occurs as a whole.
@@ -444,18 +447,21 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
             .withColumn("n", F.monotonically_increasing_id()),
             "wanted",
         )
-        edges = docs.join(lookup(wanted), "d")
-        inside = F.aggregate("wanted", F.lit(0).cast("long"), lambda n, r: n + r["e"] - r["s"] + 1)
-        n_windows = wanted.agg(F.sum(inside)).first()[0] or 0
-        if 8 * n_windows <= max_bits:
-            last_bits = filter_bits(8 * n_windows, max_bits)
-            last = shared_value(spark, touched_twice(edges.mapInPandas(_window_marks(threshold, last_bits), MARKS), last_bits))
-            windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
-        else:
-            every = stored(edges.mapInPandas(_windows(threshold, 0, None), WINDOWS).withColumn("h", F.xxhash64(*RANKS)), "every")
-            windows = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe", "h"), "windows")
-        # The rounds: pairs at the first offset are ranked, and pairs of these told apart.
-        ranked = stored(doubled(windows), "ranked")
+        with Scratch(spark):
+            edges = docs.join(lookup(wanted), "d")
+            inside = F.aggregate("wanted", F.lit(0).cast("long"), lambda n, r: n + r["e"] - r["s"] + 1)
+            n_windows = wanted.agg(F.sum(inside)).first()[0] or 0
+            if 8 * n_windows <= max_bits:
+                last_bits = filter_bits(8 * n_windows, max_bits)
+                marked = edges.mapInPandas(_window_marks(threshold, last_bits), MARKS)
+                last = shared_value(spark, touched_twice(marked, last_bits))
+                windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
+            else:
+                unasked = edges.mapInPandas(_windows(threshold, 0, None), WINDOWS)
+                every = stored(unasked.withColumn("h", F.xxhash64(*RANKS)), "every")
+                windows = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe", "h"), "windows")
+            # The rounds: pairs at the first offset are ranked, and pairs of these told apart.
+            ranked = stored(doubled(windows), "ranked", outlive=True)
         again = ranked.where("alone").join(_alone(ranked, ["a", "b"]), ["a", "b"], "left_anti")
         found = again.select(F.col("n").alias("d"), F.col("p").alias("s"), (F.col("p") + threshold).alias("e"))
         names = lookup(wanted.select("n", F.col("d").alias("name")))
