@@ -5,24 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A landed file, or the folder Spark wrote in its place, at any path depth.
-_LANDED_FILE = r"([^/]+\.csv)(?:/part-[^/]*)?$"
+_SUFFIX = ".csv"
+
+# These run once for every landed row, on a path that may be long. They look at its end
+# only; patterns would be tried at every character of it.
 
 
 def landed_file() -> Column:
-    """Name of the landed file a row was read from."""
-    name = F.regexp_extract(F.col("_metadata.file_path"), _LANDED_FILE, 1)
-    return F.nullif(name, F.lit(""))
+    """Name of the landed file a row was read from.
+
+    A landed file, or the folder Spark wrote in its place, at any path depth.
+    """
+    end = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    folder, name = F.substring_index(end, "/", 1), F.substring_index(end, "/", -1)
+    return F.when(_named(folder) & F.startswith(name, F.lit("part-")), folder).when(_named(name), name)
+
+
+def _named(part: Column) -> Column:
+    return F.endswith(part, F.lit(_SUFFIX)) & (part != _SUFFIX)
 
 
 def file_ref(filename: Column) -> Column:
     """Extraction date, the second part of ``subject_ref_stamp.csv``."""
-    return F.get(F.split(filename, "_"), F.lit(1))
+    return _part(filename, 1)
 
 
 def file_stamp(filename: Column) -> Column:
     """Generation stamp, the third part of ``subject_ref_stamp.csv``."""
-    return F.regexp_replace(F.get(F.split(filename, "_"), F.lit(2)), r"\.csv$", "")
+    stamp = _part(filename, 2)
+    suffix = F.when(F.endswith(stamp, F.lit(_SUFFIX)), len(_SUFFIX)).otherwise(0)
+    return F.left(stamp, F.length(stamp) - suffix)
+
+
+def _part(filename: Column, index: int) -> Column:
+    """The part after ``index`` underscores; NULL where there are fewer."""
+    head = F.substring_index(filename, "_", index)
+    return F.when(head != filename, F.substring_index(F.substring_index(filename, "_", index + 1), "_", -1))
 
 
 def event_ref(created: Column) -> Column:
