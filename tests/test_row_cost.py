@@ -40,3 +40,16 @@ def test_lineage_needs_no_pattern(spark, land):
     plan = _plan(with_lineage(read_landing(spark, path), "20260409120000"))
     assert "substring_index" in plan
     assert not any(word in plan for word in ("regexp", "rlike", "split("))
+
+
+def test_plain_whole_numbers_are_cast_before_a_pattern_is_tried(spark):
+    values = ["7", "0", "007", "17.0", "999999999", "9999999999", "1.0.0", "7\x00.0", " 7.0", "-4.0", ".0", ""]
+    frame = spark.createDataFrame([(v,) for v in values], "v string")
+    mine = frame.select("v", lenient(F.col("v"), IntegerType()).alias("n"))
+    assert {r.v: r.n for r in mine.collect()} == {
+        "7": 7, "0": 0, "007": 7, "17.0": 17, "999999999": 999999999, "9999999999": None, "1.0.0": None,
+        "7\x00.0": None, " 7.0": 7, "-4.0": -4, ".0": 0, "": None,
+    }
+    large = spark.range(1).select(F.col("id").cast("string").alias("v")).select(lenient(F.col("v"), IntegerType()))
+    plan = _plan(large)
+    assert plan.index("ltrim" if "ltrim" in plan else "trim(leading") < plan.index("rlike")
