@@ -36,6 +36,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -133,33 +134,50 @@ class Phrases:
         """A row for each bucket that has phrases."""
         order = np.argsort(bucket, kind="stable")
         at = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        slot = np.empty(len(self.words), dtype=np.int64)
         for a, b in zip(at.tolist(), [*at[1:].tolist(), len(order)], strict=True):
             own = order[a:b]
-            used, numbers = np.unique(self.places[:, own], return_inverse=True)
+            flat = self.places[:, own].ravel()
+            # The last to write a word's slot stands for the word: no sort of all numbers.
+            slot[flat] = each = np.arange(len(flat))
+            used = np.sort(flat[slot[flat] == each])
+            slot[used] = np.arange(len(used))
             yield (
                 len(self.places), lang, int(bucket[own[0]]), _packed_words(self.words.take(pa.array(used))),
-                _packed(numbers.ravel()), _packed(self.counts[own], "<i8"), None, None,
+                _packed(slot[flat]), _packed(self.counts[own], "<i8"), None, None,
             )
 
 
+@cache
+def _packer() -> zstandard.ZstdCompressor:
+    """One a worker: a new one costs more than it takes to pack a small block."""
+    return zstandard.ZstdCompressor(level=1)
+
+
+@cache
+def _unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def _packed(numbers: np.ndarray, kind: str = "<i4") -> bytes:
     """Whole numbers, byte by byte: all lowest bytes first, so that they compress."""
     planes = numbers.astype(kind).view(np.uint8).reshape(len(numbers), -1).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return _packer().compress(planes.tobytes())
 
 
 def _unpacked(data: bytes, kind: str = "<i4") -> np.ndarray:
     width = np.dtype(kind).itemsize
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(width, -1)
+    planes = np.frombuffer(_unpacker().decompress(data), dtype=np.uint8).reshape(width, -1)
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
 def _packed_words(words: pa.Array) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress("\n".join(words.to_pylist()).encode())
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n")
+    return _packer().compress(joined[0].as_buffer())
 
 
 def _unpacked_words(data: bytes) -> pa.Array:
-    joined = pa.array([zstandard.ZstdDecompressor().decompress(data)], pa.binary()).cast(pa.string())
+    joined = pa.array([_unpacker().decompress(data)], pa.binary()).cast(pa.string())
     return pc.split_pattern(joined, "\n").flatten()
 
 
@@ -243,9 +261,13 @@ def hot_flags(phrases: Phrases, hot: set[tuple[str, ...]], size: int) -> np.ndar
     number = np.asarray(pc.fill_null(pc.index_in(pa.array([w for p in wanted for w in p], pa.string()), phrases.words), -1))
     number = number.reshape(-1, size)
     number = number[(number >= 0).all(axis=1)]
+    if not len(number):
+        return flags
     own, known = phrases.places[:size], number.T.astype(phrases.places.dtype)
     key = _key(np.concatenate([own, known], axis=1), len(phrases.words))
-    return np.isin(key[: len(phrases)], key[len(phrases) :])
+    # The hot ones are few: only they are sorted, and each phrase is looked up among them.
+    own, known = key[: len(phrases)], np.sort(key[len(phrases) :])
+    return known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own
 
 
 def _hashes(words: pa.Array) -> np.ndarray:
@@ -257,12 +279,13 @@ def buckets_of(phrases: Phrases, hashes: np.ndarray, buckets: int, hot: set[tupl
     not hot, or by all its words if ``hot`` is None."""
     size = len(phrases.places)
     found = np.zeros(len(phrases), dtype=np.uint64)
-    going = np.ones(len(phrases), dtype=bool)
+    going, own = phrases, slice(None)
     for i in range(size):
-        mixed = (found ^ hashes[phrases.places[i]]) * np.uint64(0x9E3779B97F4A7C15)
-        found = np.where(going, mixed ^ (mixed >> np.uint64(29)), found)
+        mixed = (found[own] ^ hashes[going.places[i]]) * np.uint64(0x9E3779B97F4A7C15)
+        found[own] = mixed ^ (mixed >> np.uint64(29))
         if hot is not None and i:
-            going &= hot_flags(phrases, hot, i + 1)
+            hotter = np.flatnonzero(hot_flags(going, hot, i + 1))
+            own, going = np.arange(len(phrases))[own][hotter], going.of(hotter)
     return (found % np.uint64(buckets)).astype(np.int32)
 
 
