@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 _SUFFIX = ".csv"
 
 # These run once for every landed row, on a path that may be long. They look at its end
-# only; patterns would be tried at every character of it.
+# only; patterns would be tried at every character of it, and even a plain search costs
+# some nanoseconds a byte. Spark repeats a text function wherever its result is used,
+# unless a projection of its own holds it: ``with_lineage`` takes the steps one by one.
 
 
 def landed_file() -> Column:
@@ -17,7 +19,11 @@ def landed_file() -> Column:
     A landed file, or the folder Spark wrote in its place, at any path depth.
     """
     end = F.substring_index(F.col("_metadata.file_path"), "/", -2)
-    folder, name = F.substring_index(end, "/", 1), F.substring_index(end, "/", -1)
+    return landed_name(F.substring_index(end, "/", 1), F.substring_index(end, "/", -1))
+
+
+def landed_name(folder: Column, name: Column) -> Column:
+    """The folder if Spark wrote it in place of a landed file, else the file."""
     return F.when(_named(folder) & F.startswith(name, F.lit("part-")), folder).when(_named(name), name)
 
 
@@ -25,22 +31,35 @@ def _named(part: Column) -> Column:
     return F.endswith(part, F.lit(_SUFFIX)) & (part != _SUFFIX)
 
 
+def folder_of(path: Column, name: Column) -> Column:
+    """The folder that holds the file ``name``, the last part of ``path``; only the folder is searched."""
+    return F.substring_index(_bytes(path, F.lit(1), F.octet_length(path) - F.octet_length(name) - 1), "/", -1)
+
+
+def _bytes(text: Column, first: Column, length: Column) -> Column:
+    """Part of a text by bytes, which are not counted through as characters are."""
+    return F.substring(text.cast("binary"), first, length).cast("string")
+
+
 def file_ref(filename: Column) -> Column:
     """Extraction date, the second part of ``subject_ref_stamp.csv``."""
-    return _part(filename, 1)
+    return part_after(filename, F.substring_index(filename, "_", 1))
 
 
 def file_stamp(filename: Column) -> Column:
     """Generation stamp, the third part of ``subject_ref_stamp.csv``."""
-    stamp = _part(filename, 2)
-    suffix = F.when(F.endswith(stamp, F.lit(_SUFFIX)), len(_SUFFIX)).otherwise(0)
-    return F.left(stamp, F.length(stamp) - suffix)
+    return without_suffix(part_after(filename, F.substring_index(filename, "_", 2)))
+
+
+def part_after(filename: Column, head: Column) -> Column:
+    """What stands between ``head``, the parts before, and the next underscore; NULL if nothing follows."""
+    rest = _bytes(filename, F.octet_length(head) + 2, F.octet_length(filename))
+    return F.when(head != filename, F.substring_index(rest, "_", 1))
 
 
-def _part(filename: Column, index: int) -> Column:
-    """The part after ``index`` underscores; NULL where there are fewer."""
-    head = F.substring_index(filename, "_", index)
-    return F.when(head != filename, F.substring_index(F.substring_index(filename, "_", index + 1), "_", -1))
+def without_suffix(part: Column) -> Column:
+    bare = _bytes(part, F.lit(1), F.octet_length(part) - len(_SUFFIX))
+    return F.when(F.endswith(part, F.lit(_SUFFIX)), bare).otherwise(part)
 
 
 def event_ref(created: Column) -> Column:

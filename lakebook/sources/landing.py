@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from lakebook.functions.stamps import file_ref, file_stamp, landed_file
+from lakebook.functions.stamps import file_ref, folder_of, landed_name, part_after, without_suffix
 from lakebook.layout import checked_stamp
 
 # Inner quotes are doubled. Spark's default, a backslash, would shift columns
@@ -55,10 +55,18 @@ def with_lineage(landed: DataFrame, ts_proc: str) -> DataFrame:
     """Add the file name, the date and stamp it carries, and the run stamp.
 
     Only works directly on a file scan, where ``_metadata`` is known.
+
+    The columns are what ``landed_file``, ``file_ref`` and ``file_stamp`` say, taken in a
+    projection a step, so that each step runs once a row. Until the last ones, the columns
+    hold parts of the path.
     """
+    path, name = F.col("_metadata.file_path"), F.col("_metadata.file_name")
+    filename, ref, stamp = (F.col(column) for column in ("filename", "ref", "ts_file_generation"))
     return (
-        landed.withColumn("filename", landed_file())
-        .withColumn("ref", file_ref(F.col("filename")))
-        .withColumn("ts_file_generation", file_stamp(F.col("filename")))
+        landed.withColumns({"filename": folder_of(path, name), "ref": name, "ts_file_generation": name})
+        .withColumn("filename", landed_name(filename, stamp))
+        .withColumns({"ref": F.substring_index(filename, "_", 1), "ts_file_generation": F.substring_index(filename, "_", 2)})
+        .withColumns({"ref": part_after(filename, ref), "ts_file_generation": part_after(filename, stamp)})
+        .withColumn("ts_file_generation", without_suffix(stamp))
         .withColumn("ts_proc", F.lit(checked_stamp(ts_proc)))
     )

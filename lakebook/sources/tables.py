@@ -83,6 +83,18 @@ class Written:
     ts_file_generation: str | None = None
 
 
+# A shuffle's partition that outgrows its advisory size is cut over several tasks, each of
+# which opens a file for all values of the partition. With many partitions, which adaptive
+# execution merges, only a value that is large by itself gets several files.
+SPREAD_PARTITIONS = 1000
+
+
+def spread(rows: DataFrame, by: str) -> DataFrame:
+    """Gather rows of one partition value in few tasks, however few partitions shuffles have."""
+    partitions = max(SPREAD_PARTITIONS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.hint("rebalance", partitions, by)
+
+
 def append(
     rows: DataFrame,
     path: str,
@@ -115,7 +127,7 @@ def append(
     """
     ts_proc = replace or ts_proc
     if spread_by is not None:
-        rows = rows.hint("rebalance", spread_by)
+        rows = spread(rows, spread_by)
     seen = Observation()
     own = [] if ts_proc is None else [F.collect_set(F.coalesce("ref", F.lit(""))).alias("_refs"), *_newest(rows)]
     writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *own, *observe).write.mode("append")

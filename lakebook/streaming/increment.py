@@ -15,7 +15,7 @@ from lakebook.operators.control import batch_control_row
 from lakebook.schemas import BATCH_CONTROL, PARTITIONS, RAW
 from lakebook.session import hadoop_path
 from lakebook.sources.landing import read_landing, reader_options, with_lineage
-from lakebook.sources.tables import read_table, set_ledger
+from lakebook.sources.tables import read_table, set_ledger, spread
 
 
 # Spark's file stream passes over files a week older than the newest one, without a
@@ -143,7 +143,7 @@ def increment(
     )
     if subject == "sales":
         # As in the batch job: stateless streams run adaptively too.
-        rows = rows.hint("rebalance", "ref")
+        rows = spread(rows, "ref")
     checked_stamp(ts_proc)
     owed = _owed(spark, checkpoint)
     _note(spark, checkpoint, ts_proc)
