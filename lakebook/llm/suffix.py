@@ -14,15 +14,20 @@ positions out of the rounds, and are exact:
   128-byte hash stands agree. One sampled position stands for all windows that share it
   (about one in 35 positions), and if its hash is unique, none of them recurs. Unique
   hashes are recognised by a two-pass Bloom filter, which only ever errs towards keeping;
-  another one drops windows whose four first ranks are unique.
+  another one drops windows whose four first ranks are unique. Where the sampled hashes are
+  too many for a filter, four bytes of each are dealt by range, and a filter is made of
+  those that recur there.
 * Windows in a row around the same sampled position form a stretch. If the whole
   stretch, told by a 64-bit hash of its bytes, occurs twice, all its windows recur; and
   in the rounds one member of each such class stands for all of them.
 
 So the rounds rank only windows of stretches that differ although they share a sampled
-hash: the edges of repeats. Pairs are counted in partial sums before they are shuffled and
-sorted, and rows meet their new ranks in joins of stored tables, whose hot keys adaptive
-execution splits. No task holds more than a document, a filter and its range of pairs.
+hash: the edges of repeats. Since equal windows share it, the hash also deals the rounds into
+parts, one after the other, each with a filter of its own. The bytes of the asked stretches
+are taken out of the texts once, so that no part reads a text. Pairs are counted in partial
+sums before they are shuffled and sorted, and rows meet their new ranks in joins of stored
+tables, whose hot keys adaptive execution splits. No task holds more than a document, a
+filter and its range of pairs or hashes.
 
 Positions are bytes of the UTF-8 text, and matches never cross documents. Everything is
 judged on the input. Chance agreement of two stretches needs 64 equal bits twice, that of
@@ -64,6 +69,15 @@ MAX_BITS = 1 << 29
 CHUNK = 1 << 18
 #: Narrow rows (a rank or two) up to which a table of ranks is broadcast.
 NARROW_ROWS = 1_000_000
+#: Sampled ranks that a task compares at once, four bytes each.
+RANGE_RANKS = 1 << 22
+#: Sampled ranks that a task holds before it sends them on.
+DEAL_AT_ONCE = 1 << 20
+#: The rounds go in so many parts at least, if each has ``PART_WINDOWS``, and in more where a
+#: part would outgrow its filter: what they store and shuffle is that of one part at a time.
+PARTS, PART_WINDOWS = 4, 1 << 23
+#: Bytes of stretches in a row.
+STRIP = 1 << 16
 _INDEX_BITS = np.uint64(24)
 _BASE = 0x9E3779B97F4A7C15
 
@@ -196,20 +210,107 @@ def _marked(threshold: int, bits: int):
     return releasing(run)
 
 
+DEALT = "part long, ranks binary"
+
+
+def _keys(ranks: np.ndarray, ranges: int) -> np.ndarray:
+    """The rank's range, a power of two of them, above 32 more of its bits."""
+    return _mix(ranks) >> np.uint64(33 - ranges.bit_length())
+
+
+def _dealt(threshold: int, ranges: int):
+    def deal(keys: np.ndarray) -> pd.DataFrame:
+        keys, count = np.unique(keys, return_counts=True)
+        keys = np.repeat(keys, np.minimum(count, 2))  # however hot a rank is
+        part = (keys >> np.uint64(32)).astype(np.int64)
+        cuts = np.flatnonzero(np.diff(part)) + 1
+        low = np.split(keys.astype("<u4"), cuts)
+        return pd.DataFrame({"part": part[np.concatenate(([0], cuts))], "ranks": [k.tobytes() for k in low]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The sampled ranks, packed by range."""
+        chunks, held, n = Chunks(threshold), [], 0
+        for batch in batches:
+            for data, parts in chunks.of([t or b"" for t in batch["text"]]):
+                held.append(_keys(chunks.stretches(data, parts)[4], ranges))
+                n += len(held[-1])
+                if n >= DEAL_AT_ONCE:
+                    yield deal(np.concatenate(held))
+                    held, n = [], 0
+        if n:
+            yield deal(np.concatenate(held))
+
+    return releasing(run)
+
+
+def _repeated(key: tuple, parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Of a range, the ranks that stand there twice or more, each once."""
+    low = np.sort(np.concatenate([np.frombuffer(ranks, dtype="<u4") for part in parts for ranks in part["ranks"]]))
+    same = low[1:][low[1:] == low[:-1]]
+    if len(same):
+        yield pd.DataFrame({"part": [key[0]], "ranks": [np.unique(same).tobytes()]})
+
+
+def _key_marks(bits: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Marks of packed ranks, two each: one that is there stands for several."""
+        for batch in batches:
+            for part, ranks in zip(batch["part"], batch["ranks"], strict=True):
+                low = np.frombuffer(ranks, dtype="<u4")
+                for at in range(0, len(low), DEAL_AT_ONCE // 16):
+                    slots = _slots(_mix(low[at : at + DEAL_AT_ONCE // 16] | (np.uint64(part) << np.uint64(32))), bits)
+                    yield from marks([slots, slots], bits)
+
+    return releasing(run)
+
+
+def _kept_by_range(docs: DataFrame, threshold: int, total: int, max_bits: int) -> DataFrame:
+    """Stored stretches whose sampled rank may be repeated, if all ranks would fill a filter.
+
+    Few ranks recur, and a filter holds these only. If they still are too many, they are dealt
+    into several filters, and the texts are read once for each.
+    """
+    spark, ranges = docs.sparkSession, 1
+    while total // 32 > ranges * RANGE_RANKS:
+        ranges *= 2
+    with Scratch(spark):
+        dealt = docs.mapInPandas(_dealt(threshold, ranges), DEALT)
+        again = stored(dealt.groupBy("part").applyInPandas(_repeated, DEALT), "again", outlive=True)
+    there = again.agg(F.sum(F.length("ranks"))).first()[0] or 0  # four bytes each
+    filters, found = min(max(1, -(-2 * there // max_bits)), ranges), []
+    for i in range(filters):
+        with Scratch(spark):
+            bits = filter_bits(2 * there // filters, max_bits)
+            marked = again.where(F.col("part") % filters == i).mapInPandas(_key_marks(bits), MARKS)
+            filled = shared_value(spark, touched_twice(marked, bits))
+            rows = docs.mapInPandas(_kept(threshold, bits, filled, (ranges, filters, i)), STRETCHES)
+            found.append(stored(rows, "stretches", outlive=True))
+    return reduce(DataFrame.unionByName, found)
+
+
 STRETCHES = "d binary, s int, e int, h long, x long"
 
 
-def _kept(threshold: int, bits: int, filled):
+def _kept(threshold: int, bits: int, filled, dealt: tuple[int, int, int] | None = None):
+    """``dealt``: ranges of ranks, filters, and which of them ``filled`` is."""
+
+    def may_recur(rank: np.ndarray) -> np.ndarray:
+        if dealt is None:
+            return all_set(filled.value, _slots(rank, bits))
+        ranges, filters, own = dealt
+        keys = _keys(rank, ranges)
+        mine = (keys >> np.uint64(32)) % np.uint64(filters) == own
+        return mine & all_set(filled.value, _slots(_mix(keys), bits))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Stretches whose sampled rank may be repeated; without a filter, all."""
+        """Stretches whose sampled rank may be repeated."""
         chunks = Chunks(threshold)
         for batch in batches:
             ids = batch["d"].tolist()
             for data, parts in chunks.of([t or b"" for t in batch["text"]]):
                 part, start, end, place, rank = chunks.stretches(data, parts)
-                if filled is not None:
-                    stay = all_set(filled.value, _slots(rank, bits))
-                    part, start, end, place, rank = (v[stay] for v in (part, start, end, place, rank))
+                stay = may_recur(rank)
+                part, start, end, place, rank = (v[stay] for v in (part, start, end, place, rank))
                 shift = np.array([inside - at for _, at, inside, _ in parts], dtype=np.int64)
                 whole = np.fromiter(
                     (
@@ -247,19 +348,53 @@ def places_of(threshold: int) -> list[int]:
     return [0, first, threshold - 2 * first, threshold - first]
 
 
-def _window_ranks(texts: list[bytes], wanted: list, threshold: int) -> Iterator[tuple]:
-    """(document number, places, their first ranks, alone) of the wanted stretches, document by document."""
-    first = first_length(threshold)
-    for number, (text, stretches) in enumerate(zip(texts, wanted, strict=True)):
-        for at in range(0, max(1, len(text)), CHUNK):
-            own = [r for r in stretches if at <= r["s"] < at + CHUNK]
-            if not own:
-                continue
-            # A stretch never crosses a chunk, since chunks bound the sampling too.
-            ranks = first_ranks(np.frombuffer(text[at : at + CHUNK + threshold - 1], dtype=np.uint8), first)
-            places = np.concatenate([np.arange(r["s"], r["e"] + 1) for r in own])
-            alone = np.repeat([r["alone"] for r in own], [r["e"] - r["s"] + 1 for r in own])
-            yield number, places, [ranks[places - at + shift] for shift in places_of(threshold)], alone
+STRIPS = "part int, n binary, s binary, size binary, alone binary, data binary"
+
+
+def _strips(threshold: int):
+    def packed(part: int, held: list[tuple]) -> dict:
+        n, s, alone, data = zip(*held, strict=True)
+        return {
+            "part": part,
+            "n": np.array(n, dtype="<i8").tobytes(),
+            "s": np.array(s, dtype="<i4").tobytes(),
+            "size": np.array([len(d) for d in data], dtype="<i4").tobytes(),
+            "alone": np.array(alone, dtype="?").tobytes(),
+            "data": b"".join(data),
+        }
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The bytes of the wanted stretches' windows, many in a row."""
+        held, sizes, total, full = {}, {}, 0, []
+        for batch in batches:
+            for n, text, stretches in zip(batch["n"].tolist(), batch["text"], batch["wanted"], strict=True):
+                for r in stretches:
+                    part, data = r["k"] >> 1, text[r["s"] : r["e"] + threshold]
+                    held.setdefault(part, []).append((n, r["s"], r["k"] & 1, data))
+                    sizes[part] = sizes.get(part, 0) + len(data)
+                    total += len(data)
+                    if sizes[part] >= STRIP:
+                        full.append(packed(part, held.pop(part)))
+                        del sizes[part]
+                    if total >= 64 * STRIP:  # in parts that are not full, too
+                        yield pd.DataFrame(full + [packed(*rest) for rest in held.items()])
+                        held, sizes, total, full = {}, {}, 0, []
+        if total:
+            yield pd.DataFrame(full + [packed(*rest) for rest in held.items()])
+
+    return releasing(run)
+
+
+def _window_ranks(strips: pd.DataFrame, threshold: int) -> Iterator[tuple]:
+    """(document numbers, places, their first ranks, alone) of the windows in each row."""
+    columns = ((name, kind) for name, kind in (("n", "<i8"), ("s", "<i4"), ("size", "<i4"), ("alone", "?"), ("data", "u1")))
+    for n, s, size, alone, data in zip(*([np.frombuffer(v, dtype=kind) for v in strips[name]] for name, kind in columns), strict=True):
+        ranks = first_ranks(data, first_length(threshold))
+        count = size - (threshold - 1)
+        which = np.repeat(np.arange(len(size)), count)
+        inside = np.arange(len(which)) - (np.cumsum(count) - count)[which]
+        places = (np.cumsum(size) - size)[which] + inside
+        yield n[which], s[which] + inside, [ranks[places + shift] for shift in places_of(threshold)], alone[which]
 
 
 def _window_slots(ranks: list[np.ndarray], bits: int) -> np.ndarray:
@@ -270,11 +405,7 @@ def _window_slots(ranks: list[np.ndarray], bits: int) -> np.ndarray:
 def _window_marks(threshold: int, bits: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Before the rounds: marks of the windows."""
-        ranked = (
-            ranks
-            for batch in batches
-            for _, _, ranks, _ in _window_ranks([t or b"" for t in batch["text"]], batch["wanted"].tolist(), threshold)
-        )
+        ranked = (ranks for batch in batches for _, _, ranks, _ in _window_ranks(batch, threshold))
         yield from marks((_window_slots(ranks, bits) for ranks in ranked), bits)
 
     return releasing(run)
@@ -282,22 +413,16 @@ def _window_marks(threshold: int, bits: int):
 
 def _windows(threshold: int, bits: int, filled):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The windows that the filter leaves; without a filter, all."""
+        """The windows that the filter leaves."""
         for batch in batches:
-            numbers, texts, held = batch["n"].to_numpy(), [t or b"" for t in batch["text"]], []
-            for number, places, ranks, alone in _window_ranks(texts, batch["wanted"].tolist(), threshold):
-                if filled is not None:
-                    stay = all_set(filled.value, _window_slots(ranks, bits))
-                    places, ranks, alone = places[stay], [r[stay] for r in ranks], alone[stay]
-                held.append((np.full(len(places), numbers[number]), places, alone, *ranks))
-            if held:
-                number, places, alone, *ranks = (np.concatenate(column) for column in zip(*held, strict=True))
+            for numbers, places, ranks, alone in _window_ranks(batch, threshold):
+                stay = all_set(filled.value, _window_slots(ranks, bits))
                 yield pd.DataFrame(
                     {
-                        "n": number,
-                        "p": places.astype(np.int32),
-                        **{name: rank.view(np.int64) for name, rank in zip(RANKS, ranks, strict=True)},
-                        "alone": alone.astype(bool),
+                        "n": numbers[stay],
+                        "p": places[stay].astype(np.int32),
+                        **{name: rank[stay].view(np.int64) for name, rank in zip(RANKS, ranks, strict=True)},
+                        "alone": alone[stay].astype(bool),
                     }
                 )
 
@@ -420,9 +545,8 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
                 bits = filter_bits(total // 4, max_bits)
                 filled = shared_value(spark, touched_twice(docs.mapInPandas(_marked(threshold, bits), MARKS), bits))
                 kept = stored(docs.mapInPandas(_kept(threshold, bits, filled), STRETCHES), "stretches")
-            else:  # a filter would fill up: ranked once and stored, then asked range by range
-                every = stored(docs.mapInPandas(_kept(threshold, 0, None), STRETCHES), "every")
-                kept = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe"), "stretches")
+            else:
+                kept = _kept_by_range(docs, threshold, total, max_bits)
             # Stretches that occur twice as a whole, and the single ones.
             flagged = _flagged(kept, "x", max_bits)
             single = _alone(flagged.where("maybe"), ["h", "x"]).withColumn("once", F.lit(True))
@@ -439,33 +563,44 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD, max_bits: int =
         others = (
             told.where("whole").join(ranks, "h", "left_semi").groupBy("h", "x").agg(F.min(F.struct("d", "s", "e")).alias("one"))
         )
+        asked = stored(
+            edge.select("d", "s", "e", "h", F.lit(1).alias("alone")).unionByName(
+                others.select("one.d", "one.s", "one.e", "h", F.lit(0).alias("alone"))
+            ),
+            "asked",
+        )
+        n_windows = asked.agg(F.sum(F.col("e") - F.col("s") + 1)).first()[0] or 0
+        parts = max(-(-8 * n_windows // max_bits), min(PARTS, n_windows // PART_WINDOWS), 1)
+        part = F.pmod("h", F.lit(parts)).cast("int")
         wanted = stored(
-            edge.select("d", F.struct("s", "e", F.lit(True).alias("alone")).alias("r"))
-            .unionByName(others.select("one.d", F.struct("one.s", "one.e", F.lit(False).alias("alone")).alias("r")))
+            asked.select("d", F.struct("s", "e", (2 * part + F.col("alone")).alias("k")).alias("r"))
             .groupBy("d")
             .agg(F.collect_list("r").alias("wanted"))
             .withColumn("n", F.monotonically_increasing_id()),
             "wanted",
         )
+        sizes = asked.groupBy(part.alias("part")).agg(F.sum(F.col("e") - F.col("s") + 1).alias("n")).collect()
         with Scratch(spark):
-            edges = docs.join(lookup(wanted), "d")
-            inside = F.aggregate("wanted", F.lit(0).cast("long"), lambda n, r: n + r["e"] - r["s"] + 1)
-            n_windows = wanted.agg(F.sum(inside)).first()[0] or 0
-            if 8 * n_windows <= max_bits:
-                last_bits = filter_bits(8 * n_windows, max_bits)
-                marked = edges.mapInPandas(_window_marks(threshold, last_bits), MARKS)
-                last = shared_value(spark, touched_twice(marked, last_bits))
-                windows = stored(edges.mapInPandas(_windows(threshold, last_bits, last), WINDOWS), "windows")
-            else:
-                unasked = edges.mapInPandas(_windows(threshold, 0, None), WINDOWS)
-                every = stored(unasked.withColumn("h", F.xxhash64(*RANKS)), "every")
-                windows = stored(_flagged(every, "h", max_bits).where("maybe").drop("maybe", "h"), "windows")
-            # The rounds: pairs at the first offset are ranked, and pairs of these told apart.
-            ranked = stored(doubled(windows), "ranked", outlive=True)
-        again = ranked.where("alone").join(_alone(ranked, ["a", "b"]), ["a", "b"], "left_anti")
-        found = again.select(F.col("n").alias("d"), F.col("p").alias("s"), (F.col("p") + threshold).alias("e"))
+            found = [spark.createDataFrame([], NUMBERED_RUNS)]
+            with Scratch(spark):
+                taken = docs.join(lookup(wanted), "d").mapInPandas(_strips(threshold), STRIPS)
+                strips = stored(taken, "strips", outlive=True, by="part", compression="zstd")
+            for part, n in sorted(sizes):
+                with Scratch(spark):
+                    own = strips.where(F.col("part") == part)
+                    bits = filter_bits(8 * n, max_bits)
+                    last = shared_value(spark, touched_twice(own.mapInPandas(_window_marks(threshold, bits), MARKS), bits))
+                    windows = stored(own.mapInPandas(_windows(threshold, bits, last), WINDOWS), "windows")
+                    # The rounds: pairs at the first offset are ranked, and pairs of these told apart.
+                    ranked = stored(doubled(windows), "ranked")
+                    again = ranked.where("alone").join(_alone(ranked, ["a", "b"]), ["a", "b"], "left_anti")
+                    # In order, so that a document's windows are few runs before they meet its name.
+                    starts = again.select(F.col("n").alias("d"), F.col("p").alias("s")).repartition("d").sortWithinPartitions("d", "s")
+                    runs = starts.withColumn("e", F.col("s") + threshold).mapInPandas(_runs, NUMBERED_RUNS)
+                    found.append(stored(runs, "found", outlive=True))
+            found = stored(reduce(DataFrame.unionByName, found), "found", outlive=True)
         names = lookup(wanted.select("n", F.col("d").alias("name")))
-        numbered_runs = found.mapInPandas(_runs, NUMBERED_RUNS).withColumnRenamed("d", "n").join(names, "n")
+        numbered_runs = found.withColumnRenamed("d", "n").join(names, "n")
         runs = numbered_runs.select(F.col("name").alias("d"), "s", "e").unionByName(
             told.where("whole").select("d", "s", (F.col("e") + threshold).alias("e")).mapInPandas(_runs, RUNS)
         )
