@@ -638,13 +638,15 @@ def remove_repeats(frame: DataFrame, id_col: str = "doc_id", text: str = "text",
     """All columns, and ``_lb_bytes``, ``_lb_spans`` (null: none) and ``_lb_kept`` (binary)."""
     small_batches(frame.sparkSession)
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    named = frame.withColumn("_lb_bytes", raw).withColumn("_lb_d", _row_name(id_col, F.col("_lb_bytes")))
-    spans = repeated_spans(named.select(F.col("_lb_d").alias("d"), F.col("_lb_bytes").alias("text")), threshold)
+    named = frame.withColumn("_lb_d", _row_name(id_col, raw))
+    spans = repeated_spans(named.select(F.col("_lb_d").alias("d"), raw.alias("text")), threshold)
     found = lookup(spans.select(F.col("d").alias("_lb_d"), F.col("spans").alias("_lb_spans")))
+    # The bytes come after the join, which a text crosses once if it is shuffled.
     return (
         named.join(found, "_lb_d", "left")
+        .withColumn("_lb_bytes", raw)
         .withColumn("_lb_kept", _without(F.col("_lb_bytes"), F.col("_lb_spans")))
-        .drop("_lb_d")
+        .select(*all_columns(frame), "_lb_bytes", "_lb_spans", "_lb_kept")
     )
 
 

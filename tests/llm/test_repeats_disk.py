@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lakebook.llm import exact, suffix
 
@@ -65,3 +66,13 @@ def test_ranks_that_recur_fill_several_filters(spark, tables):
     held = {r.h for r in kept.select("h").collect()}
     assert [purpose for purpose, _ in tables].count("stretches") > 1
     assert again <= held and len(held) < len(again) + len(ranks) / 4
+
+
+def test_a_text_is_shuffled_once_to_meet_its_spans(spark, monkeypatch):
+    monkeypatch.setattr(suffix, "lookup", lambda frame, *_: frame.hint("merge"))
+    frame = spark.createDataFrame([(1, "a b c " * 60), (2, "a b c " * 60), (3, None)], "doc_id long, text string")
+    cut = suffix.remove_repeats(frame)
+    assert cut.columns == ["doc_id", "text", "_lb_bytes", "_lb_spans", "_lb_kept"]
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "_lb_bytes" not in plan[plan.index("Join") :]
+    assert [r.k for r in cut.orderBy("doc_id").select(F.length("_lb_kept").alias("k")).collect()] == [0, 0, 0]
