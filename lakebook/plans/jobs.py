@@ -21,21 +21,31 @@ from lakebook.sources.runs import LandedFile, Run, RunIndex, landed_files
 from lakebook.sources.tables import Written, append, append_batch, read_run, read_table, set_ledger
 
 
-def land_snapshot(lake: Lake, subject: str, snapshot: DataFrame, logical: datetime) -> str:
+def land_snapshot(
+    lake: Lake, subject: str, snapshot: DataFrame, logical: datetime, compression: str | None = None
+) -> str:
     """Write a full copy of a source table to the landing zone; returns its path.
 
-    The file is named after the run's logical time, so a rerun replaces it.
+    The file is named after the run's logical time, so a rerun replaces it. Every landed
+    copy stays; ``compression="gzip"`` packs those of large tables.
     """
     path = lake.landing_file(subject, day(logical), stamp(logical))
-    write_landing(snapshot, path)
+    write_landing(snapshot, path, compression=compression)
     return path
 
 
 def land_table(
-    spark: SparkSession, lake: Lake, subject: str, logical: datetime, url: str, **options
+    spark: SparkSession,
+    lake: Lake,
+    subject: str,
+    logical: datetime,
+    url: str,
+    *,
+    compression: str | None = None,
+    **options,
 ) -> str:
     """Land a table of a relational source; ``options`` as for ``read_snapshot``."""
-    return land_snapshot(lake, subject, read_snapshot(spark, url, subject, **options), logical)
+    return land_snapshot(lake, subject, read_snapshot(spark, url, subject, **options), logical, compression)
 
 
 def _process(

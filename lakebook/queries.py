@@ -319,9 +319,9 @@ def _run_lake(spark: SparkSession, sf_dir: str) -> Lake:
     products = land_snapshot(lake, "products", b.products_source(spark, sf_dir), AUGUST)
     users = land_snapshot(lake, "users", b.users_source(spark, sf_dir), AUGUST)
     sales = b.sales_source(spark, sf_dir)
-    land_snapshot(lake, "sales", sales.where(F.col("dat_creation") < F.lit(b.JULY)), b.JULY)
+    land_snapshot(lake, "sales", sales.where(F.col("dat_creation") < F.lit(b.JULY)), b.JULY, "gzip")
     process_sales(spark, lake, b.RUN_JUL)
-    land_snapshot(lake, "sales", sales, AUGUST)
+    land_snapshot(lake, "sales", sales, AUGUST, "gzip")
     process_sales(spark, lake, b.RUN_AUG)
     process_products(spark, lake, products, b.RUN_AUG)
     process_users(spark, lake, users, b.RUN_AUG)

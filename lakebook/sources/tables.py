@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakebook.schemas import PARTITIONS
-from lakebook.session import hadoop_path
+from lakebook.session import free_shuffles, hadoop_path
 from lakebook.sources.runs import LandedFile, Run, RunIndex, attempt_of, run_files
 
 
@@ -131,10 +131,11 @@ def append(
     seen = Observation()
     own = [] if ts_proc is None else [F.collect_set(F.coalesce("ref", F.lit(""))).alias("_refs"), *_newest(rows)]
     writer = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *own, *observe).write.mode("append")
+    spark = rows.sparkSession
+    free_shuffles(spark)
     if ts_proc is None:
         writer.partitionBy(*partitions).parquet(path)
         return seen.get
-    spark = rows.sparkSession
     index = RunIndex(spark, path)
     before = index.get(ts_proc)
     held = []
